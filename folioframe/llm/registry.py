@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from folioframe.llm import mixing, packing
+from folioframe.llm import mixing, ngram_join, packing, suffix_dedup
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op6_ngram_join": ngram_join.op6_ngram_join,
     "op8_mixing": mixing.op8_mixing,
+    "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
 ORACLES = {

@@ -115,6 +115,6 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int = 5):
             with np.errstate(over="ignore"):
                 for j in range(b - a):
                     acc = acc + h[a + j] * SHINGLE_FACTORS[j]
-                yield mix(np.array([acc + U64((b - a) * 0x5851F42D4C957F2D & (2**64 - 1))], dtype=np.uint64))
+                yield mix(np.array([acc + U64(int(b - a) * 0x5851F42D4C957F2D & (2**64 - 1))], dtype=np.uint64))
         else:
             yield np.zeros(0, np.uint64)
