@@ -243,8 +243,12 @@ def similar_components(
     open_ = scratch.save(named.withColumn("lo", F.min("c").over(group)).withColumn("hi", F.max("c").over(group)).where("lo < hi").select("token", "node", "meta", "c"))
     scratch.drop(met)
     scratch.release()
-    x = open_.select("token", F.col("node").alias("a"), F.col("meta").alias("ma"), F.col("c").alias("ca"))
-    y = open_.select("token", F.col("node").alias("b"), F.col("meta").alias("mb"), F.col("c").alias("cb"))
+    # How many shingles of a node before this one can be met at all: the others are its own alone, or meet one component.
+    before = F.row_number().over(Window.partitionBy("node").orderBy("meta")) - 1
+    ranked = scratch.save(open_.withColumn("r", before))
+    scratch.drop(open_)
+    x = ranked.select("token", F.col("node").alias("a"), F.col("meta").alias("ma"), F.col("c").alias("ca"), F.col("r").alias("ra"))
+    y = ranked.select("token", F.col("node").alias("b"), F.col("meta").alias("mb"), F.col("c").alias("cb"), F.col("r").alias("rb"))
     near = x.join(y, "token").where("ca < cb").where(_reachable(percent))
     done = tried.select(F.least("a", "b").alias("ta"), F.greatest("a", "b").alias("tb"))
     rest = _candidates(near, percent)
@@ -263,10 +267,10 @@ def similar_components(
 
 
 def _reachable(percent: int):
-    """At one shared shingle: lengths fit, and so many shingles lie at or after it, or before it, that the overlap can be reached."""
+    """At one shared shingle: lengths fit, and the shingles from it on, with those before it that can be met, reach the overlap."""
     na, nb = F.shiftright("ma", 34), F.shiftright("mb", 34)
     ia, ib = (F.shiftright(m, 8).bitwiseAND(F.lit((1 << 26) - 1)) for m in ("ma", "mb"))
-    most = F.least(ia, ib) + F.least(na - ia, nb - ib)
+    most = F.least("ra", "rb") + F.least(na - ia, nb - ib)
     return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (most * (100 + percent) >= (na + nb) * percent)
 
 

@@ -38,7 +38,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers["up"], _powers["down"]
 
 
-def chunks(column: pa.Array, limit: int = 1 << 21):
+def chunks(column: pa.Array, limit: int = 1 << 19):
     """Yields (first row, bytes, offsets) of slices of about ``limit`` bytes; a null is an empty text.
 
     A single longer text is one slice, so that memory follows the longest text and never the batch.
@@ -118,3 +118,16 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int = 5):
                 yield mix(np.array([acc + U64(int(b - a) * 0x5851F42D4C957F2D & (2**64 - 1))], dtype=np.uint64))
         else:
             yield np.zeros(0, np.uint64)
+
+
+class SpanHasher:
+    """Hashes of many sets of spans of the same bytes, which are summed once."""
+
+    def __init__(self, raw: np.ndarray, fold: bool = True):
+        up, self.down = powers(len(raw) + 1)
+        self.total = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum((BYTE_VALUES[LOWER] if fold else BYTE_VALUES)[raw] * up[: len(raw)], out=self.total[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray, kind: int = 0) -> np.ndarray:
+        lengths = (ends - starts).astype(np.uint64)
+        return mix((self.total[ends] - self.total[starts]) * self.down[starts] + lengths + U64(kind * 0x9E3779B97F4A7C15 & (2**64 - 1)))
