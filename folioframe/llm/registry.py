@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from folioframe.llm import mixing, ngram_join, packing, pii, suffix_dedup, toxicity
+from folioframe.llm import language, mixing, ngram_join, packing, pii, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_pii": pii.op2_pii,
     "op4_toxicity": toxicity.op4_toxicity,
     "op6_ngram_join": ngram_join.op6_ngram_join,
+    "op7_language": language.op7_language,
     "op8_mixing": mixing.op8_mixing,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
