@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioframe.llm import language, mixing, ngram_join, packing, pii, suffix_dedup, toxicity
+from folioframe.llm import language, mixing, mtree, ngram_join, packing, pii, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -11,9 +11,11 @@ QUERIES = {
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_language": language.op7_language,
     "op8_mixing": mixing.op8_mixing,
+    "op9_mtree": mtree.op9_mtree,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
 }
 
 ORACLES = {
     "op8_mixing": mixing.OP8_SQL,
+    "op9_mtree": mtree.OP9_SQL,
 }
