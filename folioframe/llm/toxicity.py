@@ -67,20 +67,25 @@ def fit_ordinal(texts: list[str | None], grades: np.ndarray, rounds: int = 400,
     top = int(grades.max()) if len(grades) else 0
     if top < 1:
         return np.zeros(1 << bits, np.float32), np.zeros(0)
-    docs, feats = [], []
-    for first, raw, offsets in tk.chunks(pa.array(texts, pa.string())):
-        d, f = word_sets(raw, offsets, bits)
-        docs.append(d + first)
-        feats.append(f)
-    doc, feat = np.concatenate(docs), np.concatenate(feats)
-    used, feat, count = np.unique(feat, return_inverse=True, return_counts=True)
     n = len(grades)
+    column = pa.array(texts, pa.string())
+    # Two passes over the sample, so that only pairs of chosen features are ever held.
+    count, toxic = np.zeros(1 << bits), np.zeros(1 << bits)
+    for first, raw, offsets in tk.chunks(column):
+        d, f = word_sets(raw, offsets, bits)
+        count += np.bincount(f, minlength=1 << bits)
+        toxic += np.bincount(f, weights=grades[d + first] > 0, minlength=1 << bits)
     # Words are many and documents few: only features whose share of graded documents is no matter of chance enter.
     base = np.clip((grades > 0).mean(), 1e-3, 1 - 1e-3)
-    deviation = np.bincount(feat, weights=(grades > 0)[doc] - base, minlength=len(used)) / np.sqrt(count * base * (1 - base))
+    deviation = (toxic - base * count) / np.sqrt(np.maximum(count, 1) * base * (1 - base))
     chosen = (count >= min(MIN_DOCS, max(1, n // 50))) & (np.abs(deviation) >= LEAST_DEVIATION)
-    place = np.cumsum(chosen) - 1
-    doc, feat, used = doc[chosen[feat]], place[feat[chosen[feat]]], used[chosen]
+    used, place = np.flatnonzero(chosen), np.cumsum(chosen) - 1
+    docs, feats = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for first, raw, offsets in tk.chunks(column):
+        d, f = word_sets(raw, offsets, bits)
+        docs.append(d[chosen[f]] + first)
+        feats.append(place[f[chosen[f]]])
+    doc, feat = np.concatenate(docs), np.concatenate(feats)
     share = np.array([np.clip((grades >= k).mean(), 1e-3, 1 - 1e-3) for k in range(1, top + 1)])
     cuts = -np.log(share / (1 - share))
     params = np.concatenate((np.zeros(len(used)), [cuts[0]], np.log(np.maximum(np.diff(cuts), 0.05))))
