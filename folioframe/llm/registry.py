@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from folioframe.llm import language, mixing, mtree, ngram_join, packing, pii, suffix_dedup, toxicity
+from folioframe.llm import language, licenses, mixing, mtree, ngram_join, nn_descent, packing, pii, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_pii": pii.op2_pii,
+    "op3_nn_descent": nn_descent.op3_nn_descent,
     "op4_toxicity": toxicity.op4_toxicity,
+    "op5_licenses": licenses.op5_licenses,
     "op6_ngram_join": ngram_join.op6_ngram_join,
     "op7_language": language.op7_language,
     "op8_mixing": mixing.op8_mixing,
