@@ -41,7 +41,7 @@ class _Columns:
             shutil.rmtree(self.folder, ignore_errors=True)
 
 
-def build(strings: list[bytes], memory_limit: int = 64 << 20) -> dict[str, np.ndarray]:
+def build(strings: list[bytes], memory_limit: int = 256 << 20) -> dict[str, np.ndarray]:
     """Columns over all suffixes in order: ``bwt`` (0: none before, else byte + 1), ``lcp`` with the suffix before (at
     most 255), ``who`` (string) and ``length``. Strings are UTF-8 parts of at most 254 bytes."""
     m = len(strings)

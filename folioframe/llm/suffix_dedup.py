@@ -5,7 +5,8 @@ so equal windows have equal anchors, and the windows of one anchor form one shor
 texts finds the anchors that more than one document holds; a second pass sends the strings of those anchors to the
 bucket of the anchor, and each bucket builds its collection's Burrows-Wheeler transform and common prefixes column by
 column (``collection_bwt``). Runs of common prefixes of at least 50 bytes are the equal windows; all but those of the
-smallest document are removed.
+smallest document are removed. Where all documents hold one and the same string at an anchor, its 64-bit hash stands
+for it, and strings without their like around the anchor need no comparison.
 
 Copies do not gather in one task: within a task equal strings go on once, for the smallest document, and the other
 documents' windows are known to be repeats at once. Anchors of very many documents are split by the 46 bytes that
@@ -32,18 +33,19 @@ from folioframe.llm import textkernel as tk
 from folioframe.scratch import Scratch, input_partitions
 
 GRAM = 20
-BITMAP_BITS = 27
+BITMAP_BITS = 26
 HOT_DOCS = 1024
 HOT_STEP = 5
 SLICE = 1 << 24
+_LENGTH = 0xD6E8FEB86659FD93
 
 
 def anchors(raw: np.ndarray, offsets: np.ndarray, width: int):
-    """(anchor hash, anchor position, first window, last window, text number) of each run of windows with one anchor."""
+    """(anchor hash, anchor position, first window, last window, text number, hash of its bytes) of each run of windows with one anchor."""
     n = len(raw)
     none = np.zeros(0, np.int64)
     if n < width:
-        return none.astype(np.uint64), none, none, none, none
+        return none.astype(np.uint64), none, none, none, none, none.astype(np.uint64)
     up, down = tk.powers(n + 1)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(tk.BYTE_VALUES[raw] * up[:n], out=total[1:])
@@ -59,11 +61,14 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, width: int):
     text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     starts = np.flatnonzero(offsets[1:][text[: len(key)]] - np.arange(len(key)) >= width)
     if not len(starts):
-        return none.astype(np.uint64), none, none, none, none
+        return none.astype(np.uint64), none, none, none, none, none.astype(np.uint64)
     at = (key[starts] & low).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], (at[1:] != at[:-1]) | (text[starts[1:]] != text[starts[:-1]]))))
     last = np.append(first[1:], len(starts)) - 1
-    return grams[at[first]], at[first], starts[first], starts[last], text[starts[first]]
+    a, z = starts[first], starts[last] + width
+    whole = tk.mix((total[z] - total[a]) * down[a] + (z - a).astype(np.uint64) * tk.U64(_LENGTH))
+    # Least hashes are small numbers: mixed once more they spread over buckets and bitmap evenly.
+    return tk.mix(grams[at[first]] ^ tk.U64(_LENGTH)), at[first], a, starts[last], text[a], whole
 
 
 def _slices(raw: np.ndarray, offsets: np.ndarray, width: int):
@@ -76,187 +81,294 @@ def _slices(raw: np.ndarray, offsets: np.ndarray, width: int):
         yield a, part, np.array([0, len(part)])
 
 
-def _count(width: int, buckets: int, flush: int = 1 << 20):
+def _merge(h: np.ndarray, whole: np.ndarray, docs: np.ndarray):
+    """One entry per anchor: documents, and the hash of its string, 0 if its strings differ."""
+    order = np.argsort(h, kind="stable")
+    h, whole, docs = h[order], whole[order], docs[order]
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    same = np.minimum.reduceat(whole, first) == np.maximum.reduceat(whole, first)
+    return h[first], np.where(same, whole[first], tk.U64(0)), np.minimum(np.add.reduceat(docs, first), 65535)
+
+
+def _count(width: int, buckets: int, flush: int = 1 << 19):
     shift = tk.U64(64 - buckets.bit_length() + 1)
 
-    def give(held: list[np.ndarray], counts: list[np.ndarray]):
-        h = np.concatenate(held)
-        c = np.concatenate(counts)
-        order = np.argsort(h, kind="stable")
-        h, c = h[order], c[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        c = np.minimum(np.add.reduceat(c, first), 65535).astype(np.uint16)
-        h = h[first]
+    def give(held: list[tuple[np.ndarray, ...]]):
+        h, whole, docs = _merge(*(np.concatenate(x) for x in zip(*held, strict=True)))
         bucket = (h >> shift).astype(np.int32)
         cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
-        ends = np.append(cut[1:], len(h))
-        return pa.RecordBatch.from_arrays(
-            [pa.array(bucket[cut]), pa.array([h[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary()), pa.array([c[a:b].tobytes() for a, b in zip(cut, ends)], pa.binary())],
-            names=["bucket", "anchors", "docs"],
-        )
+        bounds = list(zip(cut.tolist(), np.append(cut[1:], len(h)).tolist(), strict=True))
+        packed = lambda a: pa.array([a[x:y].tobytes() for x, y in bounds], pa.binary())
+        # The bitmap needs no more than 48 bits below the bucket's own.
+        short = (h << tk.U64(buckets.bit_length() - 1)) >> tk.U64(16)
+        six = np.ascontiguousarray(short).view(np.uint8).reshape(-1, 8)[:, :6]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), packed(six), packed(whole), packed(docs.astype(np.uint16))], names=["bucket", "anchors", "strings", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, counts, size = [], [], 0
+        held, size = [], 0
         for batch in batches:
             for _, raw, offsets in tk.chunks(batch.column(0)):
                 for _, part, cuts in _slices(raw, offsets, width):
-                    h, _, _, _, text = anchors(part, cuts, width)
+                    h, _, _, _, text, whole = anchors(part, cuts, width)
                     if not len(h):
                         continue
                     order = np.lexsort((text, h))
-                    h, text = h[order], text[order]
-                    first = np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])))
-                    h = h[first]
-                    held.append(h)
-                    counts.append(np.ones(len(h), np.int64))
+                    h, text, whole = h[order], text[order], whole[order]
+                    new = np.concatenate(([True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])))
+                    held.append((h, whole, new.astype(np.int64)))
                     size += len(h)
                     if size > flush:
-                        yield give(held, counts)
-                        held, counts, size = [], [], 0
+                        yield give(held)
+                        held, size = [], 0
         if held:
-            yield give(held, counts)
+            yield give(held)
+        del held
+        tk.release_memory()
 
     return run
 
 
+MARKS = ("repeated", "mixed", "hot")
+
+
 def _repeated(buckets: int):
     region = (1 << BITMAP_BITS) // buckets
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        h = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["anchors"]])
-        c = np.concatenate([np.frombuffer(x, np.uint16) for x in rows["docs"]]).astype(np.int64)
-        order = np.argsort(h, kind="stable")
-        h, c = h[order], c[order]
-        first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        c, h = np.add.reduceat(c, first), h[first]
-        out = []
-        for least in (2, HOT_DOCS):
+        six = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["anchors"]]).reshape(-1, 6)
+        h = np.zeros((len(six), 8), np.uint8)
+        h[:, :6] = six
+        h = h.view(np.uint64)[:, 0]
+        whole = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["strings"]])
+        docs = np.concatenate([np.frombuffer(x, np.uint16) for x in rows["docs"]]).astype(np.int64)
+        h, whole, docs = _merge(h, whole, docs)
+        slot = (h >> tk.U64(48 - region.bit_length() + 1)).astype(np.int64)
+        out = {"bucket": [int(rows["bucket"].iloc[0])]}
+        for name, which in zip(MARKS, (docs >= 2, (docs >= 2) & (whole == 0), (docs >= HOT_DOCS) & (whole == 0)), strict=True):
             bits = np.zeros(region, bool)
-            bits[((h[c >= least] >> tk.U64(64 - BITMAP_BITS)) % tk.U64(region)).astype(np.int64)] = True
-            out.append(np.packbits(bits).tobytes() if bits.any() else None)
-        return pd.DataFrame({"bucket": [int(rows["bucket"].iloc[0])], "repeated": [out[0]], "hot": [out[1]]})
+            bits[slot[which]] = True
+            out[name] = [np.packbits(bits).tobytes() if which.any() else None]
+        return pd.DataFrame(out)
 
     return run
 
 
-SPANS = "doc_id long, row_key long, starts binary, ends binary"
+def _bit(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return (bitmap[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
-def _send(width: int, buckets: int, bitmaps, flush: int = 48 << 20):
-    def give(held: dict):
-        out: dict[int, list] = {}
-        known: dict[tuple, list] = {}
-        for (bucket, s), owners in held.items():
-            least = min(o[0] for o in owners)
-            for doc, row, start in owners:
-                if doc == least:
-                    out.setdefault(bucket, []).append((s, doc, row, start))
-                else:
-                    known.setdefault((doc, row), []).append((start, start + len(s)))
-        rows = list(out)
-        packed = lambda k, kind: pa.array([np.array([x[k] for x in out[b]], kind).tobytes() for b in rows] + [None] * len(known), pa.binary())
-        spans = lambda k: pa.array([None] * len(rows) + [np.array([x[k] for x in v], np.int64).tobytes() for v in known.values()], pa.binary())
-        ids = lambda k: pa.array([None] * len(rows) + [x[k] for x in known], pa.int64())
+SPANS = "doc_id long, row_key long, starts binary, ends binary"
+SENT = "bucket int, lengths binary, spans binary, anchor binary, bytes binary, s_doc binary, s_row binary, s_start binary, doc_id long, row_key long, starts binary, ends binary"
+NO_ANCHOR, ALONE = 255, 254
+
+
+def _grouped(doc: np.ndarray, key: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list, list, list, list]:
+    """Spans by (document, row): ids, keys and the packed bounds of each, neighbours joined."""
+    if not len(doc):
+        return [], [], [], []
+    order = np.lexsort((starts, key, doc))
+    doc, key, starts, ends = doc[order], key[order], starts[order], ends[order]
+    new = np.concatenate(([True], (doc[1:] != doc[:-1]) | (key[1:] != key[:-1])))
+    apart = new.copy()
+    apart[1:] |= starts[1:] > ends[:-1]
+    run = np.flatnonzero(apart)
+    ends = np.maximum.reduceat(ends, run)
+    doc, key, starts, new = doc[run], key[run], starts[run], new[run]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(doc))
+    return doc[first].tolist(), key[first].tolist(), [starts[x:y].tobytes() for x, y in zip(first, last)], [ends[x:y].tobytes() for x, y in zip(first, last)]
+
+
+class _Held:
+    """Strings of a task not sent yet, each different one once, and where they stand. Anchors with one string alone
+    send its hash for it, marked by a byte that UTF-8 never has."""
+
+    def __init__(self):
+        self.ids: dict[bytes, int] = {}
+        self.bucket: list[int] = []
+        self.anchor: list[int] = []
+        self.owners: list[tuple[np.ndarray, ...]] = []
+        self.alone: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, strings: list[bytes], buckets: list[int], anchor: list[int], doc: np.ndarray, key: np.ndarray, start: np.ndarray) -> None:
+        ids, n = self.ids, len(self.ids)
+        sid = [ids.setdefault(s, len(ids)) for s in strings]
+        for k, b, p in zip(sid, buckets, anchor, strict=True):
+            if k == n:
+                self.bucket.append(b)
+                self.anchor.append(p)
+                self.size += 200
+                n += 1
+        self.owners.append((np.array(sid, np.int64), doc, key, start, np.array([len(s) for s in strings], np.int64)))
+        self.size += 40 * len(sid)
+
+    def add_alone(self, *columns: np.ndarray) -> None:
+        """whole, bucket, doc, key, start, span"""
+        self.alone.append(columns)
+        self.size += 48 * len(columns[0])
+
+    def give(self, buckets: int) -> pa.RecordBatch:
+        strings, bucket, anchor, owners = list(self.ids), np.array(self.bucket, np.int64), np.array(self.anchor, np.uint8), self.owners
+        if self.alone:
+            whole, where, *rest = (np.concatenate(x) for x in zip(*self.alone, strict=True))
+            different, at, number = np.unique(whole, return_index=True, return_inverse=True)
+            owners = [*owners, (number + len(strings), *rest)]
+            strings += [b"\xff" + x for x in np.ascontiguousarray(different).view("V8").tolist()]
+            bucket = np.concatenate((bucket, where[at]))
+            anchor = np.concatenate((anchor, np.full(len(different), ALONE, np.uint8)))
+        lengths = np.array([len(s) for s in strings], np.int64)
+        sid, doc, key, start, span = (np.concatenate(x) for x in zip(*owners, strict=True))
+        least = np.full(len(strings), np.iinfo(np.int64).max)
+        np.minimum.at(least, sid, doc)
+        known = doc > least[sid]
+        ids, keys, starts, ends = _grouped(doc[known], key[known], start[known], (start + span)[known])
+        sid, doc, key, start, span = (x[~known] for x in (sid, doc, key, start, span))
+        order = np.argsort(bucket[sid], kind="stable")
+        sid, doc, key, start, span = (x[order] for x in (sid, doc, key, start, span))
+        b = bucket[sid]
+        first = np.flatnonzero(np.concatenate(([True], b[1:] != b[:-1])))
+        cuts = list(zip(first.tolist(), np.append(first[1:], len(b)).tolist(), strict=True))
+        n, k = len(cuts), len(ids)
+        packed = lambda a: pa.array([a[x:y].tobytes() for x, y in cuts] + [None] * k, pa.binary())
+        listed = sid.tolist()
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(rows + [None] * len(known), pa.int32()),
-                pa.array([np.array([len(x[0]) for x in out[b]], np.uint8).tobytes() for b in rows] + [None] * len(known), pa.binary()),
-                pa.array([b"".join(x[0] for x in out[b]) for b in rows] + [None] * len(known), pa.binary()),
-                packed(1, np.int64), packed(2, np.int64), packed(3, np.int64),
-                ids(0), ids(1), spans(0), spans(1),
+                # What is known already passes through the buckets, spread by document.
+                pa.array(b[first].tolist() + [int(x) % buckets for x in ids], pa.int32()),
+                packed(lengths[sid].astype(np.uint8)), packed(span.astype(np.uint8)), packed(anchor[sid]),
+                pa.array([b"".join([strings[z] for z in listed[x:y]]) for x, y in cuts] + [None] * k, pa.binary()),
+                packed(doc), packed(key.astype(np.uint32)), packed(start.astype(np.uint32)),
+                pa.array([0] * n + ids, pa.int64()), pa.array([0] * n + keys, pa.int64()), pa.array([None] * n + starts, pa.binary()), pa.array([None] * n + ends, pa.binary()),
             ],
-            names=["bucket", "lengths", "bytes", "s_doc", "s_row", "s_start", "doc_id", "row_key", "starts", "ends"],
+            names=["bucket", "lengths", "spans", "anchor", "bytes", "s_doc", "s_row", "s_start", "doc_id", "row_key", "starts", "ends"],
         )
 
+
+def _send(width: int, buckets: int, bitmaps, flush: int = 12 << 20):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        repeated, hot = (np.unpackbits(np.frombuffer(x, np.uint8)).astype(bool) for x in bitmaps.value)
-        held: dict[tuple[int, bytes], list] = {}
-        size = 0
+        repeated, mixed, hot = (np.frombuffer(x, np.uint8) for x in bitmaps.value)
+        held = _Held()
         wide = 64 - buckets.bit_length() + 1
         for batch in batches:
-            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            present = batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
+            keys = batch.column(1).to_numpy(zero_copy_only=False)
             for row, raw, offsets in tk.chunks(batch.column(2)):
                 for moved, part, cuts in _slices(raw, offsets, width):
-                    h, at, first, last, text = anchors(part, cuts, width)
+                    h, at, first, last, text, whole = anchors(part, cuts, width)
                     slot = (h >> tk.U64(64 - BITMAP_BITS)).astype(np.int64)
-                    keep = np.flatnonzero(repeated[slot])
+                    keep = np.flatnonzero(_bit(repeated, slot) & present[row + text])
+                    many = _bit(mixed, slot[keep])
+                    much = many & _bit(hot, slot[keep])
+                    k = keep[~many]
+                    if len(k):
+                        a, t = first[k], text[k]
+                        held.add_alone(whole[k], (h[k] >> tk.U64(wide)).astype(np.int64), ids[row + t], keys[row + t], a - cuts[t] + moved, last[k] + width - a)
+                    k = keep[many & ~much]
                     body = part.tobytes()
-                    for hk, p, a, b, t, is_hot in zip(h[keep].tolist(), at[keep].tolist(), first[keep].tolist(), last[keep].tolist(), text[keep].tolist(), hot[slot[keep]].tolist(), strict=True):
-                        doc = ids[row + t]
-                        if doc is None:
-                            continue
-                        base = moved - int(cuts[t])
-                        if not is_hot:
-                            pieces = ((hk >> wide, a, b),)
-                        else:  # windows by distance from the anchor, five at a time, under the bytes that the five share
-                            pieces = []
-                            for g in range((a - p) // HOT_STEP, (b - p) // HOT_STEP + 1):
-                                x = p + g * HOT_STEP
-                                shared = hashlib.blake2b(body[x + HOT_STEP - 1 : x + width], digest_size=8).digest()
-                                pieces.append((int.from_bytes(shared, "big") >> wide, max(a, x), min(b, x + HOT_STEP - 1)))
-                        for bucket, x, y in pieces:
-                            s = body[x : y + width]
-                            owners = held.get((bucket, s))
-                            if owners is None:
-                                held[bucket, s] = [(doc, keys[row + t], x + base)]
-                                size += len(s) + 250
-                            else:
-                                owners.append((doc, keys[row + t], x + base))
-                                size += 100
-                if size > flush:
-                    yield give(held)
-                    held, size = {}, 0
-        if held:
-            yield give(held)
+                    if len(k):
+                        a, z, p, t = first[k], last[k] + width, at[k], text[k]
+                        strings = [body[x:y] for x, y in zip(a.tolist(), z.tolist(), strict=True)]
+                        held.add(strings, (h[k] >> tk.U64(wide)).tolist(), (p - a).tolist(), ids[row + t], keys[row + t], a - cuts[t] + moved)
+                    k = keep[much]
+                    if len(k):
+                        # Windows by distance from the anchor, five at a time, under the bytes that the five share.
+                        strings, where, starts, rows = [], [], [], []
+                        for p, x, y, t in zip(at[k].tolist(), first[k].tolist(), last[k].tolist(), text[k].tolist(), strict=True):
+                            for g in range((x - p) // HOT_STEP, (y - p) // HOT_STEP + 1):
+                                c = p + g * HOT_STEP
+                                shared = hashlib.blake2b(body[c + HOT_STEP - 1 : c + width], digest_size=8).digest()
+                                i, j = max(x, c), min(y, c + HOT_STEP - 1)
+                                strings.append(body[i : j + width])
+                                where.append(int.from_bytes(shared, "big") >> wide)
+                                starts.append(i - int(cuts[t]) + moved)
+                                rows.append(row + t)
+                        held.add(strings, where, [NO_ANCHOR] * len(strings), ids[rows], keys[rows], np.array(starts, np.int64))
+                    if held.size > flush:
+                        yield held.give(buckets)
+                        held = _Held()
+        if held.owners or held.alone:
+            yield held.give(buckets)
+        del held, repeated, mixed, hot
+        tk.release_memory()
 
     return run
 
 
-def repeats(strings: list[bytes], docs: list[int], width: int) -> list[np.ndarray]:
-    """For each of several different strings: which of its windows also starts in a string of a smaller document."""
+def repeats(strings: list[bytes], docs: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(string, window) of the windows of different strings that also start in a string of a smaller document."""
     columns = collection_bwt.build(strings)
-    lengths = np.array([len(s) for s in strings])
+    lengths = np.array([len(s) for s in strings], np.int64)
     group = np.cumsum(columns["lcp"] < width)
     rows = np.flatnonzero(columns["length"] >= width)
-    group, who, length = group[rows], columns["who"][rows], columns["length"][rows].astype(np.int64)
-    doc = np.array(docs, dtype=np.int64)[who]
-    out = [np.zeros(n - width + 1, bool) for n in lengths]
-    if len(rows):
-        first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
-        least = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(rows))))
-        again = doc > least
-        for k, n in zip(who[again].tolist(), length[again].tolist(), strict=True):
-            out[k][lengths[k] - n] = True
+    if not len(rows):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    group, who, length = group[rows], columns["who"][rows].astype(np.int64), columns["length"][rows].astype(np.int64)
+    doc = docs[who]
+    first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+    least = np.repeat(np.minimum.reduceat(doc, first), np.diff(np.append(first, len(rows))))
+    again = doc > least
+    return who[again], lengths[who[again]] - length[again]
+
+
+def comparable(strings: list[bytes], anchor: np.ndarray) -> np.ndarray:
+    """Which strings can share a window with another: each window holds the anchor's bytes and either the 15 before
+    or the 16 after, so another string must hold the same of these."""
+    lengths = np.array([len(s) for s in strings], np.int64)
+    ends = np.cumsum(lengths)
+    raw = np.frombuffer(b"".join(strings), np.uint8)
+    start, at = ends - lengths, ends - lengths + anchor
+    out = anchor == NO_ANCHOR
+    anchored = anchor < ALONE
+    for a, b in ((at - 15, at + GRAM), (at, at + GRAM + 16)):
+        ok = np.flatnonzero(anchored & (a >= start) & (b <= ends))
+        if len(ok):
+            _, which, count = np.unique(tk.span_hashes(raw, a[ok], b[ok], fold=False), return_inverse=True, return_counts=True)
+            out[ok] |= count[which] > 1
     return out
 
 
 def _match(width: int):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
-        owners: dict[bytes, list] = {}
-        for lengths, body, doc, key, start in zip(rows["lengths"], rows["bytes"], rows["s_doc"], rows["s_row"], rows["s_start"], strict=True):
-            a = 0
-            for n, *owner in zip(np.frombuffer(lengths, np.uint8).tolist(), *(np.frombuffer(x, np.int64).tolist() for x in (doc, key, start)), strict=True):
-                owners.setdefault(body[a : a + n], []).append(owner)
-                a += n
-        strings = list(owners)
-        docs = [min(o[0] for o in owners[s]) for s in strings]
-        found: dict[tuple, list] = {}
-        for s, least, again in zip(strings, docs, repeats(strings, docs, width), strict=True):
-            runs = None
-            for doc, key, start in owners[s]:
-                if doc > least:
-                    found.setdefault((doc, key), []).append((start, start + len(s)))
-                elif again.any():
-                    if runs is None:
-                        edge = np.flatnonzero(np.diff(np.concatenate(([0], again.view(np.int8), [0]))))
-                        runs = list(zip(edge[::2].tolist(), (edge[1::2] - 1 + width).tolist(), strict=True))
-                    found.setdefault((doc, key), []).extend((start + a, start + b) for a, b in runs)
-        return pd.DataFrame(
-            {
-                "doc_id": [k[0] for k in found], "row_key": [k[1] for k in found],
-                "starts": [np.array([x[0] for x in v], np.int64).tobytes() for v in found.values()], "ends": [np.array([x[1] for x in v], np.int64).tobytes() for v in found.values()],
-            }
-        )
+        passing = rows[rows["lengths"].isna()]
+        rows = rows[rows["lengths"].notna()]
+        ids: dict[bytes, int] = {}
+        sid, anchor = [], []
+        for lengths, at, body in zip(rows["lengths"], rows["anchor"], rows["bytes"], strict=True):
+            end = np.cumsum(np.frombuffer(lengths, np.uint8).astype(np.int64)).tolist()
+            begin = [0, *end[:-1]]
+            for x, y, p in zip(begin, end, at, strict=True):
+                s = body[x:y]
+                k = ids.setdefault(s, len(ids))
+                if k == len(anchor):
+                    anchor.append(p)
+                sid.append(k)
+        out = [passing[["doc_id", "row_key", "starts", "ends"]]]
+        if ids:
+            sid = np.array(sid, np.int64)
+            doc, key, start, span = (
+                np.concatenate([np.frombuffer(x, kind) for x in rows[c]]).astype(np.int64) for c, kind in (("s_doc", np.int64), ("s_row", np.uint32), ("s_start", np.uint32), ("spans", np.uint8))
+            )
+            strings = list(ids)
+            least = np.full(len(strings), np.iinfo(np.int64).max)
+            np.minimum.at(least, sid, doc)
+            known = doc > least[sid]
+            found = [(doc[known], key[known], start[known], (start + span)[known])]
+            chosen = np.flatnonzero(comparable(strings, np.array(anchor, np.int64)))
+            if len(chosen) > 1:
+                who, window = repeats([strings[k] for k in chosen.tolist()], least[chosen], width)
+                # The places of each string's smallest document, joined with the string's repeated windows.
+                own = np.flatnonzero(~known)
+                own = own[np.argsort(sid[own], kind="stable")]
+                a, b = np.searchsorted(sid[own], chosen[who]), np.searchsorted(sid[own], chosen[who], side="right")
+                place = own[np.repeat(a, b - a) + (np.arange((b - a).sum()) - np.repeat(np.cumsum(b - a) - (b - a), b - a))]
+                begin = start[place] + np.repeat(window, b - a)
+                found.append((doc[place], key[place], begin, begin + width))
+            grouped = _grouped(*(np.concatenate(x) for x in zip(*found, strict=True)))
+            out.append(pd.DataFrame(dict(zip(["doc_id", "row_key", "starts", "ends"], grouped, strict=True))))
+        # Empty frames would turn the ids of the others into floating-point numbers.
+        return pd.concat([x for x in out if len(x)] or out[:1], ignore_index=True)
 
     return run
 
@@ -296,27 +408,21 @@ def remove_repeats(
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes."""
     scratch = Scratch(spark, "suffix-dedup")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("row_key"), text.alias("text"))
-    buckets = 1 << min(13, max(6, (4 * input_partitions(documents) - 1).bit_length()))
-    counted = rows.select("text").mapInArrow(_count(width, buckets), "bucket int, anchors binary, docs binary")
-    regions = counted.groupBy("bucket").applyInPandas(_repeated(buckets), "bucket int, repeated binary, hot binary").collect()
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.crc32(text.cast("binary")).alias("row_key"), text.alias("text"))
+    buckets = 1 << min(13, max(6, (16 * input_partitions(documents) - 1).bit_length()))
+    counted = rows.select("text").mapInArrow(_count(width, buckets), "bucket int, anchors binary, strings binary, docs binary")
+    regions = counted.groupBy("bucket").applyInPandas(_repeated(buckets), "bucket int, repeated binary, mixed binary, hot binary").collect()
     size = (1 << BITMAP_BITS) // 8
-    bits = [bytearray(size), bytearray(size)]
+    bits = [bytearray(size) for _ in MARKS]
     for r in regions:
-        for k, name in enumerate(("repeated", "hot")):
+        for k, name in enumerate(MARKS):
             if r[name]:
-                bits[k][r["bucket"] * size // buckets : (r["bucket"] + 1) * size // buckets] = r[name]
+                bits[k][r["bucket"] * (size // buckets) : (r["bucket"] + 1) * (size // buckets)] = r[name]
     bitmaps = spark.sparkContext.broadcast(tuple(bytes(b) for b in bits))
-    sent = scratch.save(
-        rows.mapInArrow(
-            _send(width, buckets, bitmaps), "bucket int, lengths binary, bytes binary, s_doc binary, s_row binary, s_start binary, doc_id long, row_key long, starts binary, ends binary"
-        )
-    )
-    bitmaps.unpersist()
     scratch.release()
-    matched = sent.where("bucket is not null").select("bucket", "lengths", "bytes", "s_doc", "s_row", "s_start").groupBy("bucket").applyInPandas(_match(width), SPANS)
-    spans = scratch.save(matched.union(sent.where("bucket is null").select("doc_id", "row_key", "starts", "ends")))
-    scratch.drop(sent)
+    sent = rows.mapInArrow(_send(width, buckets, bitmaps), SENT)
+    spans = scratch.save(sent.groupBy("bucket").applyInPandas(_match(width), SPANS))
+    bitmaps.unpersist()
     scratch.release()
     found = spans.groupBy("doc_id", "row_key").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
     joined = rows.join(found, ["doc_id", "row_key"], "left").select("doc_id", F.col("text").cast("binary").alias("body"), "starts", "ends")

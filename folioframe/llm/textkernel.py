@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -45,13 +47,14 @@ def chunks(column: pa.Array, limit: int = 1 << 19):
     """
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string())
-    if column.null_count:
-        column = column.fill_null("")
     n = len(column)
     if not n:
         return
-    offsets = np.frombuffer(column.buffers()[1], dtype=np.int64, count=column.offset + n + 1)[column.offset :]
+    wide = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], dtype=wide, count=column.offset + n + 1)[column.offset :].astype(np.int64)
+    if column.null_count and np.diff(offsets)[column.is_null().to_numpy(zero_copy_only=False)].any():
+        yield from chunks(column.fill_null(""), limit)
+        return
     data = column.buffers()[2]
     raw = np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     first = 0
@@ -120,6 +123,15 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, size: int = 5):
             yield np.zeros(0, np.uint64)
 
 
+def release_memory() -> None:
+    """Gives back to the system what a finished task of this Python worker has freed; the worker lives on."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # other C libraries have no such call
+        pass
+
+
 class SpanHasher:
     """Hashes of many sets of spans of the same bytes, which are summed once."""
 
