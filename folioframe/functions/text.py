@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import StringType
 
 # Artefacts of a legacy text layer and what they stand for, applied in this order.
 LEGACY_CHARACTERS = [
@@ -183,7 +184,7 @@ def clean_story_title(c: Column) -> Column:
     return F.when(t.rlike(STORY_TITLE) & is_all_caps(title), F.struct(F.regexp_extract(t, STORY_TITLE, 1).cast("int").alias("number"), title.alias("title")))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     """Canonical composition, for comparisons only."""
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFC", t))
@@ -196,13 +197,13 @@ def _fold(t: str | None) -> str | None:
     return "".join(x for x in unicodedata.normalize("NFD", t) if not unicodedata.combining(x))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def folded(s: pd.Series) -> pd.Series:
     """Lower case without diacritics, for matching names."""
     return s.map(_fold)
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def ascii_letters(s: pd.Series) -> pd.Series:
     """Compatibility decomposition with all that is not ASCII dropped."""
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t.replace("Đ", "D").replace("đ", "d")).encode("ascii", "ignore").decode())

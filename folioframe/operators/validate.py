@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 DEFAULT_THRESHOLD = 0.9
 MIN_CHARS_PER_PAGE = 800
@@ -61,7 +62,7 @@ def _coverage(source: str | None, rendered: str | None) -> float:
     return min(1.0, (head + tail + inner) / len(a))
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _coverage_udf(source: pd.Series, rendered: pd.Series) -> pd.Series:
     return pd.Series([_coverage(a, b) for a, b in zip(source, rendered, strict=True)], dtype="float64")
 

@@ -53,12 +53,13 @@ def band_classify(spark, sf_dir):
 
 @query(
     "first_separator",
-    "SELECT l_orderkey, min(l_linenumber) AS draw_idx, min_by(l_extendedprice, CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey) AS y FROM lineitem WHERE l_quantity > 30 AND l_discount < 0.05 GROUP BY l_orderkey",
+    """SELECT l_orderkey, l_linenumber AS draw_idx, l_extendedprice AS y FROM (
+      SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_extendedprice) AS n FROM lineitem WHERE l_quantity > 30 AND l_discount < 0.05) WHERE n = 1""",
 )
 def first_separator(spark, sf_dir):
     hit = table(spark, sf_dir, "lineitem").where("l_quantity > 30 and l_discount < 0.05")
-    key = F.col("l_linenumber").cast("long") * 1000000000 + F.col("l_partkey")
-    return hit.groupBy("l_orderkey").agg(F.min("l_linenumber").alias("draw_idx"), F.min_by("l_extendedprice", key).alias("y"))
+    first = hit.groupBy("l_orderkey").agg(F.min(F.struct("l_linenumber", "l_partkey", "l_extendedprice")).alias("f"))
+    return first.select("l_orderkey", F.col("f.l_linenumber").alias("draw_idx"), F.col("f.l_extendedprice").alias("y"))
 
 
 @query(
@@ -107,7 +108,7 @@ def toc_entries_join(spark, sf_dir):
 @query(
     "toc_parts",
     f"""WITH {TOC_ENTRIES_SQL}
-    SELECT doc, entry_no, title, page AS start_page, coalesce(greatest(page, lead(page) OVER (PARTITION BY doc ORDER BY entry_no) - 1), 200) AS end_page FROM entries""",
+    SELECT doc, entry_no, title, page AS start_page, CASE WHEN lead(page) OVER w IS NULL THEN 200 ELSE greatest(page, lead(page) OVER w - 1) END AS end_page FROM entries WINDOW w AS (PARTITION BY doc ORDER BY entry_no)""",
 )
 def toc_parts(spark, sf_dir):
     e = seq.next_bound(_toc_entries(spark, sf_dir), ["doc"], ["entry_no"], "page", F.lit(200), "end_page")
@@ -165,7 +166,7 @@ def _day():
 @query(
     "leaf_bounds",
     f"""WITH e AS (SELECT event_id, user_id, ts, {DAY_SQL} AS start FROM events)
-    SELECT event_id, user_id, start, coalesce(greatest(start, lead(start) OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1), least(start + 4, 30)) AS "end" FROM e""",
+    SELECT event_id, user_id, start, CASE WHEN lead(start) OVER w IS NULL THEN least(start + 4, 30) ELSE greatest(start, lead(start) OVER w - 1) END AS "end" FROM e WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
 )
 def leaf_bounds(spark, sf_dir):
     """Each leaf ends before the next one starts; the last one some pages on, at most at the end."""
@@ -210,7 +211,7 @@ def heading_has_text(spark, sf_dir):
     return o.join(l, (o["o_orderkey"] == l["l_orderkey"]) & (l["l_shipdate"] > o["o_orderdate"]), "left_semi").select("o_orderkey")
 
 
-CARRY_SQL = f"""days AS (SELECT user_id, {DAY_SQL} AS day, max_by(CASE WHEN event_type = 'click' THEN event_id END, event_id) AS num FROM events GROUP BY 1, 2),
+CARRY_SQL = f"""days AS (SELECT user_id, {DAY_SQL} AS day, max(event_id) FILTER (WHERE event_type = 'click') AS num FROM events GROUP BY 1, 2),
 parts AS (SELECT *, sum(CASE WHEN day - prior = 1 THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY day) AS part FROM (SELECT *, lag(day) OVER (PARTITION BY user_id ORDER BY day) AS prior FROM days))"""
 
 
@@ -220,7 +221,7 @@ parts AS (SELECT *, sum(CASE WHEN day - prior = 1 THEN 0 ELSE 1 END) OVER (PARTI
 )
 def footnote_carry(spark, sf_dir):
     """The number still open on a page: the latest within ten pages, forgotten where a page is missing."""
-    days = events(spark, sf_dir).withColumn("day", _day()).groupBy("user_id", "day").agg(F.max_by(F.when(F.col("event_type") == "click", F.col("event_id")), F.col("event_id")).alias("num"))
+    days = events(spark, sf_dir).withColumn("day", _day()).groupBy("user_id", "day").agg(F.max(F.when(F.col("event_type") == "click", F.col("event_id"))).alias("num"))
     parts = seq.gap_islands(days, ["user_id"], "day", 1, "part")
     frame = seq.ordered(["user_id", "part"], ["day"]).rowsBetween(-10, 0)
     return parts.select("user_id", "day", F.last("num", ignorenulls=True).over(frame).alias("open_num"))
