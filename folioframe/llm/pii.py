@@ -177,7 +177,8 @@ def find_spans(spark: SparkSession, documents: DataFrame, *, text_col: str = "te
     found = candidates(documents, text_col)
     w = fit(found.select("__spans"))
     base = "s.v_pattern = 1 and s.kind < 4"
-    scored = f"transform(__spans, s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end, 'base', {base}, 'score', {_score(w)}))"
+    # A near miss of a check trains the classifier as a likely false span, and is never added.
+    scored = f"transform(filter(__spans, s -> s.v_pattern >= 0), s -> named_struct('start', s.start, 'kind', s.kind, 'end', s.end, 'base', {base}, 'score', {_score(w)}))"
     return found.withColumn("__spans", F.expr(f"filter({scored}, s -> s.base or s.score >= {accept})"))
 
 
