@@ -119,7 +119,7 @@ def search(pages: list[dict], query: np.ndarray, own: int, k: int) -> list[tuple
 
 
 def _build(top: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         ids = rows["vec_id"].to_numpy(np.int64)
         order = np.argsort(ids, kind="stable")
         ids, points = ids[order], np.stack(rows["x"].to_numpy()).astype(np.int64)[order]
@@ -149,7 +149,7 @@ def _load(rows: pd.DataFrame, d: int, top: int) -> list[dict]:
 
 
 def _answer(d: int, top: int, k: int):
-    def run(key, pages: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, pages: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         tree = _load(pages, d, top)
         found = []
         for q, x in zip(queries["vec_id"].tolist(), queries["x"], strict=True):

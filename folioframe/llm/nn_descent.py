@@ -68,7 +68,7 @@ def _matrix(values) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.int8).reshape(len(values), -1).astype(np.float32)
 
 
-def _within(key, rows: pd.DataFrame) -> pd.DataFrame:
+def _within(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """The best pairs of a block of nodes."""
     ids, x = rows["node"].to_numpy(np.int64), _matrix(rows["x"].tolist())
     k = min(NEIGHBOURS, len(ids) - 1)
@@ -194,7 +194,7 @@ def greedy(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarra
 
 
 def _search(keep: int):
-    def run(key, nodes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, nodes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(nodes) or not len(queries):
             return pd.DataFrame({"query_id": [], "node": [], "score": []}).astype({"query_id": "int64", "node": "int64", "score": "float64"})
         nodes = nodes.sort_values("node").reset_index(drop=True)
