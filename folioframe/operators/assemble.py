@@ -26,10 +26,16 @@ _DIVIDER, _CONTINUED = re.compile(r"[*\s-]+"), re.compile(r"\(\s*tiếp\s+theo\s
 _ROMAN, _NUMBER = re.compile(r"[IVXLCDM]+\s*[.-]?\s*(.+)"), re.compile(r"\[?\d+\]?\.\s+(.+)")
 
 
-def clean(s: str) -> str:
-    """``clean_spaces`` for one string."""
+def repair(s: str) -> str:
+    """``normalize_encoding`` for one string."""
     for old, new in t.LEGACY_CHARACTERS:
         s = s.replace(old, new)
+    return s
+
+
+def clean(s: str) -> str:
+    """``clean_spaces`` for one string."""
+    s = repair(s)
     for pattern, new in _SPACES:
         s = pattern.sub(new, s)
     return re.sub(r"^-\s*(\S)", r"- \1", s).strip()
