@@ -1,7 +1 @@
 """folioframe: a PySpark-native engine for laid-out documents and text corpora."""
-
-from pyspark import cloudpickle as _cloudpickle
-
-# Functions of this package travel to executors by value, so that executors need
-# not have the package on their own path.
-_cloudpickle.register_pickle_by_value(__import__(__name__))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from folioframe.operators import assemble, discovery, footnotes, layout, markdown, name_index, render, survey, toc
 from folioframe.operators.select import parse_spec
+from folioframe.session import ship
 from folioframe.sources import layout as source
 
 SECTION_NEEDS_PART = "--section needs --part: sections are numbered anew in every part"
@@ -59,7 +60,7 @@ def main(argv: list[str] | None = None) -> None:
     a = p.parse_args(argv)
     if a.command == "extract" and a.section and a.part is None:
         p.error(SECTION_NEEDS_PART)
-    spark = SparkSession.builder.appName("folioframe").getOrCreate()
+    spark = ship(SparkSession.builder.appName("folioframe").getOrCreate())
     read = spark.read.parquet
     if a.command == "extract":
         out = extract(source.read_spans(spark, a.spans), read(a.drawings), read(a.pages), a.last_page, a.part, parse_spec(a.section) if a.section else None)

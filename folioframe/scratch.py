@@ -9,6 +9,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from folioframe.session import ship
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one where it is unset (tests on one machine)."""
@@ -24,7 +26,7 @@ class Scratch:
     """Parquet tables that cut the lineage: a lost executor costs a re-read, never a re-run of earlier steps."""
 
     def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.base, self.n = spark, f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
+        self.spark, self.base, self.n = ship(spark), f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", 0
         atexit.register(self.clear)
 
     def save(self, df: DataFrame) -> DataFrame:
