@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from folioframe.llm import textkernel as tk
 
 BITS = 18
-SAMPLE = 12_000
+SAMPLE = 8_000
 STEMS = (4, 5, 6)
 MIN_DOCS = 4
 LEAST_DEVIATION = 4.0
