@@ -118,14 +118,14 @@ def search(pages: list[dict], query: np.ndarray, own: int, k: int) -> list[tuple
     return [(s, -i) for s, i in best]
 
 
-def _build(top: int):
+def _build(top: int, page: int):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         ids = rows["vec_id"].to_numpy(np.int64)
         order = np.argsort(ids, kind="stable")
         ids, points = ids[order], np.stack(rows["x"].to_numpy()).astype(np.int64)[order]
         lift = np.sqrt(np.maximum(top - (points * points).sum(1), 0).astype(np.float64))
         out = []
-        for n, p in enumerate(bulk_load(ids, points, lift)):
+        for n, p in enumerate(bulk_load(ids, points, lift, page)):
             r = p["rows"]
             out.append((int(key[0]), n, p["leaf"], ids[r].tobytes(), points[r].tobytes(), p["child"].astype(np.int64).tobytes(), p["radius"].tobytes(), p["to_parent"].tobytes()))
         return pd.DataFrame(out, columns=["shard", "page", "leaf", "ids", "points", "child", "radius", "to_parent"])
@@ -160,7 +160,7 @@ def _answer(d: int, top: int, k: int):
 
 
 def top_k(
-    spark: SparkSession, table: DataFrame, is_query: str, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, scale: int = 1024, shard: int = SHARD
+    spark: SparkSession, table: DataFrame, is_query: str, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 10, scale: int = 1024, shard: int = SHARD, page: int = PAGE
 ) -> DataFrame:
     """The k rows of the largest inner product of each query: query_id, rank, vec_id, score. ``is_query``: SQL over vec_id."""
     scratch = Scratch(spark, "mtree")
@@ -169,7 +169,7 @@ def top_k(
     n, top, d = facts[0], int(facts[1] or 0), facts[2] or 0
     shards = max(1, -(-n // shard))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "x"), F.lit(shards)).cast("int"))
-    pages = scratch.save(dealt.groupBy("shard").applyInPandas(_build(top), PAGES))
+    pages = scratch.save(dealt.groupBy("shard").applyInPandas(_build(top, page), PAGES))
     queries = one_per_id(rows.where(is_query).withColumnRenamed("x", "v")).withColumnRenamed("v", "x")
     blocks = max(1, -(-rows.where(is_query).count() // QUERY_BLOCK))
     asked = queries.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))

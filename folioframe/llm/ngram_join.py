@@ -113,7 +113,7 @@ def choose_l(estimates: np.ndarray, base: int, most: int) -> int:
     return best
 
 
-def _postings(size: int, percent: int, sketch: np.ndarray):
+def _postings(size: int, percent: int, sketch: np.ndarray, hot: int):
     mean = max(1.0, float(sketch.mean()))
     level = np.log2(1 + sketch / mean).astype(np.uint8)  # of frequency: far fewer levels than shingles
     extra = np.maximum(sketch - 2 * mean, 1).astype(np.float64)
@@ -141,7 +141,7 @@ def _postings(size: int, percent: int, sketch: np.ndarray):
                     nodes.append(np.full(k, node, np.int64))
                     metas.append((n << 34) | (np.arange(k, dtype=np.int64) << 8) | l)
                     f = f[:k]
-                    salts.append(np.where(f > HOT, node % np.maximum(1, (f / (HOT / 2))).astype(np.int64), -1).astype(np.int32))
+                    salts.append(np.where(f > hot, node % np.maximum(1, f / max(1, hot / 2)).astype(np.int64), -1).astype(np.int32))
                 if tokens:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(metas)), pa.array(np.concatenate(salts))], names=["token", "node", "meta", "salt"]
@@ -215,7 +215,7 @@ def _candidates(met: DataFrame, percent: int) -> DataFrame:
 
 
 def similar_components(
-    spark: SparkSession, documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80
+    spark: SparkSession, documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 80, hot: int = HOT
 ) -> DataFrame:
     """Per row of ``documents``: doc_id, n_shingles and component_id, the smallest id that links of similarity >= percent reach."""
     scratch = Scratch(spark, "ngram-join")
@@ -225,7 +225,7 @@ def similar_components(
     sketch = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(counts, key=lambda r: r["part"])]) if counts else np.zeros(1 << SKETCH_BITS, np.int64)
     rows = scan.where("part is null").select("doc_id", "n", "node")
 
-    postings = texts.select("text").mapInArrow(_postings(size, percent, sketch), "token long, node long, meta long, salt int")
+    postings = texts.select("text").mapInArrow(_postings(size, percent, sketch, hot), "token long, node long, meta long, salt int")
     group = Window.partitionBy("token", "salt")
     place = F.struct(F.shiftright("meta", 8).bitwiseAND(F.lit((1 << 26) - 1)), F.col("node"), F.col("meta"))
     met = postings.withColumn("k", F.count(F.lit(1)).over(group)).where("k > 1 or salt >= 0").withColumn("p", F.min(place).over(group))

@@ -148,10 +148,10 @@ def build_graph(spark: SparkSession, nodes: DataFrame, scratch: Scratch, shards:
     return graph
 
 
-def greedy(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarray, keep: int) -> np.ndarray:
+def greedy(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarray, keep: int, ef: int = EF) -> np.ndarray:
     """Row numbers of the ``keep`` best nodes found for each query, -1 where fewer; ``own``: a query's row, or -1."""
     n, q = len(x), len(queries)
-    if n <= EF:
+    if n <= ef:
         s = queries @ x.T
         order = np.argsort(-s, axis=1, kind="stable")[:, :keep]
         return np.pad(order, ((0, 0), (0, max(0, keep - n))), constant_values=-1)
@@ -165,7 +165,7 @@ def greedy(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarra
     seen[rows.repeat(pool.shape[1], 1)[pool >= 0], pool[pool >= 0]] = True
     done = ~np.isfinite(score)
     while True:
-        order = np.argsort(-score, axis=1, kind="stable")[:, :EF]
+        order = np.argsort(-score, axis=1, kind="stable")[:, :ef]
         pool, score, done = (np.take_along_axis(a, order, 1) for a in (pool, score, done))
         rank = np.cumsum(~done, axis=1)
         expand = ~done & (rank <= EXPAND)
@@ -193,7 +193,7 @@ def greedy(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarra
     return np.pad(best, ((0, 0), (0, max(0, keep - best.shape[1]))), constant_values=-1)
 
 
-def _search(keep: int):
+def _search(keep: int, ef: int):
     def run(key: tuple, nodes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(nodes) or not len(queries):
             return pd.DataFrame({"query_id": [], "node": [], "score": []}).astype({"query_id": "int64", "node": "int64", "score": "float64"})
@@ -222,7 +222,7 @@ def _search(keep: int):
         found = []
         for first in range(0, len(q), 256):
             part = slice(first, first + 256)
-            best = greedy(x, edges, q[part].astype(np.float32), own[part], keep)
+            best = greedy(x, edges, q[part].astype(np.float32), own[part], keep, ef)
             i, j = np.nonzero(best >= 0)
             node = best[i, j]
             found.append(pd.DataFrame({"query_id": q_ids[part][i], "node": ids[node], "score": np.einsum("nd,nd->n", q[part][i], exact[node])}))
@@ -232,7 +232,7 @@ def _search(keep: int):
 
 
 def nearest(
-    spark: SparkSession, table: DataFrame, is_query: str, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, shard: int = SHARD
+    spark: SparkSession, table: DataFrame, is_query: str, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, shard: int = SHARD, ef: int = EF
 ) -> DataFrame:
     """The k nearest rows found for each query by inner product: query_id, rank, vec_id, score. ``is_query``: SQL over vec_id."""
     scratch = Scratch(spark, "nn-descent")
@@ -252,7 +252,7 @@ def nearest(
     asked = queries.join(full.select("node", "v"), "v").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("vec_id", "node", "v", "block", "shard")
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_search(k + 1), "query_id long, node long, score double")
+    found = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_search(k + 1, ef), "query_id long, node long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("node"))
     found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("query_id", "node", "score")
     # A node stands for all rows of its vector: of each the k + 1 smallest ids, as one may be the query's own.

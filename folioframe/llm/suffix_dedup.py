@@ -131,7 +131,7 @@ def _count(width: int, buckets: int, flush: int = 1 << 19):
 MARKS = ("repeated", "mixed", "hot")
 
 
-def _repeated(buckets: int):
+def _repeated(buckets: int, hot_docs: int):
     region = (1 << BITMAP_BITS) // buckets
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -144,7 +144,7 @@ def _repeated(buckets: int):
         h, whole, docs = _merge(h, whole, docs)
         slot = (h >> tk.U64(48 - region.bit_length() + 1)).astype(np.int64)
         out = {"bucket": [int(rows["bucket"].iloc[0])]}
-        for name, which in zip(MARKS, (docs >= 2, (docs >= 2) & (whole == 0), (docs >= HOT_DOCS) & (whole == 0)), strict=True):
+        for name, which in zip(MARKS, (docs >= 2, (docs >= 2) & (whole == 0), (docs >= hot_docs) & (whole == 0)), strict=True):
             bits = np.zeros(region, bool)
             bits[slot[which]] = True
             out[name] = [np.packbits(bits).tobytes() if which.any() else None]
@@ -403,7 +403,7 @@ def _cut(with_text: bool):
 
 
 def remove_repeats(
-    spark: SparkSession, documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 50, with_text: bool = False
+    spark: SparkSession, documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 50, with_text: bool = False, hot_docs: int = HOT_DOCS
 ) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes."""
     scratch = Scratch(spark, "suffix-dedup")
@@ -411,7 +411,7 @@ def remove_repeats(
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.crc32(text.cast("binary")).alias("row_key"), text.alias("text"))
     buckets = 1 << min(13, max(6, (16 * input_partitions(documents) - 1).bit_length()))
     counted = rows.select("text").mapInArrow(_count(width, buckets), "bucket int, anchors binary, strings binary, docs binary")
-    regions = counted.groupBy("bucket").applyInPandas(_repeated(buckets), "bucket int, repeated binary, mixed binary, hot binary").collect()
+    regions = counted.groupBy("bucket").applyInPandas(_repeated(buckets, hot_docs), "bucket int, repeated binary, mixed binary, hot binary").collect()
     size = (1 << BITMAP_BITS) // 8
     bits = [bytearray(size) for _ in MARKS]
     for r in regions:

@@ -153,8 +153,7 @@ def test_similar_components(spark, docs, doc_rows, no_docs):
 
 
 @pytest.mark.parametrize("hot", [1, 10**9])
-def test_group_of_near_copies(spark, hot, monkeypatch):
-    monkeypatch.setattr(ngram_join, "HOT", hot)
+def test_group_of_near_copies(spark, hot):
     import random
 
     r = random.Random(1)
@@ -179,7 +178,7 @@ def test_group_of_near_copies(spark, hot, monkeypatch):
             if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
-    got = {x["doc_id"]: x["component_id"] for x in ngram_join.similar_components(spark, d).collect()}
+    got = {x["doc_id"]: x["component_id"] for x in ngram_join.similar_components(spark, d, hot=hot).collect()}
     assert got == {k: find(k) for k in range(90)}
 
 
@@ -265,9 +264,8 @@ def cut(rows, width=50):
 
 
 @pytest.mark.parametrize("hot", [2, 1024])
-def test_suffix_dedup(spark, docs, doc_rows, no_docs, hot, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT_DOCS", hot)
-    out = suffix_dedup.remove_repeats(spark, docs).drop("kept").collect()
+def test_suffix_dedup(spark, docs, doc_rows, no_docs, hot):
+    out = suffix_dedup.remove_repeats(spark, docs, hot_docs=hot).drop("kept").collect()
     assert sorted(map(tuple, out), key=str) == cut(doc_rows)
     assert suffix_dedup.remove_repeats(spark, no_docs).count() == 0
 

@@ -21,15 +21,14 @@ def usable(rs, d=8, zero=True):
 
 
 @pytest.mark.parametrize("shard", [40, 4096])
-def test_mtree(spark, shard, monkeypatch):
-    monkeypatch.setattr(mtree, "PAGE", 8)
+def test_mtree(spark, shard):
     rs = rows()
     data = [(k, np.floor(1024 * v).astype(int)) for k, v in usable(rs)]
     expected = []
     for q, x in {k: v for k, v in data if k % 50 == 0}.items():
         best = sorted(((-int(x @ v), k) for k, v in data if k != q))[:10]
         expected += [(q, n, k, -s) for n, (s, k) in enumerate(best, 1)]
-    out = mtree.top_k(spark, spark.createDataFrame(rs, SCHEMA).repartition(3), "vec_id % 50 = 0", shard=shard).collect()
+    out = mtree.top_k(spark, spark.createDataFrame(rs, SCHEMA).repartition(3), "vec_id % 50 = 0", shard=shard, page=8).collect()
     assert sorted(map(tuple, out)) == sorted(expected)
     assert mtree.top_k(spark, spark.createDataFrame([], SCHEMA), "vec_id % 50 = 0").count() == 0
 
@@ -51,11 +50,10 @@ def test_pages_pass_over():
 
 
 @pytest.mark.parametrize(("shard", "ef"), [(8192, 192), (150, 60)])
-def test_nn_descent(spark, shard, ef, monkeypatch):
-    monkeypatch.setattr(nn_descent, "EF", ef)
+def test_nn_descent(spark, shard, ef):
     rs = rows(400)
     data = usable(rs, zero=False)
-    out = nn_descent.nearest(spark, spark.createDataFrame(rs, SCHEMA).repartition(3), "vec_id % 20 = 0", shard=shard).collect()
+    out = nn_descent.nearest(spark, spark.createDataFrame(rs, SCHEMA).repartition(3), "vec_id % 20 = 0", shard=shard, ef=ef).collect()
     found, hit, total = {}, 0, 0
     for r in out:
         found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
