@@ -217,3 +217,24 @@ def slug(c: Column) -> Column:
 def slug_sql(x: str) -> str:
     ascii_only = rf"regexp_replace(strip_accents(replace(replace({x}, 'Đ', 'D'), 'đ', 'd')), '[^\x00-\x7F]', '', 'g')"
     return rf"regexp_replace(regexp_replace({ascii_only}, '[^A-Za-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g')"
+
+
+def heading_with_markers(title: str, printed: str) -> str:
+    """``title`` with the footnote markers of the heading as printed, each after the letter it follows there.
+
+    Letters are counted from the end, since the printed heading has a number in front. Where the two disagree on the
+    letters after a marker the title stays as it is.
+    """
+    import re
+
+    letters = [k for k, c in enumerate(title) if not c.isspace()]
+    bare = lambda s: re.sub(r"\s", "", re.sub(MARKER, "", s))
+    places: list[tuple[int, str]] = []
+    for m in re.finditer(MARKER, printed):
+        after = bare(printed[m.end() :])
+        if len(after) >= len(letters) or not "".join(title[k] for k in letters).endswith(after):
+            return title
+        places.append((letters[len(letters) - len(after) - 1] + 1, m[0]))
+    for at, marker in reversed(places):
+        title = title[:at] + marker + title[at:]
+    return title
