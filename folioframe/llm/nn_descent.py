@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folioframe.llm import textkernel as tk
 from folioframe.llm.vectors import one_per_id, ranked, usable
 from folioframe.scratch import Scratch
 
@@ -108,6 +109,7 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ss.append(score[b, i, j])
         if us:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs)), pa.array(np.concatenate(ss).astype(np.float32))], names=["u", "v", "s"])
+    tk.release_memory()
 
 
 def _best(pairs: DataFrame) -> DataFrame:
