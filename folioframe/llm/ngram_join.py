@@ -260,7 +260,8 @@ def similar_components(
 
     nodes = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     whole = nodes.join(final, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    smallest = whole.groupBy("c").agg(F.min("least").alias("component_id"))
+    # Written out, so that the join below shuffles both sides and Spark can split a large component.
+    smallest = scratch.save(whole.groupBy("c").agg(F.min("least").alias("component_id")))
     ids = whole.select("node", "c").join(smallest, "c").select("node", "component_id")
     out = rows.join(ids, "node", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
