@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioframe.functions import text as t
 from folioframe.operators import names, validate
 from folioframe.operators import sequence as seq
 from folioframe.plans.structure_queries import DAY_SQL, RUNS_SQL, _day, _runs
