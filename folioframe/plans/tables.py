@@ -10,9 +10,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, line_no, line) of all documents."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+def lines(spark: SparkSession, sf_dir: str, by_document: bool = False) -> DataFrame:
+    """(doc_id, line_no, line) of all documents.
+
+    ``by_document`` deals whole documents over the tasks first: windows by document then need no other shuffle, and the
+    costly work on lines is spread evenly however few files there are.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.repartition("doc_id") if by_document else docs
+    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
 
 
 LINES_SQL = """raw_lines AS (

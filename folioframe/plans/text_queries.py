@@ -111,7 +111,7 @@ SELECT doc_id, CAST(island AS BIGINT) AS para_no, count(*) AS n_lines, string_ag
 @query("paragraph_assembly", PARAGRAPHS_SQL)
 def paragraph_assembly(spark, sf_dir):
     """Lines joined into paragraphs: a new one after a line that ends a sentence."""
-    kept = lines(spark, sf_dir).select("doc_id", "line_no", t.clean_spaces(F.col("line")).alias("line")).where("line <> ''")
+    kept = lines(spark, sf_dir, by_document=True).select("doc_id", "line_no", t.clean_spaces(F.col("line")).alias("line")).where("line <> ''")
     runs = seq.islands_after(kept, ["doc_id"], ["line_no"], t.ends_sentence(F.col("line")))
     listed = runs.groupBy("doc_id", "island").agg(F.count(F.lit(1)).alias("n_lines"), F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("l"))
     return listed.select("doc_id", F.col("island").cast("long").alias("para_no"), "n_lines", F.array_join(F.transform("l", lambda x: x.line), " ").alias("para_text"))
@@ -143,7 +143,7 @@ def verse_runs(spark, sf_dir):
     """Runs of at least two short lines that are no headings and no list items."""
     line = F.col("line")
     verse = F.length(line).between(1, 60) & ~line.rlike(r"^\s*[0-9]") & ~t.is_all_caps(line)
-    c = lines(spark, sf_dir).select("doc_id", "line_no", verse.alias("verse"))
+    c = lines(spark, sf_dir, by_document=True).select("doc_id", "line_no", verse.alias("verse"))
     runs = seq.islands(c, ["doc_id"], ["line_no"], ~F.col("verse"))
     return runs.where("verse").groupBy("doc_id", "island").agg(F.min("line_no").alias("first_line"), F.count(F.lit(1)).alias("n_lines")).where("n_lines >= 2").drop("island")
 
