@@ -85,7 +85,7 @@ def candidates(rows: DataFrame, text_col: str) -> DataFrame:
     plans = [
         (EMAIL, F.contains(text, F.lit("@")), "1", f"if(regexp_extract(y.h, '[^.]+$', 0) in ({quoted(TLDS)}), 1, 0)"),
         (IP, text.rlike(r"[0-9]\.[0-9]"), "if(forall(split(y.h, '[.]'), p -> length(ltrim('0', p)) <= 3 and cast(right(p, 4) as int) <= 255), 1, -1)", "if(split(y.h, '[.]')[0] in ('0', '127', '255'), -1, 0)"),
-        (CARD, text.rlike(r"[0-9]{2}(?:[\x20-]?[0-9]){12}"), f"if({_luhn('y.h')}, 1, -1)", "if(left(y.h, 1) in ('3', '4', '5', '6'), 1, -1)"),
+        (CARD, text.rlike(r"[0-9](?:[\x20-]?[0-9]){13}"), f"if({_luhn('y.h')}, 1, -1)", "if(left(y.h, 1) in ('3', '4', '5', '6'), 1, -1)"),
         (PHONE, F.contains(text, F.lit("+")), f"if(length({_digits('y.h')}) between 10 and 15, 1, -1)", f"if(exists(array(1, 2), k -> substring(y.h, 2, k) in ({quoted(COUNTRY_CODES)})), 1, 0)"),
         (LOCAL_PHONE, text.rlike(r"[0-9]{3}[.\x20-][0-9]{4}"), "if(left(y.h, 1) = '(', 1, 0)", "if(right(y.h, 4) = '0000', -1, 0)"),
         (NAME, any_of(TITLES), "if(size(split(y.h, ' ')) > 2, 1, 0)", f"if(exists(split(y.h, ' '), w -> w in ({quoted(FIRST_NAMES)})), 1, 0)"),

@@ -90,6 +90,14 @@ def test_pii(spark, docs, doc_rows, no_docs):
     assert pii.redact(spark, docs).columns == docs.columns and pii.redact(spark, docs).count() == docs.count()
 
 
+@pytest.mark.parametrize(
+    "text", ["4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1 x", "pay 3 056930902590 4.", "2 3 4 5 6 7 8 9 10 11 12 13", "4 2-4 2-4 2-4 2-4 2-4 2-4 2", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 2", "1 2 3 4 5 6 7 8 9 1 2 3 4", "1 2 3 4 5 6 7 8 9 1 2 3 4 5 6 7 8 9 1 2"]
+)
+def test_cards_of_lone_digits(spark, text):
+    out = pii.find_spans(spark, spark.createDataFrame([(1, text)], "doc_id long, text string")).head()
+    assert [(s["start"], s["kind"], s["end"]) for s in out["__spans"] if s["base"]] == base_spans(text)
+
+
 def test_reliabilities():
     patterns = [((1, 1, 0, 1), 50.0), ((-1, 0, 0, 1), 40.0), ((-1, -1, 0, -1), 20.0)]
     _, post, _ = pii.estimate(patterns)
