@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import json
 import math
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -30,19 +32,32 @@ DOCS_PER_SHARD = 2048
 
 
 def default_ranks() -> str:
-    """The rank file of the byte-level vocabulary; it gives the ids of the file byte_bpe_50k.json, several times faster."""
+    """The rank file of the byte-level vocabulary; it gives the ids of the file byte_bpe_50k.json, several times faster.
+    Added tokens, which only the JSON file lists, are read from there."""
     import public_tokenizers
 
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens(ranks_path: str) -> dict[str, int]:
+    """The added tokens of the tokenizer file beside the rank file, if there is one: text is split at them."""
+    path = f"{os.path.splitext(ranks_path)[0]}.json"
+    if not os.path.exists(path):
+        return {}
+    with open(path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens") or []
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in added):
+        raise ValueError(f"{path}: added tokens that take in or depend on the text around them are not supported")
+    return {t["content"]: t["id"] for t in added}
+
+
 def load_encoder(ranks_path: str):
     import public_tokenizers
     import tiktoken
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added_tokens(ranks_path))
 
 
 def crc_of(ids: np.ndarray) -> int:
@@ -57,7 +72,7 @@ def _tokenise(ranks_path: str, length: int, end_id: int, shards: int, keep_ids:
                 part = batch.slice(first, 512)
                 out: dict[str, list] = {k: [] for k in ("shard", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids = np.append(np.asarray(encoder.encode_ordinary(text or ""), dtype=np.uint32), np.uint32(end_id)).astype("<u4")
+                    ids = np.append(np.asarray(encoder.encode(text or "", allowed_special="all"), dtype=np.uint32), np.uint32(end_id)).astype("<u4")
                     shard = zlib.crc32(f"{doc_id}:{crc_of(ids)}".encode()) % shards
                     for start in range(0, len(ids), length):
                         piece = ids[start : start + length]

@@ -54,6 +54,17 @@ def test_packing(spark, docs, doc_rows, no_docs):
     assert packing.pack_documents(spark, no_docs).count() == 0
 
 
+def test_added_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    e = "<|endoftext|>"
+    texts = [f"end of doc {e} next", e, f"{e}{e}", f"a  {e}  b\n{e}\n", f"é{e}ß's", f"<|endoftext|{e}>", "<|endoftext|", "<|ENDOFTEXT|>", f"  {e}", "plain text", "1 <|im_start|> 2", ""]
+    out = packing.pack_documents(spark, spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), keep_ids=True).collect()
+    assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in out} == {k: [*tok.encode(t, add_special_tokens=False).ids, 1] for k, t in enumerate(texts)}
+
+
 def test_lowest_cost_first():
     placed = packing.pack_shard([6, 5, 4, 3], 10, 1.0, 0.1)
     assert [(k, n, b) for k, _, n, b in placed] == [(0, 6, 0), (1, 5, 1), (2, 4, 1), (3, 3, 0)]
