@@ -7,8 +7,8 @@ and a bounded number of nodes that have it as neighbour are brought together by
 pairwise, and each gets the better pairs as proposals. Graph building uses vectors rounded to 8 bits; every score
 returned is computed on the original vectors in double precision.
 
-A query walks each shard's graph from its entry nodes, and from its own node if it is a row there: the best
-unexpanded nodes of its pool are expanded until the best EF are. The best of all shards are merged and scored exactly.
+A query walks each shard's graph from its entry nodes, one within an edge of every node, and from its own node if it is a
+row there: the best unexpanded nodes of its pool are expanded until the best EF are. The best of all shards are merged and scored exactly.
 The greedy search keeps a pool of EF nodes, and a node keeps NEIGHBOURS edges; recall is measured against brute force.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, or have another length than most,
@@ -40,7 +40,6 @@ ROUNDS = 5
 PROPOSALS = 6
 EF = 192
 EXPAND = 12
-ENTRIES = 24
 QUERY_BLOCK = 512
 
 
@@ -113,11 +112,13 @@ def _local_join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _best(pairs: DataFrame) -> DataFrame:
-    """(u, edges): the best different neighbours of each node; the limit on rows works before the shuffle too."""
+    """(u, edges): the best different neighbours of each node. A pair is proposed wherever both meet, so it counts once
+    before the limit, which works before the shuffle too."""
+    once = pairs.groupBy("u", "v").agg(F.max("s").alias("s"))
     order = Window.partitionBy("u").orderBy(F.desc("s"), F.asc("v"))
-    few = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= 4 * NEIGHBOURS)
-    listed = few.groupBy("u").agg(F.array_distinct(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("far"), F.col("v"))))).alias("e"))
-    return listed.select("u", F.slice("e", 1, NEIGHBOURS).alias("edges"))
+    few = once.withColumn("n", F.row_number().over(order)).where(F.col("n") <= NEIGHBOURS)
+    listed = few.groupBy("u").agg(F.array_sort(F.collect_list(F.struct((-F.col("s")).alias("far"), F.col("v")))).alias("edges"))
+    return listed.select("u", "edges")
 
 
 def build_graph(spark: SparkSession, nodes: DataFrame, scratch: Scratch, shards: int, rounds: int = ROUNDS) -> DataFrame:
@@ -150,14 +151,27 @@ def build_graph(spark: SparkSession, nodes: DataFrame, scratch: Scratch, shards:
     return graph
 
 
-def greedy(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarray, keep: int, ef: int = EF) -> np.ndarray:
+def cover(edges: np.ndarray) -> np.ndarray:
+    """Entry nodes such that each node is one or an edge's end of one: no cluster, however far from others, lacks one."""
+    covered = np.zeros(len(edges), bool)
+    entries = []
+    for u in range(len(edges)):
+        if not covered[u]:
+            entries.append(u)
+            covered[u] = True
+            ends = edges[u]
+            covered[ends[ends >= 0]] = True
+    return np.array(entries, np.int64)
+
+
+def greedy(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarray, keep: int, ef: int = EF, entries: np.ndarray | None = None) -> np.ndarray:
     """Row numbers of the ``keep`` best nodes found for each query, -1 where fewer; ``own``: a query's row, or -1."""
     n, q = len(x), len(queries)
     if n <= ef:
         s = queries @ x.T
         order = np.argsort(-s, axis=1, kind="stable")[:, :keep]
         return np.pad(order, ((0, 0), (0, max(0, keep - n))), constant_values=-1)
-    entries = np.linspace(0, n - 1, ENTRIES).astype(np.int64)
+    entries = cover(edges) if entries is None else entries
     pool = np.concatenate((np.tile(entries, (q, 1)), own[:, None]), 1)
     rows = np.arange(q)[:, None]
     score = np.where(pool >= 0, (queries @ x.T)[rows, pool] if n * q <= 1 << 22 else np.einsum("qd,qed->qe", queries, x[np.maximum(pool, 0)]), -np.inf)
@@ -221,10 +235,11 @@ def _search(keep: int, ef: int):
         q = np.stack(queries["v"].to_numpy()).astype(np.float64)
         at = np.minimum(np.searchsorted(ids, q_node), len(ids) - 1)
         own = np.where(ids[at] == q_node, at, -1)
+        entries = cover(edges)
         found = []
         for first in range(0, len(q), 256):
             part = slice(first, first + 256)
-            best = greedy(x, edges, q[part].astype(np.float32), own[part], keep, ef)
+            best = greedy(x, edges, q[part].astype(np.float32), own[part], keep, ef, entries)
             i, j = np.nonzero(best >= 0)
             node = best[i, j]
             found.append(pd.DataFrame({"query_id": q_ids[part][i], "node": ids[node], "score": np.einsum("nd,nd->n", q[part][i], exact[node])}))

@@ -66,3 +66,24 @@ def test_nn_descent(spark, shard, ef):
         total += 20
     assert hit / total >= 0.9
     assert nn_descent.nearest(spark, spark.createDataFrame([], SCHEMA), "vec_id % 20 = 0").count() == 0
+
+
+@pytest.mark.parametrize("clusters", [12, 48])
+def test_nn_descent_on_clusters(spark, tmp_path, clusters):
+    """Tight clusters, dealt over three shards: nodes keep their edges, and a search gets to the query's cluster in each."""
+    from folioframe.scratch import Scratch
+
+    rng = np.random.default_rng(3)
+    x = np.repeat(rng.normal(size=(clusters, 32)), 2400 // clusters, axis=0) + 0.05 * rng.normal(size=(2400, 32))
+    x = (x / np.linalg.norm(x, axis=1)[:, None]).astype(np.float32).astype(np.float64)
+    table = spark.createDataFrame([(k, v) for k, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").repartition(3)
+    out = nn_descent.nearest(spark, table, "vec_id % 20 = 0", shard=800, ef=60).toPandas()
+    s = x[::20] @ x.T
+    s[np.arange(120), np.arange(0, 2400, 20)] = -np.inf
+    best = np.argsort(-s, axis=1)[:, :20]
+    hit = sum(len(set(b.tolist()) & set(out.loc[out["query_id"] == 20 * k, "vec_id"])) for k, b in enumerate(best))
+    assert hit / best.size >= 0.95
+    nodes = spark.createDataFrame([(k, k % 3, np.rint(127 * v).astype(np.int8).tobytes()) for k, v in enumerate(x)], "node long, shard int, x binary")
+    edges = nn_descent.build_graph(spark, nodes, Scratch(spark, "clusters"), 3).toPandas()["edges"]
+    assert len(edges) == 2400 and edges.map(len).min() == nn_descent.NEIGHBOURS
+    assert edges.map(lambda e: len({v["v"] for v in e})).min() == nn_descent.NEIGHBOURS
