@@ -10,12 +10,14 @@ from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_NAMES = 200_000
 FUZZY_THRESHOLD = 0.9
+WORDS_AT_ONCE = 1 << 16
 
 
 def _listed(names: DataFrame, key: str, name: str) -> list[tuple]:
@@ -50,8 +52,40 @@ def exact(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str
     return texts.select(text_key, text).mapInPandas(run, f"{key} {kinds[key]}, {text_key} {kinds[text_key]}")
 
 
-def best_window(name: str, words: list[str], threshold: float = FUZZY_THRESHOLD) -> tuple[float, str] | None:
-    """The most similar run of words of about the name's length; the first of equal ones."""
+def likely_starts(names: list[str], words: list[str], threshold: float = FUZZY_THRESHOLD) -> list[dict[int, list[int]]]:
+    """For each name, by number of words, where a run of words has enough characters in common with it. The bound is
+    that of ``SequenceMatcher.quick_ratio``, for many runs at once; no run of a high enough ratio is left out."""
+    letters = {c: k for k, c in enumerate(sorted({c for n in names for c in n} | {" "}))}
+
+    def counts(text: str) -> list[int]:
+        return [text.count(c) for c in letters]
+
+    wanted = [(len(n.split()), len(n), np.array(counts(n), np.int32)) for n in names]
+    sizes = sorted({s for n, _, _ in wanted for s in (n - 1, n, n + 1) if s >= 1})
+    out: list[dict[int, list[int]]] = [{s: [] for s in (n - 1, n, n + 1) if s >= 1} for n, _, _ in wanted]
+    for first in range(0, len(words), WORDS_AT_ONCE):
+        part = words[first : first + WORDS_AT_ONCE + max(sizes, default=1) - 1]
+        known = {w: [*counts(w), len(w)] for w in set(part)}
+        rows = np.array([known[w] for w in part], np.int32)
+        sums = np.concatenate((np.zeros((1, len(letters) + 1), np.int32), np.cumsum(rows, axis=0, dtype=np.int32)))
+        for size in sizes:
+            n = min(WORDS_AT_ONCE, len(part) - size + 1)
+            if n < 1:
+                continue
+            window = sums[size : size + n] - sums[:n]
+            window[:, letters[" "]] += size - 1
+            length = window[:, -1] + size - 1
+            for k, (_, chars, count) in enumerate(wanted):
+                if size in out[k]:
+                    # First the bound of the lengths alone, which most runs fail.
+                    fits = np.flatnonzero(2.0 * np.minimum(length, chars) / (length + chars) >= threshold)
+                    common = np.minimum(window[fits, :-1], count).sum(1)
+                    out[k][size] += (first + fits[2.0 * common / (length[fits] + chars) >= threshold]).tolist()
+    return out
+
+
+def best_window(name: str, words: list[str], threshold: float = FUZZY_THRESHOLD, starts: dict[int, list[int]] | None = None) -> tuple[float, str] | None:
+    """The most similar run of words of about the name's length; the first of equal ones. ``starts``: where to look."""
     n = len(name.split())
     matcher = SequenceMatcher(None, autojunk=False)
     matcher.set_seq2(name)
@@ -59,7 +93,7 @@ def best_window(name: str, words: list[str], threshold: float = FUZZY_THRESHOLD)
     for size in (n, n - 1, n + 1):
         if size < 1:
             continue
-        for a in range(len(words) - size + 1):
+        for a in range(len(words) - size + 1) if starts is None else starts[size]:
             window = " ".join(words[a : a + size])
             least = threshold if best is None else best[0]
             matcher.set_seq1(window)
@@ -80,8 +114,9 @@ def fuzzy(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str
             out = []
             for t, s in zip(b[text_key], b[text], strict=True):
                 words = (s or "").lower().split()
-                for k, n in listed:
-                    if hit := best_window(n.lower(), words, threshold):
+                likely = likely_starts([n.lower() for _, n in listed], words, threshold)
+                for (k, n), starts in zip(listed, likely, strict=True):
+                    if hit := best_window(n.lower(), words, threshold, starts):
                         out.append((k, t, round(hit[0], 6), hit[1]))
             yield pd.DataFrame(out, columns=[key, text_key, "ratio", "window"])
 

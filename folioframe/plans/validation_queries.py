@@ -195,8 +195,8 @@ def name_tiers(spark, sf_dir):
 
 @query("name_fuzzy", None)
 def name_fuzzy(spark, sf_dir):
-    """The best window of words of each short document for each name, where it is close enough."""
-    docs = table(spark, sf_dir, "documents").where("n_chars < 1000").select("doc_id", "text")
+    """The best window of words of each document for each name, where it is close enough."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return names.fuzzy(_names(spark, sf_dir), docs, "item_id", "name", "doc_id", "text")
 
 

@@ -55,6 +55,31 @@ def test_fuzzy():
     assert names.best_window("thach sanh", "khong co gi".split()) is None
 
 
+def test_fuzzy_in_whole_documents(spark, tmp_path):
+    listed = ["Thach Sanh di", "Tam Cam va", "Ha ha x"]
+    long = "xua co " * 300
+    texts = [f"{long} thach sanf di", f"{long} tam cam va {long} tan cam va", "ha ha x", "thach sanh dj", long, None, ""]
+    spark.createDataFrame([(k, f"{n} more words") for k, n in enumerate(listed)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    data = [(k, t, None if k == 3 else len(t or "")) for k, t in enumerate(texts)]
+    spark.createDataFrame(data, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    got = catalogue.QUERIES["name_fuzzy"](spark, str(tmp_path)).collect()
+    hits = [(k, d, names.best_window(n.lower(), (t or "").lower().split())) for k, n in enumerate(listed) for d, t in enumerate(texts)]
+    expected = [(k, d, round(h[0], 6), h[1]) for k, d, h in hits if h]
+    assert sorted(map(tuple, got)) == sorted(expected) and {(0, 0), (0, 3), (1, 1), (2, 2)} == {e[:2] for e in expected}
+
+
+def test_likely_starts(monkeypatch):
+    import random
+
+    monkeypatch.setattr(names, "WORDS_AT_ONCE", 7)
+    r = random.Random(4)
+    word = lambda: "".join(r.choice("abé") for _ in range(r.randint(1, 4)))
+    for _ in range(60):
+        words, listed = [word() for _ in range(r.randint(0, 40))], [" ".join(word() for _ in range(r.randint(1, 3))) for _ in range(6)]
+        for n, starts in zip(listed, names.likely_starts(listed, words, 0.7), strict=True):
+            assert names.best_window(n, words, 0.7, starts) == names.best_window(n, words, 0.7)
+
+
 def test_tiers(spark):
     q = spark.createDataFrame([(1,), (2,), (3,)], "k int")
     a, b = spark.createDataFrame([(1, "x")], "k int, v string"), spark.createDataFrame([(1, "y"), (2, "z"), (2, "w")], "k int, v string")
