@@ -29,5 +29,7 @@ def components(edges: DataFrame, scratch: Scratch, rounds: int = 60) -> DataFram
         before, now = now, after
         if tuple(sums[0]) == tuple(sums[1]):
             break
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     # All edges are now stars: each node points to the smallest of its component.
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -1,9 +1,10 @@
 """Exact self-join on the Jaccard similarity of word shingles, with adaptive multi-match prefixes.
 
-Shingles get one global order: rare before frequent by a count sketch over all documents, then by hash. A document of
-n shingles that needs an overlap of a has the l-prefix of its first n - a + l shingles; two similar documents share at
-least l shingles of their l-prefixes. Each document takes the l of least estimated cost: postings to scan plus
-candidates to verify, of which every one must be met l times. A pair is counted at the smaller l of the two.
+Shingles get one global order: rare before frequent by their exact numbers of texts, kept as levels in a table of
+fixed size, then by hash. A document of n shingles that needs an overlap of a has the l-prefix of its first n - a + l
+shingles; two similar documents share at least l shingles of their l-prefixes. Each document takes the l of least
+estimated cost: postings, and candidates to verify, of which every one must be met l times. A pair is counted at the
+smaller l of the two. So what many unlike documents share stays outside their prefixes.
 
 Work is kept linear in groups of copies. Texts with equal shingle sets are one node. Within the postings of a shingle
 every node is first compared only with one pivot; nodes found linked are merged, and just candidates that still lie in
@@ -29,11 +30,11 @@ from pyspark.sql.window import Window
 
 from folioframe.llm import textkernel as tk
 from folioframe.llm.components import components
-from folioframe.scratch import Scratch
+from folioframe.scratch import Scratch, input_partitions
 
-SKETCH_BITS, SKETCH_PART = 18, 4096
+LEVEL_BITS, FREQUENT = 24, 8
 BITMAP_BITS, BITMAP_PART = 25, 1 << 19
-MAX_L = 4
+MAX_L = 8
 VERIFY_COST = 8.0
 HOT = 4096
 
@@ -51,30 +52,96 @@ def least_overlap(n, percent: int):
 
 def _scan(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
-            ids, n, sig = batch.column(0), [], []
+            n, sig = [], []
             for _, raw, offsets in tk.chunks(batch.column(1)):
                 sets = list(tk.shingle_sets(raw, offsets, size))
                 n += [len(s) for s in sets]
                 sig += [signature(s) if len(s) else None for s in sets]
-                if sets:
-                    sketch += np.bincount(np.concatenate(sets) >> tk.U64(64 - SKETCH_BITS), minlength=len(sketch))
-            k = len(n)
-            yield pa.RecordBatch.from_arrays(
-                [ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names=["doc_id", "n", "node", "part", "counts"]
-            )
-        parts = range(0, len(sketch), SKETCH_PART)
-        k = len(parts)
-        yield pa.RecordBatch.from_arrays(
-            [*[pa.nulls(k, pa.int64())] * 3, pa.array(range(k), pa.int32()), pa.array([sketch[p : p + SKETCH_PART].tobytes() for p in parts], pa.binary())], names=["doc_id", "n", "node", "part", "counts"]
-        )
+            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(sig, pa.int64())], names=["doc_id", "n", "node"])
 
     return run
 
 
-def _add(rows: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"part": [rows["part"].iloc[0]], "counts": [sum(np.frombuffer(x, np.int64) for x in rows["counts"]).astype(np.int64).tobytes()]})
+def _summed(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+    return h[first], np.add.reduceat(n[order], first)
+
+
+def _count(size: int, buckets: int, flush: int = 1 << 20):
+    """Shingles with their numbers of texts, equal ones of a task added up, packed by the bucket that their first bits name."""
+    wide = buckets.bit_length() - 1
+
+    def give(held: list[np.ndarray]) -> pa.RecordBatch:
+        h = np.concatenate(held)
+        h, n = _summed(h, np.ones(len(h), np.int64))
+        bucket = (h >> tk.U64(64 - wide)).astype(np.int32)
+        cut = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1])))
+        bounds = list(zip(cut.tolist(), np.append(cut[1:], len(h)).tolist(), strict=True))
+        # 48 bits below the bucket's own tell shingles apart.
+        six = ((h << tk.U64(wide)) >> tk.U64(16)).view(np.uint8).reshape(-1, 8)[:, :6]
+        n = np.minimum(n, 65535).astype(np.uint16)
+        packed = lambda x: pa.array([x[i:j].tobytes() for i, j in bounds], pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(bucket[cut]), packed(six), packed(n)], names=["bucket", "shingles", "texts"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        held, total = [], 0
+        for batch in batches:
+            for _, raw, offsets in tk.chunks(batch.column(0)):
+                for s in tk.shingle_sets(raw, offsets, size):
+                    if len(s) and (node := signature(s)) not in seen:
+                        seen.add(node)
+                        held.append(s)
+                        total += len(s)
+                        if total > flush:
+                            yield give(held)
+                            held, total = [], 0
+        if held:
+            yield give(held)
+        del held
+        tk.release_memory()
+
+    return run
+
+
+def _levels(buckets: int):
+    region = (1 << LEVEL_BITS) // buckets
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        six = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["shingles"]]).reshape(-1, 6)
+        h = np.zeros((len(six), 8), np.uint8)
+        h[:, :6] = six
+        h, n = _summed(h.view(np.uint64)[:, 0], np.concatenate([np.frombuffer(x, np.uint16) for x in rows["texts"]]).astype(np.int64))
+        least, room = FREQUENT, max(1, region // 4)
+        if np.count_nonzero(n >= least) > room:
+            least = max(least, int(np.partition(n, len(n) - room)[len(n) - room]))
+        often = n >= least
+        table = np.zeros(region, np.uint8)
+        np.maximum.at(table, (h[often] >> tk.U64(48 - region.bit_length() + 1)).astype(np.int64), np.minimum(np.floor(4 * np.log2(n[often])), 255).astype(np.uint8))
+        rest = n[~often]
+        return pd.DataFrame({"bucket": [int(rows["bucket"].iloc[0])], "levels": [table.tobytes() if often.any() else None], "met": [float((rest * (rest - 1)).sum())], "seen": [float(rest.sum())]})
+
+    return run
+
+
+def frequencies(texts: DataFrame, size: int) -> tuple[np.ndarray, float]:
+    """The level of each slot of shingles, and how many other texts a shingle below all levels meets on average.
+
+    A level is four times the logarithm of the exact number of texts, counted over all of them. The table has a fixed
+    size: where frequent shingles would fill more than a quarter of their bucket's slots, the least of them have none.
+    Two shingles of a slot share the higher level; any order that the shingle alone decides gives the same links.
+    """
+    buckets = 1 << min(LEVEL_BITS - 4, max(6, (4 * input_partitions(texts) - 1).bit_length()))
+    counted = texts.select("text").mapInArrow(_count(size, buckets), "bucket int, shingles binary, texts binary")
+    rows = counted.groupBy("bucket").applyInPandas(_levels(buckets), "bucket int, levels binary, met double, seen double").collect()
+    levels, region = np.zeros(1 << LEVEL_BITS, np.uint8), (1 << LEVEL_BITS) // buckets
+    for r in rows:
+        if r["levels"]:
+            levels[r["bucket"] * region :][:region] = np.frombuffer(r["levels"], np.uint8)
+    return levels, sum(r["met"] for r in rows) / max(1.0, sum(r["seen"] for r in rows))
 
 
 def _or(rows: pd.DataFrame) -> pd.DataFrame:
@@ -101,25 +168,26 @@ def node_bitmap(nodes: DataFrame) -> np.ndarray:
     return out
 
 
-def choose_l(estimates: np.ndarray, base: int, most: int) -> int:
-    """The l of least estimated cost; ``estimates``: postings of each shingle of the longest prefix, in order; ``base``: length of the 0-prefix."""
+def choose_l(partners: np.ndarray, base: int, most: int) -> int:
+    """The l of least estimated cost; ``partners``: other texts at each shingle of the longest prefix, in order; ``base``:
+    length of the 0-prefix. Each posting costs 1; of the pairs met at most one in l is met l times and compared."""
     best, best_cost = 1, np.inf
-    sums = np.cumsum(estimates)
+    sums = np.cumsum(partners)
     for l in range(1, most + 1):
-        met = sums[min(base + l, len(sums)) - 1]
-        cost = met + VERIFY_COST * met / l
+        k = min(base + l, len(sums))
+        cost = k + VERIFY_COST * sums[k - 1] / l
         if cost < best_cost:
             best, best_cost = l, cost
     return best
 
 
-def _postings(size: int, percent: int, sketch: np.ndarray, hot: int):
-    mean = max(1.0, float(sketch.mean()))
-    level = np.log2(1 + sketch / mean).astype(np.uint8)  # of frequency: far fewer levels than shingles
-    extra = np.maximum(sketch - 2 * mean, 1).astype(np.float64)
-
+def _postings(size: int, percent: int, levels, rare: float, hot: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        table = levels.value
+        number = np.exp2(np.arange(256) / 4)  # of texts, by level
+        partners = np.where(np.arange(256) > 0, number - 1, rare)
+        parts = np.where(number > hot, np.maximum(1, number / max(1, hot / 2)), 0).astype(np.int64)
         for batch in batches:
             for _, raw, offsets in tk.chunks(batch.column(0)):
                 tokens, nodes, metas, salts = [], [], [], []
@@ -130,18 +198,16 @@ def _postings(size: int, percent: int, sketch: np.ndarray, hot: int):
                     seen.add(node)
                     need = least_overlap(n, percent)
                     longest = min(n, n - need + min(MAX_L, need))
-                    bucket = (s >> tk.U64(64 - SKETCH_BITS)).astype(np.int64)
-                    lv = level[bucket]
+                    lv = table[(s >> tk.U64(64 - LEVEL_BITS)).astype(np.int64)]
                     order = np.argsort(lv, kind="stable")[:longest]  # s is sorted by hash
-                    f = extra[bucket[order]]
-                    l = choose_l(f, n - need, min(MAX_L, need))
+                    l = choose_l(partners[lv[order]], n - need, min(MAX_L, need))
                     keep = order[: n - need + l]
                     k = len(keep)
                     tokens.append(s[keep])
                     nodes.append(np.full(k, node, np.int64))
                     metas.append((n << 34) | (np.arange(k, dtype=np.int64) << 8) | l)
-                    f = f[:k]
-                    salts.append(np.where(f > hot, node % np.maximum(1, f / max(1, hot / 2)).astype(np.int64), -1).astype(np.int32))
+                    p = parts[lv[keep]]
+                    salts.append(np.where(p > 0, node % np.maximum(p, 1), -1).astype(np.int32))
                 if tokens:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(metas)), pa.array(np.concatenate(salts))], names=["token", "node", "meta", "salt"]
@@ -220,16 +286,17 @@ def similar_components(
     """Per row of ``documents``: doc_id, n_shingles and component_id, the smallest id that links of similarity >= percent reach."""
     scratch = Scratch(spark, "ngram-join")
     texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    scan = scratch.save(texts.mapInArrow(_scan(size), "doc_id long, n long, node long, part int, counts binary"))
-    counts = scan.where("part is not null").select("part", "counts").groupBy("part").applyInPandas(_add, "part int, counts binary").collect()
-    sketch = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(counts, key=lambda r: r["part"])]) if counts else np.zeros(1 << SKETCH_BITS, np.int64)
-    rows = scan.where("part is null").select("doc_id", "n", "node")
+    rows = scratch.save(texts.mapInArrow(_scan(size), "doc_id long, n long, node long"))
+    levels, rare = frequencies(texts, size)
+    shared = spark.sparkContext.broadcast(levels)
+    scratch.release()
 
-    postings = texts.select("text").mapInArrow(_postings(size, percent, sketch, hot), "token long, node long, meta long, salt int")
+    postings = texts.select("text").mapInArrow(_postings(size, percent, shared, rare, hot), "token long, node long, meta long, salt int")
     group = Window.partitionBy("token", "salt")
     place = F.struct(F.shiftright("meta", 8).bitwiseAND(F.lit((1 << 26) - 1)), F.col("node"), F.col("meta"))
     met = postings.withColumn("k", F.count(F.lit(1)).over(group)).where("k > 1 or salt >= 0").withColumn("p", F.min(place).over(group))
     met = scratch.save(met.select("token", "node", "meta", F.col("p.node").alias("pivot"), F.col("p.meta").alias("pivot_meta")))
+    shared.unpersist()
     scratch.release()
 
     stars = met.where("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"), F.col("meta").alias("ma"), F.col("pivot_meta").alias("mb"))

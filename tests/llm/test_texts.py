@@ -201,6 +201,30 @@ def test_group_of_near_copies(spark, hot):
     assert got == {k: find(k) for k in range(90)}
 
 
+def test_shared_passage_stays_out_of_prefixes(spark):
+    """What 400 unlike documents share meets no two of them: postings of its shingles would give 80 000 pairs each."""
+    import random
+
+    r = random.Random(3)
+    passage = " ".join(f"p{k}" for k in range(12))
+    texts = [" ".join(f"w{r.randrange(10**9)}" for _ in range(60)) + f" {passage}" for _ in range(400)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    levels, rare = ngram_join.frequencies(table, 5)
+    assert np.count_nonzero(levels) == 8 and rare == 0.0  # 8 shingles of the passage alone, four times log2(400)
+    assert set(levels[levels > 0].tolist()) == {34}
+    shared = spark.sparkContext.broadcast(levels)
+    met = table.select("text").mapInArrow(ngram_join._postings(5, 80, shared, rare, 4096), "token long, node long, meta long, salt int")
+    assert met.groupBy("token").count().where("count > 1").count() == 0
+    out = ngram_join.similar_components(spark, table).collect()
+    assert all(x["component_id"] == x["doc_id"] for x in out)
+
+
+def test_choice_of_l():
+    assert ngram_join.choose_l(np.zeros(12), 4, 8) == 1  # nothing to compare: short prefixes
+    assert ngram_join.choose_l(np.full(12, 50.0), 4, 8) == 8  # costly candidates: many shared shingles
+    assert ngram_join.choose_l(np.array([1, 1, 1, 1, 1, 1, 900.0, 900.0]), 4, 4) == 2  # up to where frequent ones begin
+
+
 # op7
 def test_language(spark, docs, doc_rows, no_docs):
     en, fr = "the and of this that house garden walking", "le la les dans pour maison jardin marchait"
