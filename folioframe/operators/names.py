@@ -52,9 +52,9 @@ def exact(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str
     return texts.select(text_key, text).mapInPandas(run, f"{key} {kinds[key]}, {text_key} {kinds[text_key]}")
 
 
-def likely_starts(names: list[str], words: list[str], threshold: float = FUZZY_THRESHOLD) -> list[dict[int, list[int]]]:
-    """For each name, by number of words, where a run of words has enough characters in common with it. The bound is
-    that of ``SequenceMatcher.quick_ratio``, for many runs at once; no run of a high enough ratio is left out."""
+def likely_windows(names: list[str], words: list[str], threshold: float = FUZZY_THRESHOLD) -> list[list[tuple[float, int, int]]]:
+    """For each name (bound, words, first word) of the runs of about its number of words that may be similar enough, by
+    descending bound. The bound counts characters in common, for many runs at once, and is never below the ratio."""
     letters = {c: k for k, c in enumerate(sorted({c for n in names for c in n} | {" "}))}
 
     def counts(text: str) -> list[int]:
@@ -62,7 +62,7 @@ def likely_starts(names: list[str], words: list[str], threshold: float = FUZZY_T
 
     wanted = [(len(n.split()), len(n), np.array(counts(n), np.int32)) for n in names]
     sizes = sorted({s for n, _, _ in wanted for s in (n - 1, n, n + 1) if s >= 1})
-    out: list[dict[int, list[int]]] = [{s: [] for s in (n - 1, n, n + 1) if s >= 1} for n, _, _ in wanted]
+    out: list[list[tuple[float, int, int]]] = [[] for _ in names]
     for first in range(0, len(words), WORDS_AT_ONCE):
         part = words[first : first + WORDS_AT_ONCE + max(sizes, default=1) - 1]
         known = {w: [*counts(w), len(w)] for w in set(part)}
@@ -75,34 +75,34 @@ def likely_starts(names: list[str], words: list[str], threshold: float = FUZZY_T
             window = sums[size : size + n] - sums[:n]
             window[:, letters[" "]] += size - 1
             length = window[:, -1] + size - 1
-            for k, (_, chars, count) in enumerate(wanted):
-                if size in out[k]:
+            for k, (number, chars, count) in enumerate(wanted):
+                if abs(size - number) <= 1:
                     # First the bound of the lengths alone, which most runs fail.
                     fits = np.flatnonzero(2.0 * np.minimum(length, chars) / (length + chars) >= threshold)
-                    common = np.minimum(window[fits, :-1], count).sum(1)
-                    out[k][size] += (first + fits[2.0 * common / (length[fits] + chars) >= threshold]).tolist()
-    return out
-
-
-def best_window(name: str, words: list[str], threshold: float = FUZZY_THRESHOLD, starts: dict[int, list[int]] | None = None) -> tuple[float, str] | None:
-    """The most similar run of words of about the name's length; the first of equal ones. ``starts``: where to look."""
-    n = len(name.split())
-    matcher = SequenceMatcher(None, autojunk=False)
-    matcher.set_seq2(name)
+                    bound = 2.0 * np.minimum(window[fits, :-1], count).sum(1) / (length[fits] + chars)
+                    ok = bound >= threshold
+                    out[k] += zip(bound[ok].tolist(), [size] * int(ok.sum()), (first + fits[ok]).tolist(), strict=True)
+    return [sorted(x, reverse=True) for x in out]
+
+
+def most_similar(name: str, words: list[str], threshold: float = FUZZY_THRESHOLD, windows: list[tuple[float, int, int]] | None = None) -> tuple[float, str, int] | None:
+    """(ratio, run, first word) of the run of words most similar to the name, best bounds first until none can be
+    better. Of equal ones the run of as many words as the name has counts, then the shorter, then the earlier."""
+    number = len(name.split())
+    scorer = SequenceMatcher(None, "", name, autojunk=False)
+    ratios: dict[str, float] = {}
     best = None
-    for size in (n, n - 1, n + 1):
-        if size < 1:
-            continue
-        for a in range(len(words) - size + 1) if starts is None else starts[size]:
-            window = " ".join(words[a : a + size])
-            least = threshold if best is None else best[0]
-            matcher.set_seq1(window)
-            if matcher.real_quick_ratio() < least or matcher.quick_ratio() < least:
-                continue
-            ratio = matcher.ratio()
-            if ratio >= threshold and (best is None or ratio > best[0]):
-                best = (ratio, window)
-    return best
+    for bound, size, at in likely_windows([name], words, threshold)[0] if windows is None else windows:
+        if best and bound < best[0]:
+            break
+        run = " ".join(words[at : at + size])
+        if run not in ratios:
+            scorer.set_seq1(run)
+            ratios[run] = scorer.ratio()
+        rank = (ratios[run], size == number, -size, -at, run)
+        if rank[0] >= threshold and (best is None or rank > best):
+            best = rank
+    return best and (best[0], best[4], -best[3])
 
 
 def fuzzy(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str, text: str, threshold: float = FUZZY_THRESHOLD) -> DataFrame:
@@ -114,9 +114,9 @@ def fuzzy(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str
             out = []
             for t, s in zip(b[text_key], b[text], strict=True):
                 words = (s or "").lower().split()
-                likely = likely_starts([n.lower() for _, n in listed], words, threshold)
-                for (k, n), starts in zip(listed, likely, strict=True):
-                    if hit := best_window(n.lower(), words, threshold, starts):
+                likely = likely_windows([n.lower() for _, n in listed], words, threshold)
+                for (k, n), windows in zip(listed, likely, strict=True):
+                    if windows and (hit := most_similar(n.lower(), words, threshold, windows)):
                         out.append((k, t, round(hit[0], 6), hit[1]))
             yield pd.DataFrame(out, columns=[key, text_key, "ratio", "window"])
 

@@ -35,6 +35,27 @@ def test_resolution(spark):
     assert '"aliasOf"' not in name_index.to_json(i).where("ord = 0").head()["json"]
 
 
+def test_tiers_of_names():
+    find = lambda name, body: name_index.locate(name, "story", body, [])
+    assert find("Sơn Tinh", "Son tinh rồi SƠN TINH đi") == (1, "SƠN TINH", None)
+    assert find("Co - lo", "xa CO\nLO.") == (1, "CO\nLO", None)
+    assert find("Đỗ quyên", "một do  quyen kêu") == (2, "do  quyen", None)
+    assert find("Tinh", "SƠNTINH, Tinhx, x_tinh") is None
+    assert find("Thạch Sanh đi", "và thach sanf, đi") == (3, "thach sanf, đi", None)
+    assert find("Vua (bản khác)", "ông vua") == (1, "vua", None)
+    assert find("", "x") is None and find("x", None) is None
+
+
+def test_odd_records():
+    read = name_index.read_records
+    got = read([["A", "số", "I"], ["b c", "D", "số", "tạp", "[7]", "tập", "II", "E, Chú thích", "số", "1", "I"], [], ["Chú thích", "F", "Xem D"]])
+    assert [(r[0], r[2]) for r in got] == [("A b c", None), ("D", None), ("E", None), ("F", "D")]
+    assert [[(x["story"], x["location"]) for x in r[3]] for r in got] == [[], [(7, "story")], [(1, "chu-thich")], []]
+    assert read([["A", "Khảo dị", "số", "3", "II"]])[0][3][0]["location"] == "khao-di"
+    with pytest.raises(ValueError):
+        read([["số", "1", "I"]])
+
+
 def test_commands(spark, tmp_path):
     toc = "MỤC LỤC\nPHẦN THỨ HAI ........ 2\nKHO ........ 2\nI. NGUỒN GỐC ........ 2\n1. Một ........ 2\n2. Hai ........ 4\nLỜI SAU SÁCH ........ 6"
     spans, drawings = placed(spark, [(1, 2, 99, 100, "I. NGUỒN GỐC", "Times-Roman", 13.7), (1, 2, 99, 150, "1. MỘT", "Times-Roman", 13.7), (1, 2, 99, 300, "Xưa có người.", "Times-Roman", 13.7), (1, 4, 99, 100, "2. HAI", "Times-Roman", 13.7), (1, 4, 99, 300, "Hết.", "Times-Roman", 13.7)])

@@ -1,3 +1,5 @@
+from difflib import SequenceMatcher
+
 """Every query with SQL against DuckDB on the smallest tables, and what SQL cannot say on small fixtures."""
 
 import os
@@ -51,8 +53,8 @@ def test_coverage():
 
 
 def test_fuzzy():
-    assert names.best_window("thach sanh", "xua co thach sanf o".split())[1] == "thach sanf"
-    assert names.best_window("thach sanh", "khong co gi".split()) is None
+    assert names.most_similar("thach sanh", "xua co thach sanf o".split())[1] == "thach sanf"
+    assert names.most_similar("thach sanh", "khong co gi".split()) is None
 
 
 def test_fuzzy_in_whole_documents(spark, tmp_path):
@@ -63,12 +65,12 @@ def test_fuzzy_in_whole_documents(spark, tmp_path):
     data = [(k, t, None if k == 3 else len(t or "")) for k, t in enumerate(texts)]
     spark.createDataFrame(data, "doc_id long, text string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     got = catalogue.QUERIES["name_fuzzy"](spark, str(tmp_path)).collect()
-    hits = [(k, d, names.best_window(n.lower(), (t or "").lower().split())) for k, n in enumerate(listed) for d, t in enumerate(texts)]
+    hits = [(k, d, names.most_similar(n.lower(), (t or "").lower().split())) for k, n in enumerate(listed) for d, t in enumerate(texts)]
     expected = [(k, d, round(h[0], 6), h[1]) for k, d, h in hits if h]
     assert sorted(map(tuple, got)) == sorted(expected) and {(0, 0), (0, 3), (1, 1), (2, 2)} == {e[:2] for e in expected}
 
 
-def test_likely_starts(monkeypatch):
+def test_likely_windows(monkeypatch):
     import random
 
     monkeypatch.setattr(names, "WORDS_AT_ONCE", 7)
@@ -76,8 +78,13 @@ def test_likely_starts(monkeypatch):
     word = lambda: "".join(r.choice("abé") for _ in range(r.randint(1, 4)))
     for _ in range(60):
         words, listed = [word() for _ in range(r.randint(0, 40))], [" ".join(word() for _ in range(r.randint(1, 3))) for _ in range(6)]
-        for n, starts in zip(listed, names.likely_starts(listed, words, 0.7), strict=True):
-            assert names.best_window(n, words, 0.7, starts) == names.best_window(n, words, 0.7)
+        for n, windows in zip(listed, names.likely_windows(listed, words, 0.7), strict=True):
+            got = names.most_similar(n, words, 0.7, windows)
+            every = [(SequenceMatcher(None, " ".join(words[a : a + s]), n, autojunk=False).ratio(), s == len(n.split()), -s, -a) for s in range(len(n.split()) - 1, len(n.split()) + 2) if s for a in range(len(words) - s + 1)]
+            best = max(every, default=(0.0,))
+            assert (got is None) == (best[0] < 0.7)
+            if got:
+                assert got == (best[0], " ".join(words[-best[3] : -best[3] - best[2]]), -best[3])
 
 
 def test_tiers(spark):
