@@ -6,25 +6,25 @@ from folioframe.sources.layout import PAGES, placed
 
 
 def test_markers_out():
-    text, places = lv.without_markers("SỰ TÍCH  CÁ HE[^1] và\nTHÔI SINH [^2] x")
-    assert text == "SỰ TÍCH CÁ HE và THÔI SINH x"
-    assert [(text[:p].split()[-1], n) for p, n in places] == [("HE", 1), ("SINH", 2)]
+    text, places = lv.without_markers("BẾN  ĐÒ[^1] và\nCON TÀU [^2] x")
+    assert text == "BẾN ĐÒ và CON TÀU x"
+    assert [(text[:p].split()[-1], n) for p, n in places] == [("ĐÒ", 1), ("TÀU", 2)]
 
 
 def test_score():
-    pages = [(1, "Xưa có người."), (2, "Người ấy đi. 1 Ghi chú.")]
-    cov, raw, markers = lv.score("Xưa có người. Người[^1] ấy đi.", [(2, 2, "Ghi chú.")], pages, 1, 2)
+    pages = [(1, "Gió thổi mạnh."), (2, "Thuyền trở về. 1 Ghi chú.")]
+    cov, raw, markers = lv.score("Gió thổi mạnh. Thuyền[^1] trở về.", [(2, 2, "Ghi chú.")], pages, 1, 2)
     assert cov == 1.0 and 0.9 < raw <= 1.0 and markers == [(2, 1)]
     assert lv.score("x", [], [], 1, 2) == (0.0, 0.0, [])
     assert lv.score("", [], pages, 1, 2)[0] == 0.0
 
 
 def test_leaves(spark):
-    good = "## 1. A\n\nXưa có người. Người[^1] ấy đi.\n\n[^1]: (Trang 2) Ghi chú.\n"
+    good = "## 1. A\n\nGió thổi mạnh. Thuyền[^1] trở về.\n\n[^1]: (Trang 2) Ghi chú.\n"
     bad = "## 2. B\n\nHoàn toàn khác hẳn[^3].\n"
     files = spark.createDataFrame([("a", good), ("b", bad)], "path string, text string")
     jobs = spark.createDataFrame([("a", 1, 1, 2), ("b", 1, 3, 3), ("c", 1, 4, 4)], "path string, doc_id long, start_page int, end_page int")
-    pages = spark.createDataFrame([(1, 1, "Xưa có người."), (1, 2, "Người ấy đi. 1 Ghi chú."), (1, 3, "zzz"), (1, 4, "qq")], PAGES)
+    pages = spark.createDataFrame([(1, 1, "Gió thổi mạnh."), (1, 2, "Thuyền trở về. 1 Ghi chú."), (1, 3, "zzz"), (1, 4, "qq")], PAGES)
     notes = spark.createDataFrame([(1, 1, 2, 3, "x")], "doc_id long, num int, page int, end_page int, text string")
     allowed = spark.createDataFrame([("b", "ORPHAN_MARKER:3@3", "known")], "path string, flag string, reason string")
     got = {r["path"]: r for r in lv.validate_leaves(files, jobs, pages, notes, allowed, min_density=5, tasks=2).collect()}
@@ -37,7 +37,7 @@ def test_leaves(spark):
 
 @pytest.mark.parametrize(
     ("value", "expected"),
-    [("3.TÍNH CÁCH PHÊ PHÁN HIỆN THỰC", (3, "TÍNH CÁCH PHÊ PHÁN HIỆN THỰC")), ("[2]. TÍNH CÁCH PHÊ PHáN HIỆN THỰC1", (2, "TÍNH CÁCH PHÊ PHáN HIỆN THỰC")), ("3. Tính cách", None), ("IV. NỘI DUNG", None)],
+    [("5.NGHỀ ĐÓNG THUYỀN VÙNG BIỂN XA", (5, "NGHỀ ĐÓNG THUYỀN VÙNG BIỂN XA")), ("[6]. NGHỀ ĐÓNG THUYềN VÙNG BIỂN XA2", (6, "NGHỀ ĐÓNG THUYềN VÙNG BIỂN XA")), ("5. Nghề đóng", None), ("VII. SÔNG NƯỚC", None)],
 )
 def test_essay_heading(spark, value, expected):
     got = spark.createDataFrame([(value,)], "x string").select(essays.essay_heading(F.col("x")).alias("h")).head()["h"]
