@@ -209,6 +209,17 @@ def ascii_letters(s: pd.Series) -> pd.Series:
     return s.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t.replace("Đ", "D").replace("đ", "d")).encode("ascii", "ignore").decode())
 
 
+def fixed_point(digits: int):
+    """A function of a column of numbers: their decimal spelling, rounded from the exact binary value. The JVM's own
+    formatting rounds the shortest decimal spelling, which is not the same."""
+
+    @pandas_udf(StringType())
+    def spelled(s: pd.Series) -> pd.Series:
+        return s.map(lambda v: f"{v:.{digits}f}", na_action="ignore").astype(object).where(s.notna(), None)
+
+    return spelled
+
+
 def slug(c: Column) -> Column:
     """A file name: ASCII letters and digits with underscores between."""
     return F.regexp_replace(F.regexp_replace(ascii_letters(c), r"[^A-Za-z0-9]+", "_"), r"^_+|_+$", "")

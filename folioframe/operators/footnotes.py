@@ -29,7 +29,7 @@ def split_notes(text: Column) -> Column:
         head = F.concat(acc["seen"], F.get(between, i))
         inside = (opened(head) > 0) & (opened(rest) < 0)
         wanted = acc["next"].cast("string")
-        ok = ~inside & ((d.cast("int") == acc["next"]) | (d == F.concat(wanted, wanted)))
+        ok = ~inside & ((d.try_cast("int") == acc["next"]) | (d == F.concat(wanted, wanted)))
         return F.struct(
             F.when(ok, acc["next"] + 1).otherwise(acc["next"]).alias("next"),
             F.concat(head, F.get(hits, i)).alias("seen"),
@@ -47,7 +47,7 @@ def split_notes(text: Column) -> Column:
         lambda n: F.struct(n["num"].alias("num"), F.when(n["continued"], t.clean_spaces(n["text"])).otherwise(F.regexp_replace(t.clean_spaces(n["text"]), r"^[.\s-]+", "")).alias("text"), n["continued"].alias("continued")),
     )
     lone = rf"^([0-9]+)(?:[.\s]+|(?=[{t.UPPER_RANGE}]))"
-    fallback = F.array(F.struct(F.regexp_extract(clean, lone, 1).cast("int").alias("num"), t.clean_spaces(F.regexp_replace(clean, lone, "")).alias("text"), F.lit(False).alias("continued")))
+    fallback = F.array(F.struct(F.regexp_extract(clean, lone, 1).try_cast("int").alias("num"), t.clean_spaces(F.regexp_replace(clean, lone, "")).alias("text"), F.lit(False).alias("continued")))
     none = F.size(F.filter(tidy, lambda n: ~n["continued"])) == 0
     found = F.filter(tidy, lambda n: ~n["continued"] | (n["text"] != ""))
     return F.when(clean == "", F.expr("cast(array() as array<struct<num:int,text:string,continued:boolean>>)")).when(none & clean.rlike(lone), fallback).otherwise(found)

@@ -136,7 +136,7 @@ def validate_leaves(
 def report(results: DataFrame, worst: int = 15) -> str:
     """The Markdown report: counts by status, the leaves of least coverage, and every leaf that needs review."""
     counts = {r["status"]: r["count"] for r in results.groupBy("status").count().collect()}
-    row = F.format_string("| %s | %.3f | %.3f | %.0f | %s | %s |", "path", "rendered_coverage", "raw_coverage", "density", "status", F.array_join("flags", ", "))
+    row = F.format_string("| %s | %s | %s | %s | %s | %s |", "path", t.fixed_point(3)("rendered_coverage"), t.fixed_point(3)("raw_coverage"), t.fixed_point(0)("density"), "status", F.array_join("flags", ", "))
     low = results.orderBy("rendered_coverage", "path").limit(worst).select(row.alias("r")).collect()
     review = results.where("status <> 'OK'").orderBy("rendered_coverage", "path").select("path", F.array_join(F.concat("flags", "errata"), "; ").alias("why")).toLocalIterator()
     head = "# Validation\n\n" + "".join(f"- {s}: {counts.get(s, 0)}\n" for s in ("OK", "ERRATUM", "REVIEW"))

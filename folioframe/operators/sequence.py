@@ -67,13 +67,15 @@ def next_bound(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
     return df.withColumn(name, F.when(following.isNotNull(), F.greatest(F.col(start), following - 1)).otherwise(last))
 
 
-def range_owner(points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: str, start: str, end: str, owner: str, order: str) -> DataFrame:
-    """Each point with the last range in ``order`` that holds it, null if none does. Points of a key and position are
-    joined once, however many rows they have."""
-    places = points.select(*keys, at).distinct()
-    r = ranges.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(start).alias("__s"), F.col(end).alias("__e"), F.col(owner).alias("__owner"), F.col(order).alias("__o"))
-    inside = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys]) & F.col(at).between(F.col("__s"), F.col("__e"))
-    owned = places.join(r, inside).groupBy(*keys, at).agg(F.max_by("__owner", "__o").alias(owner))
+def range_owner(points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: str, start: str, end: str, owner: str, order: str, width: int = 64) -> DataFrame:
+    """Each point with the last range in ``order`` that holds it, null if none does. Positions are whole numbers; points
+    and ranges meet by key and by stretch of ``width`` positions, which a range enters once for each that it touches.
+    Points of a key and position are joined once, however many rows they have."""
+    places = points.select(*keys, at).distinct().withColumn("__part", F.floor(F.col(at) / width))
+    r = ranges.where(F.col(start) <= F.col(end)).select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(start).alias("__s"), F.col(end).alias("__e"), F.col(owner).alias("__owner"), F.col(order).alias("__o"))
+    r = r.withColumn("__r", F.explode(F.sequence(F.floor(F.col("__s") / width), F.floor(F.col("__e") / width))))
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__{k}") for k in keys]) & (F.col("__part") == F.col("__r"))
+    owned = places.join(r, same & F.col(at).between(F.col("__s"), F.col("__e"))).groupBy(*keys, at).agg(F.max_by("__owner", "__o").alias(owner))
     return points.join(owned, [*keys, at], "left")
 
 

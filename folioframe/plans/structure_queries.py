@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from folioframe.operators import footnotes, toc
 from folioframe.operators import sequence as seq
-from folioframe.plans.tables import events, table
+from folioframe.plans.tables import events, lines, table
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -174,6 +175,43 @@ def leaf_bounds(spark, sf_dir):
     return seq.next_bound(e, ["user_id"], ["ts", "event_id"], "start", F.least(F.col("start") + 4, F.lit(30))).select("event_id", "user_id", "start", "end")
 
 
+ENTRIES_SQL = """entries AS (
+  SELECT o_custkey AS doc_id, o_orderkey AS ord, date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS page, CASE o_orderstatus WHEN 'O' THEN 'heading' WHEN 'F' THEN 'leaf' ELSE 'other' END AS kind,
+    CASE WHEN o_orderstatus = 'O' THEN repeat('I', CAST(substr(o_orderpriority, 1, 1) AS INT) % 3 + 1) END AS roman FROM orders),
+whole AS (SELECT * FROM entries UNION ALL SELECT doc_id, 9223372036854775807, max(page) + 1, 'other', NULL FROM entries GROUP BY doc_id),
+filled AS (SELECT *, last_value(roman IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section_of FROM whole),
+near AS (SELECT *, lag(kind) OVER w AS was, lag(section_of) OVER w AS was_of FROM filled WINDOW w AS (PARTITION BY doc_id ORDER BY ord)),
+reached AS (
+  SELECT doc_id, roman AS section, page AS reach, NULL AS stop, ord, ord AS first_ord, page AS start_page FROM near WHERE kind = 'heading' AND ord = (SELECT min(n.ord) FROM near n WHERE n.doc_id = near.doc_id AND n.roman = near.roman)
+  UNION ALL SELECT doc_id, section_of, page, NULL, ord, NULL, NULL FROM near WHERE kind = 'leaf' AND section_of IS NOT NULL
+  UNION ALL SELECT doc_id, was_of, page - 1, CASE WHEN kind = 'other' THEN page END, ord, NULL, NULL FROM near WHERE kind <> 'leaf' AND was IN ('heading', 'leaf') AND was_of IS NOT NULL),
+ends AS (SELECT doc_id, section, max(reach) AS end_page, min(first_ord) AS first_ord, min(start_page) AS start_page FROM reached GROUP BY 1, 2)"""
+
+
+@query(
+    "section_hard_stops",
+    f"""WITH {ENTRIES_SQL}, stops AS (SELECT r.doc_id, r.section, string_agg(CAST(r.stop AS VARCHAR), ',' ORDER BY r.ord) AS stops FROM reached r JOIN ends e USING (doc_id, section) WHERE r.stop <= e.end_page GROUP BY 1, 2)
+    SELECT e.doc_id, CAST(row_number() OVER (PARTITION BY e.doc_id ORDER BY e.first_ord) AS INTEGER) AS section, e.section AS roman, CAST(e.start_page AS INTEGER) AS start_page, CAST(e.end_page AS INTEGER) AS end_page, coalesce(s.stops, '') AS stops
+    FROM ends e LEFT JOIN stops s USING (doc_id, section)""",
+)
+def section_hard_stops(spark, sf_dir):
+    """Sections among contents entries: headings, leaves and others, with the pages where the leaves must stop."""
+    o = table(spark, sf_dir, "orders")
+    roman = F.expr("repeat('I', cast(substr(o_orderpriority, 1, 1) as int) % 3 + 1)")
+    title = F.when(F.col("o_orderstatus") == "O", F.concat(roman, F.lit(". NGUỒN GỐC"))).when(F.col("o_orderstatus") == "F", F.lit("1. Truyện")).otherwise(F.lit("Phụ bản"))
+    rows = o.select(F.col("o_custkey").alias("doc_id"), F.col("o_orderkey").alias("ord"), title.alias("title"), F.unix_date(F.to_date("o_orderdate")).alias("page"))
+    opened = rows.select("doc_id").distinct().select("doc_id", F.lit(-1).cast("long").alias("ord"), F.lit("PHẦN THỨ HAI").alias("title"), F.lit(0).alias("page"))
+    found = toc.sections(opened.unionByName(rows)).where("section is not null")
+    return found.select("doc_id", "section", "roman", "start_page", "end_page", F.array_join(F.col("hard_stops").cast("array<string>"), ",").alias("stops"))
+
+
+@query("footnote_split", None)
+def footnote_split(spark, sf_dir):
+    """The notes of each line as a page's foot: a number opens one only if it is the next expected."""
+    n = lines(spark, sf_dir, by_document=True).select("doc_id", "line_no", F.posexplode(footnotes.split_notes(F.col("line"))).alias("pos", "n"))
+    return n.where("not n.continued").select("doc_id", "line_no", "pos", "n.num", "n.text")
+
+
 @query(
     "hard_stop_clamp",
     """WITH leaf AS (SELECT o_orderkey, o_orderkey % 50 AS start, o_orderkey % 50 + 10 AS "end" FROM orders), stops AS (SELECT DISTINCT p_size AS stop FROM part)
@@ -191,15 +229,17 @@ def hard_stop_clamp(spark, sf_dir):
 @query(
     "range_owner",
     """WITH r AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS s FROM orders),
-    p AS (SELECT DISTINCT l.l_partkey, l.l_suppkey % 20 AS custkey, CAST(l.l_shipdate AS DATE) AS d FROM lineitem l WHERE l.l_linenumber = 1)
-    SELECT p.l_partkey, p.custkey, strftime(p.d, '%Y-%m-%d') AS day, (SELECT max_by(o_orderkey, o_orderkey) FROM r WHERE r.o_custkey = p.custkey AND p.d BETWEEN r.s AND r.s + 30) AS owner FROM p""",
+    p AS (SELECT DISTINCT l.l_partkey, l.l_suppkey % 20 AS custkey, CAST(l.l_shipdate AS DATE) AS d FROM lineitem l),
+    held AS (SELECT q.custkey, q.d, max(r.o_orderkey) AS owner FROM (SELECT DISTINCT custkey, d FROM p) q JOIN r ON r.o_custkey = q.custkey AND q.d BETWEEN r.s AND r.s + 30 GROUP BY 1, 2)
+    SELECT p.l_partkey, p.custkey, strftime(p.d, '%Y-%m-%d') AS day, held.owner FROM p LEFT JOIN held USING (custkey, d)""",
 )
 def range_owner(spark, sf_dir):
     """The last range that holds each point."""
-    r = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), F.to_date("o_orderdate").alias("s"), F.date_add(F.to_date("o_orderdate"), 30).alias("e"), F.col("o_orderkey").alias("owner"), F.col("o_orderkey").alias("ord"))
-    p = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select("l_partkey", (F.col("l_suppkey") % 20).alias("custkey"), F.to_date("l_shipdate").alias("d")).distinct()
+    day = lambda c: F.unix_date(F.to_date(c))
+    r = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), day("o_orderdate").alias("s"), (day("o_orderdate") + 30).alias("e"), F.col("o_orderkey").alias("owner"), F.col("o_orderkey").alias("ord"))
+    p = table(spark, sf_dir, "lineitem").select("l_partkey", (F.col("l_suppkey") % 20).alias("custkey"), day("l_shipdate").alias("d")).distinct()
     out = seq.range_owner(p, r, ["custkey"], "d", "s", "e", "owner", "ord")
-    return out.select("l_partkey", "custkey", F.date_format("d", "yyyy-MM-dd").alias("day"), "owner")
+    return out.select("l_partkey", "custkey", F.date_format(F.date_from_unix_date("d"), "yyyy-MM-dd").alias("day"), "owner")
 
 
 @query(

@@ -148,9 +148,9 @@ def verse_runs(spark, sf_dir):
     return runs.where("verse").groupBy("doc_id", "island").agg(F.min("line_no").alias("first_line"), F.count(F.lit(1)).alias("n_lines")).where("n_lines >= 2").drop("island")
 
 
-@query("slug", f"SELECT doc_id, {t.slug_sql('substr(text, 1, 40)')} AS slug FROM documents")
+@query("slug", f"SELECT doc_id, {t.slug_sql('text')} AS slug FROM documents")
 def slug(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", t.slug(F.substring("text", 1, 40)).alias("slug"))
+    return table(spark, sf_dir, "documents").select("doc_id", t.slug(F.col("text")).alias("slug"))
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folioframe.functions import text as t
 from folioframe.operators import names, validate
 from folioframe.operators import sequence as seq
 from folioframe.plans.structure_queries import DAY_SQL, RUNS_SQL, _day, _runs
@@ -23,10 +24,16 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("weighted_coverage", "SELECT l_orderkey, round_even(least(1.0, sum(l_quantity * (1 - l_discount)) / nullif(sum(l_quantity), 0)), 6) AS coverage FROM lineitem GROUP BY l_orderkey")
+@query(
+    "weighted_coverage",
+    """WITH s AS (SELECT l_orderkey, CAST(sum(CAST(l_quantity AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(6,4)))) AS DOUBLE) AS part, CAST(sum(CAST(l_quantity AS DECIMAL(12,2))) AS DOUBLE) AS whole FROM lineitem GROUP BY l_orderkey)
+    SELECT l_orderkey, floor(least(1.0, part / nullif(whole, 0)) * 1000000 + 0.5) / 1000000 AS coverage FROM s""",
+)
 def weighted_coverage(spark, sf_dir):
-    ratio = F.try_divide(F.sum(F.col("l_quantity") * (1 - F.col("l_discount"))), F.sum("l_quantity"))
-    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.bround(F.least(F.lit(1.0), ratio), 6).alias("coverage"))
+    """A mean weighted by size, from sums of decimals: these are the same in any order."""
+    size, lost = F.col("l_quantity").cast("decimal(12,2)"), F.col("l_discount").cast("decimal(6,4)")
+    ratio = F.try_divide(F.sum(size * (1 - lost)).cast("double"), F.sum(size).cast("double"))
+    return table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg((F.floor(F.least(F.lit(1.0), ratio) * 1e6 + 0.5) / 1e6).alias("coverage"))
 
 
 @query(
@@ -143,7 +150,7 @@ def report_counts(spark, sf_dir):
 )
 def report_rows(spark, sf_dir):
     s = _status(spark, sf_dir).where("status <> 'OK'")
-    return s.select("doc_id", F.format_string("| %d | %.3f | %s |", "doc_id", "coverage", "status").alias("line"))
+    return s.select("doc_id", F.format_string("| %d | %s | %s |", "doc_id", t.fixed_point(3)("coverage"), "status").alias("line"))
 
 
 @query(
@@ -203,16 +210,16 @@ def name_fuzzy(spark, sf_dir):
 @query(
     "alias_resolution",
     """WITH p AS (SELECT p_partkey, p_name, split_part(p_name, ' ', 1) AS half FROM part),
-    keys AS (SELECT p_name AS k, min(p_partkey) AS target FROM part WHERE p_partkey % 7 = 0 GROUP BY 1),
-    half_keys AS (SELECT split_part(p_name, ' ', 1) AS k, min(p_partkey) AS target FROM part WHERE p_partkey % 5 = 0 GROUP BY 1)
+    keys AS (SELECT p_name AS k, min(p_partkey) AS target FROM part GROUP BY 1),
+    half_keys AS (SELECT split_part(p_name, ' ', 1) AS k, min(p_partkey) AS target FROM part GROUP BY 1)
     SELECT p.p_partkey, coalesce(f.target, h.target) AS target, CASE WHEN f.target IS NOT NULL THEN 1 WHEN h.target IS NOT NULL THEN 2 END AS tier
     FROM p LEFT JOIN keys f ON p.p_name = f.k LEFT JOIN half_keys h ON p.half = h.k""",
 )
 def alias_resolution(spark, sf_dir):
     """An alias by its full name, else by the first half of it."""
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.split_part("p_name", F.lit(" "), F.lit(1)).alias("half"))
-    full = p.where("p_partkey % 7 = 0").groupBy(F.col("p_name").alias("k")).agg(F.min("p_partkey").alias("target"))
-    half = p.where("p_partkey % 5 = 0").groupBy(F.col("half").alias("k")).agg(F.min("p_partkey").alias("target"))
+    full = p.groupBy(F.col("p_name").alias("k")).agg(F.min("p_partkey").alias("target"))
+    half = p.groupBy(F.col("half").alias("k")).agg(F.min("p_partkey").alias("target"))
     tiers = [p.join(full, F.col("p_name") == F.col("k")).select("p_partkey", "target"), p.join(half, F.col("half") == F.col("k")).select("p_partkey", "target")]
     found = seq.first_match_by_tier(p, "p_partkey", tiers)
     return p.select("p_partkey").join(found, "p_partkey", "left").select("p_partkey", "target", "tier")

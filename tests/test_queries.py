@@ -1,13 +1,14 @@
-from difflib import SequenceMatcher
-
 """Every query with SQL against DuckDB on the smallest tables, and what SQL cannot say on small fixtures."""
 
 import os
+from difflib import SequenceMatcher
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from folioframe.operators import names, sequence, validate
+from folioframe.functions import text as t
+from folioframe.operators import footnotes, names, sequence, validate
 from folioframe.operators.select import parse_spec
 from folioframe.plans import catalogue
 
@@ -97,3 +98,31 @@ def test_tiers(spark):
 def test_empty_gap_islands(spark):
     df = spark.createDataFrame([], "k int, p int")
     assert sequence.gap_islands(df, ["k"], "p", 3).count() == 0
+
+
+def test_ranges_without_owner(spark):
+    points = spark.createDataFrame([(1, 5), (1, 70), (1, 64), (2, 5), (1, -3), (None, 5), (1, None)], "k int, at int")
+    ranges = spark.createDataFrame([(1, 0, 130, "a", 1), (1, 60, 64, "b", 2), (1, 9, 8, "none", 3), (1, -70, -2, "c", 4)], "k int, s int, e int, owner string, n int")
+    got = {(r["k"], r["at"]): r["owner"] for r in sequence.range_owner(points, ranges, ["k"], "at", "s", "e", "owner", "n").collect()}
+    assert got == {(1, 5): "a", (1, 70): "a", (1, 64): "b", (2, 5): None, (1, -3): "c", (None, 5): None, (1, None): None}
+
+
+def test_second_tier_and_none(spark, tmp_path):
+    rows = [(1, "red ring"), (2, "red"), (3, "blue"), (4, None)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = catalogue.QUERIES["alias_resolution"](spark, str(tmp_path)).collect()
+    assert {(r["p_partkey"], r["target"], r["tier"]) for r in got} == {(1, 1, 1), (2, 2, 1), (3, 3, 1), (4, None, None)}
+    q = spark.createDataFrame([("a",), ("b",), ("c",)], "k string")
+    first, second = spark.createDataFrame([("a", 1)], "k string, v int"), spark.createDataFrame([("a", 2), ("b", 3)], "k string, v int")
+    assert {tuple(r) for r in sequence.first_match_by_tier(q, "k", [first, second]).collect()} == {("a", 1, 1), ("b", 3, 2)}
+
+
+def test_numbers_as_printed(spark):
+    got = spark.createDataFrame([(0.1235,), (0.0005,), (2.5,), (None,)], "x double").select(t.fixed_point(3)("x").alias("y")).collect()
+    assert [r["y"] for r in got] == ["0.123", "0.001", "2.500", None]
+
+
+def test_numbers_of_notes(spark):
+    value = "1 Theo 4465758382889437 x 99999999999 A. 2 B."
+    n = spark.createDataFrame([(value,)], "x string").select(footnotes.split_notes(F.col("x")).alias("n")).head()["n"]
+    assert [(x["num"], x["continued"]) for x in n] == [(1, False), (2, False)]
