@@ -39,6 +39,7 @@ FOR_IT = r"(?i)(e-?mail|mail|contact|phone|tel|call|mobile|fax|card|visa|credit|
 AGAINST_IT = r"(?i)(version|release|isbn|issn|sku|order|invoice|figure|section|chapter|build)\W{0,3}$"
 VOTES = ["v_pattern", "v_gazetteer", "v_context", "v_boundary"]
 BLOCK = 256
+CUT = 4096
 
 
 def _digits(c: str) -> str:
@@ -97,9 +98,13 @@ def candidates(rows: DataFrame, text_col: str) -> DataFrame:
         out = out.withColumn(f"__x{kind}", both)
         parts.append(F.expr(expr.replace("__x", f"__x{kind}")))
     out = out.withColumn("__all", F.concat(*parts)).drop(*[f"__x{k}" for k in range(len(plans))])
-    base = "s.v_pattern = 1 and s.kind < 4"
-    # Added candidates must not touch a base span.
-    clear = f"filter(__all, s -> ({base}) or not exists(filter(__all, s -> {base}), b -> s.start < b.end and b.start < s.end))"
+    # Added candidates must not touch a base span. Base spans of a kind lie apart and in order, so of each kind only the
+    # last that starts before the candidate's end can: a binary search.
+    middle = "cast((a.lo + a.hi) div 2 as int)"
+    before = f"""aggregate(sequence(0, cast(ceil(log2(size(b) + 1)) as int)), named_struct('lo', 0, 'hi', size(b)), (a, i) ->
+      if(a.lo >= a.hi, a, if(b[{middle}].start < s.end, named_struct('lo', {middle} + 1, 'hi', a.hi), named_struct('lo', a.lo, 'hi', {middle}))), a -> a.lo)"""
+    clear = f"""transform(array(transform(array(0, 1, 2, 3), k -> filter(__all, s -> s.v_pattern = 1 and s.kind = k))), held ->
+      filter(__all, s -> (s.v_pattern = 1 and s.kind < 4) or not exists(held, b -> coalesce(get(b, {before} - 1).end > s.start, false))))[0]"""
     return out.withColumn("__spans", F.when(F.size("__all") > 0, F.expr(f"array_sort({clear})")).otherwise(F.col("__all"))).drop("__all")
 
 
@@ -188,16 +193,23 @@ def _listed(only: str) -> Column:
 
 
 def redacted() -> Column:
-    """The text with each span, or run of overlapping spans, replaced by its first kind in brackets."""
+    """The text with each span, or run of overlapping spans, replaced by its first kind in brackets.
+
+    Where a run ends is the largest end so far, from blocks as in ``_matches``; the text is cut from pieces of CUT
+    characters, since a cut costs what lies before it.
+    """
     names = "array(" + ", ".join(f"'[{k.upper()}]'" for k in KINDS) + ")"
-    step = (
-        f"(a, s) -> named_struct('at', greatest(a.at, s.end), 'out', if(s.start < a.at, a.out, array_append(a.out, concat("
-        f"substring(__text, cast(a.at + 1 as int), cast(s.start - a.at as int)), {names}[s.kind]))))"
-    )
-    whole = (
-        f"aggregate(__spans, named_struct('at', 0L, 'out', cast(array() as array<string>)), {step}, "
-        "a -> concat(array_join(a.out, ''), substring(__text, cast(a.at + 1 as int))))"
+    largest = "(m, s) -> greatest(m, s.end)"
+    tops = f"aggregate(sequence(0, (size(__spans) - 1) div {BLOCK}), array(0L), (a, b) -> array_append(a, aggregate(slice(__spans, cast(b * {BLOCK} + 1 as int), {BLOCK}), element_at(a, -1), {largest})))"
+    end = f"aggregate(slice(__spans, cast((i div {BLOCK}) * {BLOCK} + 1 as int), i % {BLOCK}), tops[cast(i div {BLOCK} as int)], {largest})"
+    pieces = f"transform(sequence(0, length(__text) div {CUT}), k -> substring(__text, cast(k * {CUT} + 1 as int), {CUT}))"
+    cut = lambda a, b: (
+        f"if({a} >= {b}, '', array_join(transform(sequence({a} div {CUT}, ({b} - 1) div {CUT}), k -> substring(pieces[cast(k as int)],"
+        f" cast(greatest({a} - k * {CUT}, 0) + 1 as int), cast(least({b} - k * {CUT}, {CUT}) - greatest({a} - k * {CUT}, 0) as int))), ''))"
     )
+    whole = f"""transform(array({pieces}), pieces -> transform(array({tops}), tops -> concat(
+      array_join(transform(__spans, (s, i) -> transform(array({end}), e -> if(s.start < e, '', concat({cut("e", "s.start")}, {names}[s.kind])))[0]), ''),
+      {cut("element_at(tops, -1)", "cast(length(__text) as bigint)")}))[0])[0]"""
     return F.when(F.size("__spans") > 0, F.expr(whole))
 
 

@@ -117,3 +117,11 @@ def test_against_brute_force(spark, folder):
 def tokens(text):
     encoder = packing.load_encoder(packing.default_ranks())
     return [*encoder.encode_ordinary(text or ""), 1]
+
+
+def test_unlike_documents_of_one_id_stay(spark):
+    words = lambda k: " ".join(f"{k}w{i}" for i in range(30))
+    rows = [(1, words("a")), (1, words("b")), (1, words("b")), (2, words("a")), (3, words("c")), (3, words("c") + " more"), (None, words("a")), (4, None), (4, None), (5, None), (6, "")]
+    docs = spark.createDataFrame([(k, t, "s") for k, t in rows], "doc_id long, text string, source string")
+    got = corpus_pipeline.keep_one_of_similar(spark, docs, "").collect()
+    assert sorted((r["doc_id"] or 0, (r["text"] or "")[:2]) for r in got) == [(0, "aw"), (1, "aw"), (1, "bw"), (3, "cw"), (4, ""), (5, ""), (6, "")]

@@ -109,6 +109,38 @@ def test_cards_of_lone_digits(spark, text):
     assert [(s["start"], s["kind"], s["end"]) for s in out["__spans"] if s["base"]] == base_spans(text)
 
 
+def test_very_many_spans(spark):
+    """20 000 spans in a text: work that grew with their square would take hours."""
+    text = "".join(f"(555) 123-{k % 10000:04d} a{k}@b.com " for k in range(10_000))
+    rows = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = pii.find_spans(spark, rows).head()["__spans"]
+    assert [(s["start"], s["kind"], s["end"]) for s in spans if s["base"]] == base_spans(text)
+    expected, at = [], 0
+    for s in spans:
+        expected += [text[at : s["start"]], f"[{pii.KINDS[s['kind']].upper()}]"]
+        at = s["end"]
+    assert pii.redact(spark, rows).head()["text"] == "".join(expected) + text[at:]
+
+
+def test_added_spans_keep_off_base_spans(spark):
+    """Each added span against every base span, one by one."""
+    import random
+
+    r = random.Random(11)
+    bits = ["(555) 123-4567", "a@b.com", "+49 555 123-4567", "Dr. John Smith", "10.0.0.1", "4111 1111 1111 1111", "555-123-4567@x.org", " ", "x", "é😀"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randint(0, 14))) for _ in range(80)]
+    out = pii.candidates(spark.createDataFrame([(t,) for t in texts], "text string"), "text").select("__text", "__spans").collect()
+    assert any(s["kind"] >= 4 for x in out for s in x["__spans"])
+    for x in out:
+        held = [s for s in x["__spans"] if s["v_pattern"] == 1 and s["kind"] < 4]
+        others = [s for s in x["__spans"] if not (s["v_pattern"] == 1 and s["kind"] < 4)]
+        assert not any(b["start"] < s["end"] and s["start"] < b["end"] for s in others for b in held)
+        # None too few: a titled name or local phone away from all base spans is still there.
+        for m in [*re.finditer(r"(?<![0-9A-Za-z+])\([0-9]{3}\) [0-9]{3}-[0-9]{4}(?![0-9A-Za-z])", x["__text"])]:
+            clear = not any(b["start"] < m.end() and m.start() < b["end"] for b in held)
+            assert any((s["start"], s["end"], s["kind"]) == (m.start(), m.end(), 4) for s in others) == clear
+
+
 def test_reliabilities():
     patterns = [((1, 1, 0, 1), 50.0), ((-1, 0, 0, 1), 40.0), ((-1, -1, 0, -1), 20.0)]
     _, post, _ = pii.estimate(patterns)
