@@ -18,11 +18,16 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each component of similar documents; rows without an id stay, repeated ids give one row."""
-    kept = ngram_join.similar_components(spark, docs).where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    found = docs.where("doc_id is not null").join(kept, F.col("doc_id") == F.col("__kept"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    return found.withColumn("__n", first).where("__n = 1").select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One document of each component of similar documents, that of the smallest id; documents without an id stay. Of
+    rows of that id with one text one stays, and every different text of it, unless they are similar themselves."""
+    unlike = "__unlike"
+    # Rows of one id are told apart by their text, so that two different documents never stand for each other.
+    named = docs.withColumn(unlike, F.xxhash64(F.coalesce("doc_id", F.lit(0)), F.col("doc_id").isNull(), F.col("text").isNull(), "text"))
+    kept = ngram_join.similar_components(spark, named, id_col=unlike).select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")).distinct()
+    rows = named.join(kept, F.col(unlike) == F.col("__row"))
+    first = F.row_number().over(Window.partitionBy("__group").orderBy("doc_id", F.xxhash64(*docs.columns)))
+    with_id = rows.where("doc_id is not null").withColumn("__n", first).where("__n = 1")
+    return with_id.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
