@@ -3,7 +3,7 @@
 A document costs ``linear * n + quadratic * n * n`` for n tokens (the attention of one document). Documents are
 tokenised where they lie. A document longer than a sequence fills whole sequences; its remainder goes, longest first,
 to the sequence of lowest cost that still has room, and is cut only where no sequence has room for it. Work is split
-into shards of some thousand documents by a hash of id and content, and a shard opens just as many sequences as its
+into shards of some thousand documents by a hash of id and content, repeats of a row in a task by their number too, and a shard opens just as many sequences as its
 tokens need, so that a shard wastes less than one sequence.
 
 Defined results: a null text is an empty document and has the end token only; rows of one id are documents of their
@@ -19,11 +19,13 @@ import json
 import math
 import os
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,13 +69,20 @@ def crc_of(ids: np.ndarray) -> int:
 def _tokenise(ranks_path: str, length: int, end_id: int, shards: int, keep_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = load_encoder(ranks_path)
+        context = TaskContext.get()
+        task, met = context.partitionId() if context else 0, Counter()
         for batch in batches:
             for first in range(0, batch.num_rows, 512):
                 part = batch.slice(first, 512)
                 out: dict[str, list] = {k: [] for k in ("shard", "doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
                     ids = np.append(np.asarray(encoder.encode(text or "", allowed_special="all"), dtype=np.uint32), np.uint32(end_id)).astype("<u4")
-                    shard = zlib.crc32(f"{doc_id}:{crc_of(ids)}".encode()) % shards
+                    name = f"{doc_id}:{crc_of(ids)}"
+                    mark = zlib.crc32(name.encode())
+                    if met[mark]:  # a repeat of a row, or as good as one: the repeats are spread evenly
+                        mark = zlib.crc32(f"{name}:{task}:{met[mark]}".encode())
+                    met[zlib.crc32(name.encode())] += 1
+                    shard = mark % shards
                     for start in range(0, len(ids), length):
                         piece = ids[start : start + length]
                         out["shard"].append(shard)

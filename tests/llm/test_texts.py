@@ -65,6 +65,15 @@ def test_added_tokens(spark):
     assert {r["doc_id"]: np.frombuffer(r["ids"], "<u4").tolist() for r in out} == {k: [*tok.encode(t, add_special_tokens=False).ids, 1] for k, t in enumerate(texts)}
 
 
+def test_equal_rows_are_spread(spark, monkeypatch):
+    """6000 equal rows: no shard holds much more than its share of them."""
+    monkeypatch.setattr(packing, "DOCS_PER_SHARD", 500)
+    rows = spark.createDataFrame([(None, "same text of all")] * 6000, "doc_id long, text string").repartition(4)
+    out = packing.pack_documents(spark, rows, length=64).toPandas()
+    assert out["length"].sum() == 6000 * out["doc_tokens"].iloc[0] and out["doc_id"].isna().all()
+    assert (out["sequence_id"].astype("int64") // 2**32).value_counts().max() < 2 * 500
+
+
 def test_lowest_cost_first():
     placed = packing.pack_shard([6, 5, 4, 3], 10, 1.0, 0.1)
     assert [(k, n, b) for k, _, n, b in placed] == [(0, 6, 0), (1, 5, 1), (2, 4, 1), (3, 3, 0)]
