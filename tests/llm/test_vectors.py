@@ -20,15 +20,15 @@ def usable(rs, d=8, zero=True):
     return [(r[0], np.array(r[1], np.float64)) for r in rs if r[0] is not None and r[1] and len(r[1]) == d and None not in r[1] and np.isfinite(r[1]).all() and (zero or np.any(r[1]))]
 
 
-@pytest.mark.parametrize("shard", [40, 4096])
-def test_mtree(spark, shard):
+@pytest.mark.parametrize(("shard", "routes"), [(40, 1024), (40, 2), (4096, 1024)])
+def test_mtree(spark, shard, routes):
     rs = rows()
     data = [(k, np.floor(1024 * v).astype(int)) for k, v in usable(rs)]
     expected = []
     for q, x in {k: v for k, v in data if k % 50 == 0}.items():
         best = sorted(((-int(x @ v), k) for k, v in data if k != q))[:10]
         expected += [(q, n, k, -s) for n, (s, k) in enumerate(best, 1)]
-    out = mtree.top_k(spark, spark.createDataFrame(rs, SCHEMA).repartition(3), "vec_id % 50 = 0", shard=shard, page=8).collect()
+    out = mtree.top_k(spark, spark.createDataFrame(rs, SCHEMA).repartition(3), "vec_id % 50 = 0", shard=shard, page=8, routes=routes).collect()
     assert sorted(map(tuple, out)) == sorted(expected)
     assert mtree.top_k(spark, spark.createDataFrame([], SCHEMA), "vec_id % 50 = 0").count() == 0
 
@@ -36,17 +36,49 @@ def test_mtree(spark, shard):
 def test_pages_pass_over():
     """Clusters: the bounds rule out most distances, and the result stays exact."""
     rng = np.random.default_rng(1)
-    x = (np.repeat(rng.normal(size=(20, 6)) * 1000, 50, axis=0) + rng.normal(size=(1000, 6))).astype(np.int64)
-    top = int((x * x).sum(1).max())
-    lift = np.sqrt((top - (x * x).sum(1)).astype(float))
-    pages = mtree.bulk_load(np.arange(1000), x, lift, page=16)
+    x = np.floor(np.repeat(rng.normal(size=(20, 6)) * 1000, 50, axis=0) + rng.normal(size=(1000, 6)))
+    space = mtree.Space(1, float(np.abs(x).max()), 6)
+    space.top = float((space.coordinates(x) ** 2).sum(1).max())
+    full = space.lifted(x)
+    pages = mtree.bulk_load(full, page=16)
     for p in pages:
         r = p["rows"]
-        full = np.column_stack((x[r].astype(float), lift[r]))
-        p |= {"ids": r, "points": x[r], "full": full, "squares": (full * full).sum(1), "top": float(top)}
+        p |= {"ids": r, "integers": x[r].astype(np.int64), "full": full[r], "squares": (full[r] * full[r]).sum(1)}
+    whole, bounded = [], []
     for q in range(0, 1000, 111):
-        got = sorted(mtree.search(pages, x[q], q, 5), key=lambda t: (-t[0], t[1]))
-        assert got == [(-s, k) for s, k in sorted((-int(x[q] @ x[k]), k) for k in range(1000) if k != q)[:5]]
+        best = [(-s, k) for s, k in sorted((-int(x[q] @ x[k]), k) for k in range(1000) if k != q)[:5]]
+        assert sorted(mtree.search(pages, space, x[q], q, 5, counted=whole), key=lambda t: (-t[0], t[1])) == best
+        got = mtree.search(pages, space, x[q], q, 5, floor=best[-1][0], counted=bounded)
+        assert sorted(got, key=lambda t: (-t[0], t[1])) == best
+    assert sum(bounded) <= sum(whole) < 0.5 * 10 * sum(len(p["rows"]) for p in pages)
+
+
+def test_shards_passed_over():
+    """Two far clusters: with a floor a query visits only the shards of its own."""
+    import pandas as pd
+
+    x = np.array([[100.0, 0.0], [0.0, 100.0]])
+    space = mtree.Space(1, 100.0, 2)
+    space.top = float((space.coordinates(x) ** 2).sum(1).max())
+    run = mtree._shards(space, space.lifted(x), np.array([0.05, 0.05]), np.array([0, 3]), np.array([3, 2]), False)
+    ask = lambda floor: next(run([pd.DataFrame({"vec_id": [1], "v": [x[0]], "floor": [floor]})]))["shard"].tolist()
+    assert ask(None) == [0, 2, 3, 4] and ask("9000") == [0, 2]
+
+
+def test_large_components(spark):
+    """Products beyond 64 bits neither crash nor lose order among those that fit."""
+    rs = [(0, [4e6, 1.0]), (1, [4e6, 2.0]), (2, [1e300, 0.0]), (3, [-1e308, 5.0]), (4, [1.5, 0.25]), (5, [0.0, 0.0]), (6, [-3.0, 1e-300]), (50, [1.0, -1.0])]
+    ints = lambda v: [int(np.floor(1024 * y)) if abs(y) < 2.0**900 else int(y) * 1024 for y in v]
+    clip = lambda s: min(2**63 - 1, max(-(2**63), s))
+    expected = []
+    for q, x in rs:
+        if q % 50 == 0:
+            best = sorted((-clip(sum(a * b for a, b in zip(ints(x), ints(v)))), k) for k, v in rs if k != q)[:10]
+            expected += [(q, n, k, -s) for n, (s, k) in enumerate(best, 1)]
+    table = spark.createDataFrame(rs, "vec_id long, embedding array<double>")
+    for shard in (2, 4096):
+        out = mtree.top_k(spark, table, "vec_id % 50 = 0", shard=shard, page=2).collect()
+        assert sorted(map(tuple, out)) == sorted(expected)
 
 
 @pytest.mark.parametrize(("shard", "ef"), [(8192, 192), (150, 60)])
