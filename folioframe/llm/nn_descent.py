@@ -1,20 +1,24 @@
 """Approximate nearest neighbours: a neighbour graph by NN-descent, searched greedily.
 
-Equal vectors are one node. Nodes are dealt by hash to shards of a bounded number of nodes; a shard is the unit of
-search, so that its graph and vectors fit a task, and edges stay within it. The graph starts from blocks of nodes that
-random projections put together; then each round joins the neighbours of neighbours: for every node, its neighbours
-and a bounded number of nodes that have it as neighbour are brought together by joins with the table of nodes, scored
-pairwise, and each gets the better pairs as proposals. Graph building uses vectors rounded to 8 bits; every score
-returned is computed on the original vectors in double precision.
+Equal vectors are one node, and there is one graph over all nodes. It starts from blocks of nodes that random
+projections put together; then each round joins the neighbours of neighbours: for every node, its neighbours and a
+bounded number of nodes that have it as neighbour are brought together by joins with the table of nodes, scored
+pairwise, and each gets the better pairs as proposals.
 
-A query walks each shard's graph from its entry nodes, one within an edge of every node, and from its own node if it is a
-row there: the best unexpanded nodes of its pool are expanded until the best EF are. The best of all shards are merged and scored exactly.
-The greedy search keeps a pool of EF nodes, and a node keeps NEIGHBOURS edges; recall is measured against brute force.
+Queries walk the graph together, a hop of all in each round of joins: a query's state is one row with its pool, the EF
+best nodes met. The best EXPAND nodes of the pool that were not yet expanded are joined with their edges, both ways,
+and what these lead to with the table of nodes; a query is done when all nodes of its pool have been expanded. It starts
+at its own node and at a few entry nodes, the same for all.
+
+Graph and walk use vectors rounded to 8 bits with a scale of their own; the best 3 * k + 8 of a query's pool are scored
+on the original vectors in double precision, and every score returned is of that kind. Nothing depends on how many
+nodes there are, but for the number of blocks; recall is measured against brute force.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components, or have another length than most,
 take no part; a query of several rows uses the least vector and meets no row of its own id; equal vectors rank by id;
-with fewer candidates than k all that exist are found by a search that reaches them (a shard below EF nodes is read
-whole); an empty table gives no rows. Other columns are ignored.
+scores beyond the range of doubles are infinite, or not a number where infinities cancel; a node has NEIGHBOURS edges
+if there are as many other nodes, so each query finds k rows if they exist; an empty table gives no rows. Other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -32,23 +36,34 @@ from folioframe.llm import textkernel as tk
 from folioframe.llm.vectors import one_per_id, ranked, usable
 from folioframe.scratch import Scratch
 
-NEIGHBOURS = 24
-SHARD = 8192
+NEIGHBOURS = 40
 BLOCK = 256
-TREES = 3
+TREES = 4
 ROUNDS = 5
 PROPOSALS = 6
-EF = 192
-EXPAND = 12
-QUERY_BLOCK = 512
+EF = 128
+EXPAND = 32
+ENTRIES = 32
+HOPS = 24
+
+
+def packed(x: np.ndarray) -> list[bytes]:
+    """Vectors as a factor in 4 bytes and whole numbers in a byte each."""
+    factor = (np.abs(x).max(1, initial=0.0) / 127.0).astype(np.float32)
+    small = np.rint(np.divide(x, factor[:, None], out=np.zeros(x.shape), where=factor[:, None] > 0)).clip(-127, 127).astype(np.int8)
+    return [f.tobytes() + r.tobytes() for f, r in zip(factor, small, strict=True)]
+
+
+def _matrix(values) -> np.ndarray:
+    raw = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
+    return raw[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
 
 
 def _rounded(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
-            x = b.column(2).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            small = np.clip(np.rint(x * scale), -127, 127).astype(np.int8)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([r.tobytes() for r in small], pa.binary())], names=["node", "shard", "x"])
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed(x * scale), pa.binary())], names=["node", "x"])
 
 
 def _codes(bits: int, seed: int):
@@ -56,18 +71,14 @@ def _codes(bits: int, seed: int):
         for b in batches:
             if not b.num_rows:
                 continue
-            x = np.stack([np.frombuffer(v, np.int8) for v in b.column(2).to_pylist()]).astype(np.float32)
+            x = _matrix(b.column(1).to_pylist())
             plane = np.random.default_rng(seed).normal(size=(x.shape[1], max(1, bits))).astype(np.float32)
             code = ((x @ plane) > 0) @ (1 << np.arange(max(1, bits))) if bits else np.zeros(len(x), np.int64)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(code.astype(np.int32))], names=["node", "shard", "x", "code"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(code.astype(np.int64))], names=["node", "x", "code"])
 
     return run
 
 
-def _matrix(values) -> np.ndarray:
-    return np.frombuffer(b"".join(values), np.int8).reshape(len(values), -1).astype(np.float32)
-
-
 def _within(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     """The best pairs of a block of nodes."""
     ids, x = rows["node"].to_numpy(np.int64), _matrix(rows["x"].tolist())
@@ -121,27 +132,30 @@ def _best(pairs: DataFrame) -> DataFrame:
     return listed.select("u", "edges")
 
 
-def build_graph(spark: SparkSession, nodes: DataFrame, scratch: Scratch, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """(u, edges array<struct<far, v>>) from ``nodes`` (node, shard, x)."""
-    per_shard = max(1, nodes.count() // shards)
-    bits = max(0, int(np.log2(max(1, per_shard / BLOCK))))
+def back_edges(edges: DataFrame, seed: int) -> DataFrame:
+    """(u, v): of the nodes v with an edge to u a bounded number, which hubs' tasks choose before the shuffle."""
+    back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
+    some = Window.partitionBy("u").orderBy(F.xxhash64("v", F.lit(seed)))
+    return back.withColumn("n", F.row_number().over(some)).where(F.col("n") <= NEIGHBOURS).drop("n")
+
+
+def build_graph(spark: SparkSession, nodes: DataFrame, scratch: Scratch, n: int, rounds: int = ROUNDS) -> DataFrame:
+    """(u, edges array<struct<far, v>>) from ``n`` ``nodes`` (node, x)."""
+    bits = max(0, min(40, int(np.log2(max(1, n / BLOCK)))))
     first = None
     for t in range(TREES):
-        coded = nodes.mapInArrow(_codes(bits, t), "node long, shard int, x binary, code int")
-        sizes = coded.groupBy("shard", "code").agg(F.count(F.lit(1)).alias("size"))
-        parted = coded.join(sizes, ["shard", "code"]).withColumn("part", F.pmod(F.xxhash64("node", F.lit(t)), F.ceil(F.col("size") / BLOCK)).cast("int"))
-        pairs = parted.groupBy("shard", "code", "part").applyInPandas(_within, "u long, v long, s float")
+        coded = nodes.mapInArrow(_codes(bits, t), "node long, x binary, code long")
+        sizes = coded.groupBy("code").agg(F.count(F.lit(1)).alias("size"))
+        parted = coded.join(sizes, "code").withColumn("part", F.pmod(F.xxhash64("node", F.lit(t)), F.ceil(F.col("size") / BLOCK)).cast("int"))
+        pairs = parted.groupBy("code", "part").applyInPandas(_within, "u long, v long, s float")
         first = pairs if first is None else first.union(pairs)
     graph = scratch.save(_best(first))
     for r in range(rounds):
         edges = graph.select("u", F.explode("edges").alias("e")).select("u", F.col("e.v").alias("v"))
-        back = edges.select(F.col("v").alias("u"), F.col("u").alias("v"))
-        some = Window.partitionBy("u").orderBy(F.xxhash64("v", F.lit(r)))
-        back = back.withColumn("n", F.row_number().over(some)).where(F.col("n") <= NEIGHBOURS).drop("n")
         info = nodes.join(graph, nodes["node"] == graph["u"]).select(
             F.col("node").alias("v"), "x", F.when(F.size("edges") >= NEIGHBOURS, -F.element_at("edges", -1)["far"]).otherwise(F.lit(float("-1e30"))).cast("float").alias("worst")
         )
-        met = edges.union(back).distinct().join(info, "v").groupBy("u").agg(F.collect_list(F.struct("v", "worst", "x")).alias("met"))
+        met = edges.union(back_edges(edges, r)).distinct().join(info, "v").groupBy("u").agg(F.collect_list(F.struct("v", "worst", "x")).alias("met"))
         better = met.select("met").mapInArrow(_local_join, "u long, v long, s float")
         old = graph.select("u", F.explode("edges").alias("e")).select("u", F.col("e.v").alias("v"), (-F.col("e.far")).alias("s"))
         after = scratch.save(_best(old.union(better)))
@@ -151,131 +165,102 @@ def build_graph(spark: SparkSession, nodes: DataFrame, scratch: Scratch, shards:
     return graph
 
 
-def cover(edges: np.ndarray) -> np.ndarray:
-    """Entry nodes such that each node is one or an edge's end of one: no cluster, however far from others, lacks one."""
-    covered = np.zeros(len(edges), bool)
-    entries = []
-    for u in range(len(edges)):
-        if not covered[u]:
-            entries.append(u)
-            covered[u] = True
-            ends = edges[u]
-            covered[ends[ends >= 0]] = True
-    return np.array(entries, np.int64)
-
-
-def greedy(x: np.ndarray, edges: np.ndarray, queries: np.ndarray, own: np.ndarray, keep: int, ef: int = EF, entries: np.ndarray | None = None) -> np.ndarray:
-    """Row numbers of the ``keep`` best nodes found for each query, -1 where fewer; ``own``: a query's row, or -1."""
-    n, q = len(x), len(queries)
-    if n <= ef:
-        s = queries @ x.T
-        order = np.argsort(-s, axis=1, kind="stable")[:, :keep]
-        return np.pad(order, ((0, 0), (0, max(0, keep - n))), constant_values=-1)
-    entries = cover(edges) if entries is None else entries
-    pool = np.concatenate((np.tile(entries, (q, 1)), own[:, None]), 1)
-    rows = np.arange(q)[:, None]
-    score = np.where(pool >= 0, (queries @ x.T)[rows, pool] if n * q <= 1 << 22 else np.einsum("qd,qed->qe", queries, x[np.maximum(pool, 0)]), -np.inf)
-    seen = np.zeros((q, n), bool)
-    twice = (own[:, None] == entries[None, :]).any(1)
-    score[twice, -1] = -np.inf
-    seen[rows.repeat(pool.shape[1], 1)[pool >= 0], pool[pool >= 0]] = True
-    done = ~np.isfinite(score)
-    while True:
-        order = np.argsort(-score, axis=1, kind="stable")[:, :ef]
-        pool, score, done = (np.take_along_axis(a, order, 1) for a in (pool, score, done))
-        rank = np.cumsum(~done, axis=1)
-        expand = ~done & (rank <= EXPAND)
-        if not expand.any():
-            break
-        done |= expand
-        a, b = np.nonzero(expand)
-        targets = edges[pool[a, b]]
-        qi = np.repeat(a, targets.shape[1])
-        v = targets.ravel()
-        ok = v >= 0
-        key = np.unique(qi[ok] * n + v[ok])
-        qi, v = key // n, key % n
-        new = ~seen[qi, v]
-        qi, v = qi[new], v[new]
-        seen[qi, v] = True
-        s = np.einsum("nd,nd->n", queries[qi], x[v])
-        count = np.bincount(qi, minlength=q)
-        width = int(count.max()) if len(qi) else 0
-        place = np.arange(len(qi)) - np.repeat(np.cumsum(count) - count, count)
-        more, more_s = np.full((q, width), -1, np.int64), np.full((q, width), -np.inf)
-        more[qi, place], more_s[qi, place] = v, s
-        pool, score, done = np.concatenate((pool, more), 1), np.concatenate((score, more_s), 1), np.concatenate((done, ~np.isfinite(more_s)), 1)
-    best = np.where(np.isfinite(score), pool, -1)[:, :keep]
-    return np.pad(best, ((0, 0), (0, max(0, keep - best.shape[1]))), constant_values=-1)
-
-
-def _search(keep: int, ef: int):
-    def run(key: tuple, nodes: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if not len(nodes) or not len(queries):
-            return pd.DataFrame({"query_id": [], "node": [], "score": []}).astype({"query_id": "int64", "node": "int64", "score": "float64"})
-        nodes = nodes.sort_values("node").reset_index(drop=True)
-        ids = nodes["node"].to_numpy(np.int64)
-        exact = np.stack(nodes["v"].to_numpy()).astype(np.float64)
-        x = exact.astype(np.float32)
-        edges = np.full((len(ids), 2 * NEIGHBOURS), -1, np.int64)
-        for k, e in enumerate(nodes["to"]):
-            if e is not None:
-                at = np.searchsorted(ids, np.asarray(e, np.int64))[:NEIGHBOURS]
-                edges[k, : len(at)] = at
-        # Edges count both ways; what an edge's end has room for is added.
-        a, b = np.nonzero(edges[:, :NEIGHBOURS] >= 0)
-        u, v = edges[a, b], a
-        order = np.argsort(u, kind="stable")
-        u, v = u[order], v[order]
-        count = np.bincount(u, minlength=len(ids))
-        place = np.arange(len(u)) - np.repeat(np.cumsum(count) - count, count)
-        room = place < NEIGHBOURS
-        edges[u[room], NEIGHBOURS + place[room]] = v[room]
-        q_ids, q_node = queries["vec_id"].to_numpy(np.int64), queries["node"].to_numpy(np.int64)
-        q = np.stack(queries["v"].to_numpy()).astype(np.float64)
-        at = np.minimum(np.searchsorted(ids, q_node), len(ids) - 1)
-        own = np.where(ids[at] == q_node, at, -1)
-        entries = cover(edges)
-        found = []
-        for first in range(0, len(q), 256):
-            part = slice(first, first + 256)
-            best = greedy(x, edges, q[part].astype(np.float32), own[part], keep, ef, entries)
-            i, j = np.nonzero(best >= 0)
-            node = best[i, j]
-            found.append(pd.DataFrame({"query_id": q_ids[part][i], "node": ids[node], "score": np.einsum("nd,nd->n", q[part][i], exact[node])}))
-        return pd.concat(found, ignore_index=True)
+STATE = "query_id long, q binary, pool array<long>, scores array<float>, done array<boolean>, frontier array<long>"
+
+
+def _ragged(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    offsets = np.concatenate(([0], np.cumsum([len(x) for x in rows]))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(rows) if rows else [], kind))
+
+
+def advance(ids: np.ndarray, scores: np.ndarray, done: np.ndarray, ef: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pool of the ``ef`` best different nodes, those that were expanded, and the best of the others, which are next."""
+    order = np.lexsort((ids, ~done))  # of one node the entry that was expanded, if there is one
+    order = order[np.unique(ids[order], return_index=True)[1]]
+    order = order[np.lexsort((ids[order], -scores[order]))][:ef]
+    ids, scores, done = ids[order], scores[order], done[order].copy()
+    next_ = np.flatnonzero(~done)[:EXPAND]
+    done[next_] = True
+    return ids, scores, done, ids[next_]
+
+
+def _hop(ef: int, entries: np.ndarray, entry_x: np.ndarray, first: bool):
+    """At ``first`` (query_id, q, own node), else a state and ``met``, the nodes reached with their vectors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            vectors = _matrix(b.column(1).to_pylist())
+            out = []
+            for k, q in enumerate(vectors):
+                if first:
+                    own = np.array([b.column(2)[k].as_py()], np.int64)
+                    ids = np.concatenate((own, entries))
+                    scores = np.concatenate(([q @ q], entry_x @ q)).astype(np.float32)
+                    done = np.zeros(len(ids), bool)
+                else:
+                    ids, scores, done = (b.column(c)[k].values.to_numpy(zero_copy_only=False) for c in (2, 3, 4))
+                    met = b.column(5)[k].values
+                    if met is not None and len(met):
+                        ids = np.concatenate((ids, met.field("v").to_numpy(zero_copy_only=False)))
+                        found = _matrix(met.field("x").to_pylist()) @ q
+                        scores, done = np.concatenate((scores, found)).astype(np.float32), np.concatenate((done, np.zeros(len(found), bool)))
+                out.append(advance(ids, scores, done, ef))
+            kinds = (pa.int64(), pa.float32(), pa.bool_(), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[_ragged([r[j] for r in out], t) for j, t in enumerate(kinds)]], names=["query_id", "q", "pool", "scores", "done", "frontier"])
 
     return run
 
 
-def nearest(
-    spark: SparkSession, table: DataFrame, is_query: str, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, shard: int = SHARD, ef: int = EF
-) -> DataFrame:
+def walk(asked: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scratch, ef: int) -> DataFrame:
+    """The final states of ``asked`` (query_id, q, node), which go hop by hop together."""
+    held = nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()
+    entries, entry_x = np.array([r["node"] for r in held], np.int64), _matrix([r["x"] for r in held])
+    forward = graph.select("u", F.explode("edges").alias("e")).select("u", F.col("e.v").alias("v"))
+    # Edges both ways, so that a node is reached from what is near it even if it is near to none of these.
+    both = scratch.save(forward.union(back_edges(forward, -1)).groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("to")))
+    state = scratch.save(asked.select("query_id", "q", "node").mapInArrow(_hop(ef, entries, entry_x, True), STATE))
+    finished = None
+    for _ in range(HOPS):
+        open_ = state.where(F.size("frontier") > 0)
+        over = state.where(F.size("frontier") == 0)
+        finished = over if finished is None else finished.unionByName(over)
+        if open_.isEmpty():
+            return finished
+        reached = open_.select("query_id", F.explode("frontier").alias("node")).join(both, "node").select("query_id", F.explode("to").alias("v")).distinct()
+        met = reached.join(nodes.select(F.col("node").alias("v"), "x"), "v").groupBy("query_id").agg(F.collect_list(F.struct("v", "x")).alias("met"))
+        rows = open_.join(met, "query_id", "left").select("query_id", "q", "pool", "scores", "done", "met")
+        state = scratch.save(rows.mapInArrow(_hop(ef, entries, entry_x, False), STATE))
+        scratch.release()
+    return finished.unionByName(state)
+
+
+def nearest(spark: SparkSession, table: DataFrame, is_query: str, *, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20, ef: int = EF) -> DataFrame:
     """The k nearest rows found for each query by inner product: query_id, rank, vec_id, score. ``is_query``: SQL over vec_id."""
     scratch = Scratch(spark, "nn-descent")
     rows = scratch.save(usable(table, id_col, vector_col, zero=False))
-    alike = rows.groupBy("v").agg(F.min("vec_id").alias("node"))
-    largest = rows.select(F.max(F.expr("array_max(transform(v, x -> abs(x)))"))).head()[0] or 1.0
-    n = alike.count()
-    shards = max(1, -(-n // shard))
-    full = scratch.save(alike.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards)).cast("int")).select("node", "shard", "v"))
-    scale = 127.0 / largest
-    nodes = scratch.save(full.mapInArrow(lambda b: _rounded(b, scale), "node long, shard int, x binary"))
-    graph = build_graph(spark, nodes, scratch, shards)
-    index = scratch.save(full.join(graph, full["node"] == graph["u"], "left").select("node", "shard", "v", F.expr("transform(edges, e -> e.v)").alias("to")))
-
-    queries = one_per_id(rows.where(is_query))
-    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    asked = queries.join(full.select("node", "v"), "v").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("vec_id", "node", "v", "block", "shard")
-    held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(_search(k + 1, ef), "query_id long, node long, score double")
+    full = scratch.save(rows.groupBy("v").agg(F.min("vec_id").alias("node")).select("node", "v"))
+    n, largest = full.select(F.count(F.lit(1)), F.max(F.expr("array_max(transform(v, x -> abs(x)))"))).head()
+    if not n:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    scale = 1.0 / largest if largest > 1e-300 else 1.0
+    nodes = scratch.save(full.mapInArrow(lambda b: _rounded(b, scale), "node long, x binary"))
+    graph = build_graph(spark, nodes, scratch, n)
+
+    queries = one_per_id(rows.where(is_query)).withColumnRenamed("vec_id", "query_id")
+    placed = scratch.save(queries.join(full, "v").select("query_id", "node", "v"))
+    asked = placed.join(nodes, "node").select("query_id", F.col("x").alias("q"), "node")
+    keep = 3 * k + 8
+    found = walk(asked, nodes, graph, scratch, max(ef, keep)).select("query_id", F.explode(F.slice("pool", 1, keep)).alias("node"))
+    # Exact scores. A node stands for all rows of its vector: of each the k + 1 smallest ids, as one may be the query's own.
+    pairs = found.join(full, "node").join(placed.select("query_id", F.col("v").alias("q")), "query_id")
+    exact = pairs.select("query_id", "node", F.expr("aggregate(zip_with(q, v, (a, b) -> a * b), 0D, (s, x) -> s + x)").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("node"))
-    found = found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("query_id", "node", "score")
-    # A node stands for all rows of its vector: of each the k + 1 smallest ids, as one may be the query's own.
+    few = exact.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1).select("query_id", "node", "score")
     of_node = Window.partitionBy("node").orderBy("vec_id")
-    members = rows.join(full.select("node", "v"), "v").select("node", "vec_id").withColumn("n", F.row_number().over(of_node)).where(F.col("n") <= k + 1).select("node", "vec_id")
-    return ranked(found.join(members, "node").where("vec_id <> query_id").select("query_id", "vec_id", "score"), k, "double")
+    members = rows.join(full, "v").select("node", "vec_id").withColumn("n", F.row_number().over(of_node)).where(F.col("n") <= k + 1).select("node", "vec_id")
+    return ranked(few.join(members, "node").where("vec_id <> query_id").select("query_id", "vec_id", "score"), k, "double")
 
 
 def op3_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
