@@ -10,7 +10,7 @@ best nodes met. The best EXPAND nodes of the pool that were not yet expanded are
 and what these lead to with the table of nodes; a query is done when all nodes of its pool have been expanded. It starts
 at its own node and at a few entry nodes, the same for all.
 
-Graph and walk use vectors rounded to 8 bits with a scale of their own; the best 3 * k + 8 of a query's pool are scored
+Graph and walk use vectors rounded to 8 and 16 bits, each with a scale of its own; the best 3 * k + 8 of a query's pool are scored
 on the original vectors in double precision, and every score returned is of that kind. Nothing depends on how many
 nodes there are, but for the number of blocks; recall is measured against brute force.
 
@@ -47,23 +47,24 @@ ENTRIES = 32
 HOPS = 24
 
 
-def packed(x: np.ndarray) -> list[bytes]:
-    """Vectors as a factor in 4 bytes and whole numbers in a byte each."""
-    factor = (np.abs(x).max(1, initial=0.0) / 127.0).astype(np.float32)
-    small = np.rint(np.divide(x, factor[:, None], out=np.zeros(x.shape), where=factor[:, None] > 0)).clip(-127, 127).astype(np.int8)
+def packed(x: np.ndarray, kind: type = np.int8) -> list[bytes]:
+    """Vectors as a factor in 4 bytes and whole numbers of one or two bytes each."""
+    most = np.iinfo(kind).max
+    factor = (np.abs(x).max(1, initial=0.0) / most).astype(np.float32)
+    small = np.rint(np.divide(x, factor[:, None], out=np.zeros(x.shape), where=factor[:, None] > 0)).clip(-most, most).astype(kind)
     return [f.tobytes() + r.tobytes() for f, r in zip(factor, small, strict=True)]
 
 
-def _matrix(values) -> np.ndarray:
+def _matrix(values, kind: type = np.int8) -> np.ndarray:
     raw = np.frombuffer(b"".join(values), np.uint8).reshape(len(values), -1)
-    return raw[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
+    return np.ascontiguousarray(raw[:, 4:]).view(kind).astype(np.float32) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
 
 
 def _rounded(batches: Iterator[pa.RecordBatch], scale: float) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if b.num_rows:
-            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed(x * scale), pa.binary())], names=["node", "x"])
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1) * scale
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed(x), pa.binary()), pa.array(packed(x, np.int16), pa.binary())], names=["node", "x", "fine"])
 
 
 def _codes(bits: int, seed: int):
@@ -191,7 +192,7 @@ def _hop(ef: int, entries: np.ndarray, entry_x: np.ndarray, first: bool):
         for b in batches:
             if not b.num_rows:
                 continue
-            vectors = _matrix(b.column(1).to_pylist())
+            vectors = _matrix(b.column(1).to_pylist(), np.int16)
             out = []
             for k, q in enumerate(vectors):
                 if first:
@@ -204,7 +205,7 @@ def _hop(ef: int, entries: np.ndarray, entry_x: np.ndarray, first: bool):
                     met = b.column(5)[k].values
                     if met is not None and len(met):
                         ids = np.concatenate((ids, met.field("v").to_numpy(zero_copy_only=False)))
-                        found = _matrix(met.field("x").to_pylist()) @ q
+                        found = _matrix(met.field("x").to_pylist(), np.int16) @ q
                         scores, done = np.concatenate((scores, found)).astype(np.float32), np.concatenate((done, np.zeros(len(found), bool)))
                 out.append(advance(ids, scores, done, ef))
             kinds = (pa.int64(), pa.float32(), pa.bool_(), pa.int64())
@@ -216,7 +217,7 @@ def _hop(ef: int, entries: np.ndarray, entry_x: np.ndarray, first: bool):
 def walk(asked: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scratch, ef: int) -> DataFrame:
     """The final states of ``asked`` (query_id, q, node), which go hop by hop together."""
     held = nodes.orderBy(F.xxhash64("node"), "node").limit(ENTRIES).collect()
-    entries, entry_x = np.array([r["node"] for r in held], np.int64), _matrix([r["x"] for r in held])
+    entries, entry_x = np.array([r["node"] for r in held], np.int64), _matrix([r["fine"] for r in held], np.int16)
     forward = graph.select("u", F.explode("edges").alias("e")).select("u", F.col("e.v").alias("v"))
     # Edges both ways, so that a node is reached from what is near it even if it is near to none of these.
     both = scratch.save(forward.union(back_edges(forward, -1)).groupBy(F.col("u").alias("node")).agg(F.collect_set("v").alias("to")))
@@ -229,7 +230,7 @@ def walk(asked: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scratch,
         if open_.isEmpty():
             return finished
         reached = open_.select("query_id", F.explode("frontier").alias("node")).join(both, "node").select("query_id", F.explode("to").alias("v")).distinct()
-        met = reached.join(nodes.select(F.col("node").alias("v"), "x"), "v").groupBy("query_id").agg(F.collect_list(F.struct("v", "x")).alias("met"))
+        met = reached.join(nodes.select(F.col("node").alias("v"), F.col("fine").alias("x")), "v").groupBy("query_id").agg(F.collect_list(F.struct("v", "x")).alias("met"))
         rows = open_.join(met, "query_id", "left").select("query_id", "q", "pool", "scores", "done", "met")
         state = scratch.save(rows.mapInArrow(_hop(ef, entries, entry_x, False), STATE))
         scratch.release()
@@ -245,12 +246,12 @@ def nearest(spark: SparkSession, table: DataFrame, is_query: str, *, id_col: str
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     scale = 1.0 / largest if largest > 1e-300 else 1.0
-    nodes = scratch.save(full.mapInArrow(lambda b: _rounded(b, scale), "node long, x binary"))
-    graph = build_graph(spark, nodes, scratch, n)
+    nodes = scratch.save(full.mapInArrow(lambda b: _rounded(b, scale), "node long, x binary, fine binary"))
+    graph = build_graph(spark, nodes.select("node", "x"), scratch, n)
 
     queries = one_per_id(rows.where(is_query)).withColumnRenamed("vec_id", "query_id")
     placed = scratch.save(queries.join(full, "v").select("query_id", "node", "v"))
-    asked = placed.join(nodes, "node").select("query_id", F.col("x").alias("q"), "node")
+    asked = placed.join(nodes, "node").select("query_id", F.col("fine").alias("q"), "node")
     keep = 3 * k + 8
     found = walk(asked, nodes, graph, scratch, max(ef, keep)).select("query_id", F.explode(F.slice("pool", 1, keep)).alias("node"))
     # Exact scores. A node stands for all rows of its vector: of each the k + 1 smallest ids, as one may be the query's own.
