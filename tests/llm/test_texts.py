@@ -171,6 +171,41 @@ def test_toxicity(spark, docs, no_docs):
     assert toxicity.score_documents(docs, none).where("__severity > 0").count() == 0
 
 
+def test_ordinal_likelihood():
+    """The loss by its definition, its slopes against differences."""
+    rng = np.random.default_rng(4)
+    z, t, grades = rng.normal(size=30) * 3, np.array([-0.5, 0.7, 2.0]), rng.integers(0, 4, 30)
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    above = lambda z, t, k: 1.0 if k == 0 else 0.0 if k > len(t) else sig(z - t[k - 1])
+    loss = lambda z, t: -sum(np.log(above(a, t, k) - above(a, t, k + 1)) for a, k in zip(z, grades))
+    value, g_z, g_t = toxicity.ordinal_slopes(z, t, grades)
+    assert abs(value - loss(z, t)) < 1e-9
+    e = 1e-6
+    for g, x, f in ((g_z, z, lambda y: loss(y, t)), (g_t, t, lambda y: loss(z, y))):
+        for k in range(len(x)):
+            up, down = x.copy(), x.copy()
+            up[k] += e
+            down[k] -= e
+            assert abs((f(up) - f(down)) / (2 * e) - g[k]) < 1e-4
+
+
+def test_toxicity_of_odd_rows(spark):
+    """Ties, repeated ids with unlike texts, long texts; two runs agree, and scores follow from the weights by hand."""
+    rows = [(k, ("vile " if k % 2 else "kind ") + f"word{k % 5}") for k in range(60)] + [(1, "kind other"), (1, None), (61, "vile " * 30_000), (62, ""), (None, "vile")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, k % 2, 1) for k in range(60)] + [(1, 0, 1)], "doc_id long, toxic int, quality int")
+    models = [toxicity.fit_on(spark, d.repartition(n), labels, toxicity.label_grade()) for n in (2, 5)]
+    assert np.array_equal(models[0][0], models[1][0]) and np.array_equal(models[0][1], models[1][1])
+    w, cuts = models[0]
+    out = toxicity.score_documents(d, models[0]).collect()
+    for r in out:
+        _, f = toxicity.word_sets(*next(((x, o) for _, x, o in textkernel.chunks(pa.array([r["text"]], pa.string()))), (np.zeros(0, np.uint8), np.zeros(2, np.int64))))
+        p = 1 / (1 + np.exp(cuts - w[f].sum()))
+        assert abs(r["__severity"] - p.sum()) < 1e-5 and r["__grade"] == (p >= 0.5).sum()
+    grade = {r["doc_id"]: r["__grade"] for r in out if r["doc_id"] not in (None, 1)}
+    assert grade[61] == 1 and all(grade[k] == k % 2 for k in range(2, 60))
+
+
 # op5
 def test_licenses(spark, no_docs):
     files = [("a/LICENSE", "Released under the MIT License."), ("a/b/x.txt", "text"), ("a/b/c/COPYING", "This work is licensed under the GNU General Public License, version 3."), ("a/b/c/d.txt", None), ("z/y.txt", ""), (None, "no path"), ("a/e.txt", "intro words that go on and on for a while\nLicensed under CC BY-NC 4.0.\nmore"), ("a/b/x.txt", "text"), ("top.txt", "x")]
