@@ -5,8 +5,12 @@ are learned with them, so that words of code-switched text get a language each b
 chain is a run of at most ``CHAIN`` words of one document. The document's language is the one of the largest mean
 chance over all its words, its score that mean.
 
-The model is fitted on a bounded sample: at most ``PER_LANGUAGE`` documents of each language (those of least hash), of
-each at most ``CHAINS_PER_DOC`` chains spread over the text. Words of a training document take its language.
+The model is fitted on a bounded sample: of each language the documents of least hash, at most ``PER_LANGUAGE`` and
+``MOST_DOCUMENTS`` over the number of languages but one at least, of each at most ``CHAINS_PER_DOC`` pieces of ``CHAIN``
+words spread over the text, without words above ``LONGEST`` bytes. Pieces are cut where the texts lie. Words of a
+training document take its language. Of every third piece the words go, in short segments, into chains that join pieces
+of different languages, from which the transitions learn how text switches. The table of weights has a fixed size:
+beyond 64 languages each has fewer slots.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; documents without a language, or held
 out, never train; with no training documents all are ``und``; a tie goes to the first language in order; rows of one
@@ -30,18 +34,24 @@ from folioframe.llm.toxicity import _trim
 
 BITS = 17
 CHAIN = 64
-PER_LANGUAGE, MAX_LANGUAGES, CHAINS_PER_DOC = 500, 64, 8
+PER_LANGUAGE, MOST_DOCUMENTS, CHAINS_PER_DOC, LONGEST = 500, 16_000, 8, 64
+MIXED_EVERY, SEGMENT = 3, (3, 17)
 AFFIXES = (1, 2, 3, 4)
 LEXICON_LEAST, LEXICON_SHARE = 5, 0.7
 UNKNOWN = "und"
 
 
-def word_features(raw: np.ndarray, offsets: np.ndarray):
+def slot_bits(languages: int) -> int:
+    """The bits of a slot's number, so that the table of weights keeps its size."""
+    return max(8, BITS - max(0, (languages - 1).bit_length() - 6))
+
+
+def word_features(raw: np.ndarray, offsets: np.ndarray, bits: int = BITS):
     """(slots, trigram of each byte position, word starts, word ends, first word of each text); a slot is a feature of a word, -1 if missing."""
     starts, ends, first = tk.words(raw, offsets)
     starts, ends = _trim(raw, starts, ends)
     hasher = tk.SpanHasher(raw)
-    down = tk.U64(64 - BITS)
+    down = tk.U64(64 - bits)
     slots = [(hasher(starts, ends, 1) >> down).astype(np.int32)]
     for n in AFFIXES:
         ok = ends - starts >= n
@@ -54,14 +64,14 @@ def word_features(raw: np.ndarray, offsets: np.ndarray):
     if len(raw) >= 3:
         code = low[:-2] * np.uint32(0x01000193) + low[1:-1] * np.uint32(0x85EBCA6B) + low[2:] * np.uint32(0xC2B2AE35)
         code ^= code >> np.uint32(15)
-        tri[:-2] = (code * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - BITS)
+        tri[:-2] = (code * np.uint32(0x2C1B3C6D)) >> np.uint32(32 - bits)
     return np.stack(slots), tri, starts, ends, first
 
 
 def emissions(raw: np.ndarray, offsets: np.ndarray, model: dict) -> tuple[np.ndarray, np.ndarray]:
     """Score of each word for each language, and the first word of each text."""
-    slots, tri, starts, ends, first = word_features(raw, offsets)
     w = model["weights"]
+    slots, tri, starts, ends, first = word_features(raw, offsets, len(w).bit_length() - 1)
     out = np.zeros((len(starts), w.shape[1]), np.float32)
     for f in slots:
         out += w[f] * (f >= 0)[:, None]
@@ -113,45 +123,86 @@ def forward_backward(scores: np.ndarray, begin: np.ndarray, size: np.ndarray, st
     return out, moves, out[begin].sum(0)
 
 
+def cut_pieces(raw: np.ndarray, offsets: np.ndarray) -> list[list[str]]:
+    """Of each text at most CHAINS_PER_DOC pieces of CHAIN words, evenly spread."""
+    starts, ends, first = tk.words(raw, offsets)
+    short = ends - starts <= LONGEST
+    before = np.concatenate(([0], np.cumsum(short)))
+    starts, ends, first = starts[short], ends[short], before[first]
+    begin, size = chains(first)
+    doc = np.searchsorted(first, begin, side="right") - 1
+    parts = np.bincount(doc, minlength=len(first) - 1)
+    place = np.arange(len(begin)) - np.repeat(np.cumsum(parts) - parts, parts)
+    use = place % np.maximum(1, -(-parts[doc] // CHAINS_PER_DOC)) == 0
+    out: list[list[str]] = [[] for _ in range(len(first) - 1)]
+    for d, a, n in zip(doc[use].tolist(), begin[use].tolist(), size[use].tolist(), strict=True):
+        out[d].append(b" ".join(raw[x:y].tobytes() for x, y in zip(starts[a : a + n].tolist(), ends[a : a + n].tolist(), strict=True)).decode())
+    return out
+
+
+def training_order(begin: np.ndarray, size: np.ndarray, seed: int = 9) -> tuple[np.ndarray, np.ndarray]:
+    """(words in their order of training, words of each chain): pieces as they are, but for every third, whose words go in
+    segments into chains of many pieces."""
+    rng = np.random.default_rng(seed)
+    order, sizes, segments = [], [], []
+    for k, (a, n) in enumerate(zip(begin.tolist(), size.tolist(), strict=True)):
+        if k % MIXED_EVERY:
+            order.append(np.arange(a, a + n))
+            sizes.append(n)
+        else:
+            while n:
+                m = min(n, int(rng.integers(*SEGMENT)))
+                segments.append(np.arange(a, a + m))
+                a, n = a + m, n - m
+    held = 0
+    for k in rng.permutation(len(segments)).tolist():
+        order.append(segments[k])
+        held += len(segments[k])
+        if held >= CHAIN:
+            sizes.append(held)
+            held = 0
+    if held:
+        sizes.append(held)
+    return np.concatenate(order) if order else np.zeros(0, np.int64), np.array(sizes, np.int64)
+
+
 def fit(texts: list[str], languages: list[str], rounds: int = 30, rate: float = 0.15, ridge: float = 1e-5) -> dict:
-    """Weights by full-batch Adam steps on the likelihood of the chains."""
+    """Weights by full-batch Adam steps on the likelihood of the chains; ``texts`` are pieces of one language each."""
     names = sorted(set(languages))
     k = len(names)
+    bits = slot_bits(k)
     label_of = {n: j for j, n in enumerate(names)}
     slots, grams, gram_word, labels, begins, sizes, base = [], [], [], [], [], [], 0
     for row, raw, offsets in tk.chunks(pa.array(texts, pa.string())):
-        s, tri, starts, ends, first = word_features(raw, offsets)
+        s, tri, starts, ends, first = word_features(raw, offsets, bits)
         begin, size = chains(first)
-        doc = np.searchsorted(first, begin, side="right") - 1
-        parts = np.bincount(doc, minlength=len(first) - 1)
-        place = np.arange(len(begin)) - np.repeat(np.cumsum(parts) - parts, parts)
-        stride = np.maximum(1, -(-parts[doc] // CHAINS_PER_DOC))
-        use = place % stride == 0
-        begin, size, doc = begin[use], size[use], doc[use]
-        words = np.repeat(begin - np.cumsum(size) + size, size) + np.arange(size.sum())
-        slots.append(s[:, words])
-        n = np.maximum(0, ends[words] - 2 - starts[words])
-        at = np.repeat(starts[words] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        slots.append(s)
+        n = np.maximum(0, ends - 2 - starts)
+        at = np.repeat(starts - np.cumsum(n) + n, n) + np.arange(n.sum())
         grams.append(tri[at])
-        gram_word.append(np.repeat(np.arange(len(words)), n) + base)
-        begins.append(np.cumsum(size) - size + base)
+        gram_word.append(np.repeat(np.arange(len(starts)), n) + base)
+        begins.append(begin + base)
         sizes.append(size)
-        labels.append(np.repeat([label_of[languages[row + d]] for d in doc], size))
-        base += len(words)
+        labels.append(np.repeat([label_of[x] for x in languages[row : row + len(first) - 1]], np.diff(first)))
+        base += len(starts)
     slots, grams, gram_word = np.concatenate(slots, 1), np.concatenate(grams), np.concatenate(gram_word)
-    labels, begin, size = np.concatenate(labels).astype(np.int64), np.concatenate(begins), np.concatenate(sizes)
+    order, size = training_order(np.concatenate(begins), np.concatenate(sizes))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    slots, gram_word, labels = slots[:, order], place[gram_word], np.concatenate(labels).astype(np.int64)[order]
+    begin = np.cumsum(size) - size
     n = len(labels)
     # Features met once or twice say nothing of the language; all that is fitted is renumbered without gaps.
     word_feats = [f for f in slots]
     feat = np.concatenate([f[f >= 0] for f in word_feats])
     word = np.concatenate([np.flatnonzero(f >= 0) for f in word_feats])
-    seen = np.bincount(feat, minlength=1 << BITS)
+    seen = np.bincount(feat, minlength=1 << bits)
     ok = seen[feat] >= 3
     feat, word = feat[ok], word[ok]
-    gseen = np.bincount(grams, minlength=1 << BITS)
+    gseen = np.bincount(grams, minlength=1 << bits)
     ok = gseen[grams] >= 3
     grams, gram_word = grams[ok], gram_word[ok]
-    share = np.stack([np.bincount(slots[0], weights=labels == j, minlength=1 << BITS) for j in range(k)], 1)
+    share = np.stack([np.bincount(slots[0], weights=labels == j, minlength=1 << bits) for j in range(k)], 1)
     total = share.sum(1)
     member = (total[:, None] >= LEXICON_LEAST) & (share >= LEXICON_SHARE * np.maximum(total, 1)[:, None])
     in_lexicon = member[slots[0]].astype(np.float64)
@@ -185,7 +236,7 @@ def fit(texts: list[str], languages: list[str], rounds: int = 30, rate: float =
             first[j], second[j] = 0.9 * first[j] + 0.1 * d, 0.99 * second[j] + 0.01 * d * d
             params[j] = params[j] - rate * (first[j] / (1 - 0.9**r)) / (np.sqrt(second[j] / (1 - 0.99**r)) + 1e-8)
     w, wt, a, s, lex = params
-    weights, trigrams = np.zeros((1 << BITS, k), np.float32), np.zeros((1 << BITS, k), np.float32)
+    weights, trigrams = np.zeros((1 << bits, k), np.float32), np.zeros((1 << bits, k), np.float32)
     weights[u], trigrams[g] = w, wt
     return {"names": names, "weights": weights, "trigrams": trigrams, "lexicon": (member * lex).astype(np.float32), "step": a, "start": s}
 
@@ -222,28 +273,36 @@ def held_out(key: Column) -> Column:
 
 
 def sample(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> pd.DataFrame:
-    """At most PER_LANGUAGE training documents of each of at most MAX_LANGUAGES languages."""
+    """(lang, piece) of the training documents, in a defined order."""
     usable = documents.where(~held_out(F.col(id_col)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    ids = usable.select(F.col(id_col).alias("__id"), F.col(lang_col).cast("string").alias("__lang"))
-    # The least hashes of each language: a partial aggregate over few groups keeps as many as it needs.
-    langs = [r["__lang"] for r in ids.groupBy("__lang").count().orderBy(F.desc("count"), "__lang").limit(MAX_LANGUAGES).collect()]
-    ranked = ids.where(F.col("__lang").isin(langs)).withColumn("__h", F.xxhash64("__id"))
-    sizes = {r["__lang"]: r["count"] for r in ranked.groupBy("__lang").count().collect()}
-    # Only hashes low enough for about twice the number wanted are ranked, so no task ranks a whole language.
-    low = F.lit(2**63 - 1).cast("long")
-    for lang, n in sizes.items():
-        if n > 4 * PER_LANGUAGE:
-            low = F.when(F.col("__lang") == lang, F.lit(int(-(2**63) + 2**64 * (2 * PER_LANGUAGE / n)))).otherwise(low)
-    few = ranked.where(F.col("__h") <= low).withColumn("__n", F.row_number().over(Window.partitionBy("__lang").orderBy("__h", "__id"))).where(F.col("__n") <= PER_LANGUAGE)
-    texts = usable.select(F.col(id_col).alias("__id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    chosen = few.select("__id", "__lang")
-    return texts.join(F.broadcast(chosen), (texts["__id"] == chosen["__id"]) & (texts["lang"] == chosen["__lang"]), "left_semi").toPandas()
+    usable = usable.select(F.col(id_col).cast("string").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).withColumn("h", F.xxhash64("text"))
+    ids = usable.select("id", "lang", "h").distinct()
+    languages = ids.select("lang").distinct().count()
+    quota = min(PER_LANGUAGE, max(1, MOST_DOCUMENTS // max(1, languages)))
+    # The least hashes of each language; the limit works in each task before the shuffle.
+    few = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h"))).where(F.col("n") <= quota).drop("n")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for _, raw, offsets in tk.chunks(b.column(3)):
+                out += cut_pieces(raw, offsets)
+            at = pa.array(np.repeat(np.arange(len(out)), [len(x) for x in out]))
+            number, piece = [n for x in out for n in range(len(x))], [p for x in out for p in x]
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(at) for c in range(3)), pa.array(number, pa.int32()), pa.array(piece, pa.string())], names=["id", "lang", "h", "number", "piece"])
+
+    # Null ids are ids like others here, so the sides meet null-safe.
+    chosen = few.select(F.coalesce("id", F.lit("")).alias("k"), F.col("id").isNull().alias("no_id"), F.col("lang").alias("l"), F.col("h").alias("g"))
+    same = (F.coalesce("id", F.lit("")) == F.col("k")) & (F.col("id").isNull() == F.col("no_id")) & (F.col("lang") == F.col("l")) & (F.col("h") == F.col("g"))
+    texts = usable.join(F.broadcast(chosen), same, "left_semi").select("id", "lang", "h", "text")
+    pieces = texts.mapInArrow(cut, "id string, lang string, h long, number int, piece string").dropDuplicates(["id", "lang", "h", "number"])
+    return pieces.toPandas().sort_values(["id", "h", "number", "lang"], kind="stable")
 
 
 def identify(spark: SparkSession, documents: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Per row: doc_id, held_out, lang_pred and score."""
-    rows = sample(documents, id_col, text_col, lang_col).sort_values(["__id", "text"])
-    model = fit(rows["text"].tolist(), rows["lang"].tolist()) if len(rows) and rows["text"].str.contains(r"\S").any() else None
+    rows = sample(documents, id_col, text_col, lang_col)
+    model = fit(rows["piece"].tolist(), rows["lang"].tolist()) if len(rows) else None
     text = F.col(text_col).cast("string")
     own = documents.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), text.alias("text"), F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"))
     return own.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")

@@ -319,6 +319,68 @@ def test_language(spark, docs, doc_rows, no_docs):
     assert p.argmax(1).tolist() == [0] * 4 + [1] * 5
 
 
+def code_switched(r, words, n):
+    """(text, language of each word) of runs of some words of each language in turn."""
+    out, lab = [], []
+    while len(out) < n:
+        lang = r.choice([x for x in words if not lab or x != lab[-1]])
+        run = [r.choice(words[lang]) for _ in range(r.randint(3, 9))]
+        out, lab = out + run, lab + [lang] * len(run)
+    return " ".join(out), lab
+
+
+def test_code_switched_words():
+    """Held-out words of code-switched text, a third of them the same in both languages: what stands around decides."""
+    import random
+
+    r = random.Random(6)
+    stem = lambda: "".join(r.choice("bcdfglmnprst") + r.choice("aeiou") for _ in range(r.randint(1, 2)))
+    shared = [stem() for _ in range(60)]
+    words = {"one": [stem() + "ing" for _ in range(300)] + shared * 3, "two": [stem() + "eaux" for _ in range(300)] + shared * 3}
+    texts, langs = zip(*[(" ".join(r.choice(words[x]) for _ in range(r.randint(20, 90))), x) for x in ("one", "two") * 150])
+    model = language.fit(list(texts), list(langs))
+    assert model["names"] == ["one", "two"]
+    right = total = ambiguous = told = 0
+    for _ in range(40):
+        text, lab = code_switched(r, words, 60)
+        _, p, _ = next(language.tag(pa.array([text]), model))
+        for w, got, want in zip(text.split(), p.argmax(1), lab):
+            ok = model["names"][got] == want
+            right, total = right + ok, total + 1
+            if w in shared:
+                told, ambiguous = told + ok, ambiguous + 1
+    assert right / total > 0.9 and ambiguous > 500 and told / ambiguous > 0.75
+    # Learned from chains that switch: staying is likelier than switching, but switching is no outlier.
+    stay, leave = np.diag(model["step"]).mean(), (model["step"].sum() - np.trace(model["step"])) / 2
+    assert 0 < stay - leave < 4
+
+
+def test_held_out_accuracy_and_many_languages(spark):
+    """80 languages: none is left out, and documents that never trained are told apart."""
+    import random
+
+    r = random.Random(7)
+    vocabulary = [[f"{chr(97 + k % 26)}{chr(97 + k // 26)}{r.randrange(10**4)}" for _ in range(40)] for k in range(80)]
+    rows = [(n, " ".join(r.choice(vocabulary[n % 80]) for _ in range(30)), f"l{n % 80}") for n in range(1600)]
+    rows += [(5000, "x" * 100_000 + " " + " ".join(vocabulary[3]), "l3"), (5001, " ".join(vocabulary[4] * 2000), "l4"), (None, " ".join(vocabulary[5]), "l5")] + [rows[0]] * 50
+    out = language.identify(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).toPandas()
+    want = {k: x for k, _, x in rows}
+    held = out[out["held_out"]]
+    assert len(out) == len(rows) and len(held) > 200
+    assert (held["lang_pred"] == held["doc_id"].map(want)).mean() > 0.95
+    assert out["lang_pred"].nunique() == 80
+    assert language.slot_bits(64) == language.BITS and language.slot_bits(65) == language.BITS - 1
+
+
+def test_pieces():
+    """The words of a text of any length, spread, without words too long."""
+    text = " ".join(f"w{k}" for k in range(2000)) + " " + "y" * 65
+    (_, raw, offsets), = textkernel.chunks(pa.array([text, "", None, "z" * 80, "a b"]))
+    pieces = language.cut_pieces(raw, offsets)
+    assert [len(p) for p in pieces] == [8, 0, 0, 0, 1] and pieces[4] == ["a b"]
+    assert all(len(p.split()) <= language.CHAIN for p in pieces[0]) and pieces[0][0].split()[0] == "w0" and pieces[0][-1].split()[0] == "w1792"
+
+
 def test_forward_backward():
     rng = np.random.default_rng(0)
     s, start, step = rng.normal(size=(7, 3)), rng.normal(size=3), rng.normal(size=(3, 3))
