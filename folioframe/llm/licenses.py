@@ -1,8 +1,10 @@
 """Licence scan: sparse TF-IDF cosine of headers and licence files to templates, then inheritance along directories.
 
-Every segment of a text (a line, or a sentence of a long line) that speaks of a licence is compared with short templates
-of known licences; so are runs of such segments with what follows, as headers span lines. Document frequencies of the
-templates' words come from all segments of all documents; the vocabulary is the templates' own, so its size is bounded.
+Every segment of a text that speaks of a licence is compared with templates: notices of one sentence, whole short
+licences, and the heads of long ones. A segment is a line; a long line is cut at ends of sentences and comments, and what
+is still long, such as minified text, into windows of words around the places that speak. Runs of such segments with
+what follows are compared too, as headers and licence files span lines. Document frequencies of the templates' words come
+from all segments of all documents; the vocabulary is the templates' own, so its size is bounded.
 The best cosine at or above ``least`` names the text's own licence. A file named like a licence, or one that holds
 little else, is a licence file of its directory; a file without a licence of its own takes that of the nearest directory
 above it that has a licence file. Directories, not files, are joined with their ancestors.
@@ -15,6 +17,7 @@ no rows. Other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
@@ -28,29 +31,69 @@ from pyspark.sql import functions as F
 from folioframe.scratch import Scratch
 
 # How texts commonly state each licence.
+_WARRANTY = "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_VERBATIM = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
 TEMPLATES = {
-    "MIT": ["Released under the MIT License.", "Licensed under the MIT license.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"],
-    "Apache-2.0": ["Licensed under the Apache License, Version 2.0.", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2"],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3.", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3."],
-    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3."],
-    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License."],
-    "BSD-3-Clause": ["Licensed under the BSD 3-Clause License.", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"],
-    "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0."],
-    "ISC": ["Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
-    "Unlicense": ["This is free and unencumbered software released into the public domain."],
-    "CC0-1.0": ["Dedicated to the public domain under CC0 1.0."],
+    "MIT": [
+        "Released under the MIT License.", "Licensed under the MIT license.",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
+        "MIT License Copyright (c) Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    ],
+    "Apache-2.0": [
+        "Licensed under the Apache License, Version 2.0.",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License.",
+        "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION",
+    ],
+    "GPL-2.0": [
+        "This work is licensed under the GNU General Public License, version 2.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2",
+        f"GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc. {_VERBATIM}",
+    ],
+    "GPL-3.0": [
+        "This work is licensed under the GNU General Public License, version 3.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
+        f"GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}",
+    ],
+    "LGPL-2.1": [
+        "Licensed under the GNU Lesser General Public License, version 2.1.",
+        f"GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc. {_VERBATIM}",
+    ],
+    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", f"GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"],
+    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", f"GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"],
+    "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", f"BSD 2-Clause License Copyright (c) All rights reserved. {_BSD}"],
+    "BSD-3-Clause": [
+        "Licensed under the BSD 3-Clause License.",
+        f"BSD 3-Clause License Copyright (c) All rights reserved. {_BSD} 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    ],
+    "MPL-2.0": [
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.",
+        "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.",
+    ],
+    "ISC": [
+        "Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        f"ISC License Copyright (c) Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. {_WARRANTY}",
+    ],
+    "Unlicense": [
+        "This is free and unencumbered software released into the public domain.",
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    ],
+    "CC0-1.0": ["Dedicated to the public domain under CC0 1.0.", "Creative Commons Legal Code CC0 1.0 Universal"],
     "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
     "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
     "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0."],
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0."],
 }
-SPEAKS = r"(?i)licen[sc]|permission (?:is|to use)|redistribution and use|public domain|free software"
+SPEAKS = r"(?i)licen[sc]|permission (?:is|to use)|redistribution and use|public domain|free software|legal code"
 FILE_NAME = r"(?i)(?:^|/)(?:licen[sc]e|copying|notice|unlicense)(?:\.[a-z]+)?$"
 WORD = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
-RUN = 4  # segments that a header may span
+RUN = 24  # segments that a header or the head of a licence file may span
+RUN_WORDS = 200  # a run goes on up to so many words
+LONG = 400  # characters of a line that is cut further
+CUT = r"(?<=[.!?|;])\s+|/\*|\*/|//|<!--|-->|[{}]"
+AROUND, SPANS = 6, (6, 8, 10, 14, 20, 32, 64, 128)  # windows of a long segment: from so many words before a hit, of so many words
 
 
 def tokens(text: str) -> list[str]:
@@ -69,34 +112,61 @@ class Index:
         share = {w: (frequencies or {}).get(w, 0.0) / documents if documents else 0.0 for w in self.vocabulary}
         self.idf = np.array([math.log((2 + 2 * len(counts)) / (1 + own[w] + share[w] * len(counts))) for w in self.vocabulary])
         self.unknown = math.log(2 + 2 * len(counts)) / 2
-        self.matrix = np.zeros((len(counts), len(self.vocabulary)))
+        # Each word's templates with its part of their unit vectors.
+        self.postings: dict[str, list[tuple[int, float]]] = {w: [] for w in self.vocabulary}
         for k, c in enumerate(counts):
+            norm = math.sqrt(sum((n * self.idf[self.vocabulary[w]]) ** 2 for w, n in c.items()))
             for w, n in c.items():
-                self.matrix[k, self.vocabulary[w]] = n * self.idf[self.vocabulary[w]]
-        self.matrix /= np.sqrt((self.matrix**2).sum(1, keepdims=True))
+                self.postings[w].append((k, n * self.idf[self.vocabulary[w]] / norm))
 
-    def best(self, text: str) -> tuple[str | None, float]:
+    def best(self, words: list[str]) -> tuple[str | None, float]:
         """The licence of the largest cosine; words that no template has lengthen the text's vector."""
-        c = Counter(tokens(text))
-        v, rest = np.zeros(len(self.vocabulary)), 0.0
-        for w, n in c.items():
+        square, cosines = 0.0, [0.0] * len(self.names)
+        for w, n in Counter(words).items():
             k = self.vocabulary.get(w)
-            if k is None:
-                rest += (n * self.unknown) ** 2
-            else:
-                v[k] = n * self.idf[k]
-        norm = math.sqrt(float(v @ v) + rest)
-        if not norm:
+            x = n * (self.unknown if k is None else self.idf[k])
+            square += x * x
+            for t, y in self.postings.get(w, ()):
+                cosines[t] += x * y
+        if not square:
             return None, 0.0
-        cosines = self.matrix @ v / norm
-        at = int(cosines.argmax())
-        return self.names[at], float(cosines[at])
+        at = max(range(len(cosines)), key=cosines.__getitem__)
+        return self.names[at], cosines[at] / math.sqrt(square)
 
 
 def segments(text: Column) -> Column:
-    """Lines, long ones cut at ends of sentences, that speak of a licence, each followed by the next few."""
-    lines = F.flatten(F.transform(F.split(text, r"\n"), lambda l: F.when(F.length(l) <= 400, F.array(l)).otherwise(F.split(l, r"(?<=[.!?|])\s+"))))
-    return F.when(text.rlike(SPEAKS), lines)
+    """The lines of a text that speaks of a licence anywhere, long ones cut, without those that are blank."""
+    lines = F.flatten(F.transform(F.split(text, r"\n"), lambda l: F.when(F.length(l) <= LONG, F.array(l)).otherwise(F.split(l, CUT))))
+    return F.when(text.rlike(SPEAKS), F.filter(lines, lambda l: l.rlike(r"\S")))
+
+
+def candidates(lines: list[str], speaks: re.Pattern) -> Iterator[tuple[bool, list[str]]]:
+    """(one segment, words) of what is compared: each segment that speaks, the runs that begin there, and of long
+    segments the windows around the places that speak."""
+    for k, line in enumerate(lines):
+        hits = [m.start() for m in speaks.finditer(line)]
+        if not hits:
+            continue
+        if len(line) > LONG:
+            at = [m.start() for m in WORD.finditer(line.lower())]
+            words = tokens(line) if len(at) <= SPANS[-1] else []
+            if words:
+                yield True, words
+            for h in hits:
+                first = bisect.bisect_left(at, h)
+                for a in range(max(0, first - AROUND), first + 1):
+                    for n in SPANS:
+                        if a + n // 2 <= len(at):
+                            yield False, tokens(line[at[a] : at[a + n] if a + n < len(at) else len(line)])
+            continue
+        words = tokens(line)
+        yield True, words
+        run = list(words)
+        for more in lines[k + 1 : k + RUN]:
+            run = run + tokens(more[: 16 * RUN_WORDS])
+            if len(run) > RUN_WORDS:
+                break
+            yield False, run
 
 
 def _scan(index: Index, least: float):
@@ -107,20 +177,13 @@ def _scan(index: Index, least: float):
             names, scores, parts = [], [], []
             for lines in batch.column(batch.num_columns - 1).to_pylist():
                 name, score, words = None, 0.0, 0
-                for k, line in enumerate(lines or ()):
-                    if line is None or not speaks.search(line):
-                        continue
-                    for n in range(1, RUN + 1):
-                        if k + n > len(lines):
-                            break
-                        text = " ".join(lines[k : k + n])
-                        if len(text) > 2000:
-                            break
-                        found, s = index.best(text)
-                        if s > score + 1e-12:
-                            name, score = found, s
-                        if n == 1 and s >= least:
-                            words += len(line.split())
+                for single, c in candidates(lines or [], speaks):
+                    found, s = index.best(c)
+                    if s > score + 1e-12:
+                        name, score = found, s
+                    if s >= least:
+                        # Words told: those of the segments that state a licence, or of the longest run that does.
+                        words = words + len(c) if single else max(words, len(c))
                 names.append(name if score >= least else None)
                 scores.append(score)
                 parts.append(words)
@@ -163,8 +226,11 @@ def scan(spark: SparkSession, files: DataFrame, *, id_col: str, path: Column, te
 
 
 def document_path() -> Column:
-    """Documents have no path: each counts as a file of a directory of fifty in its source's tree."""
-    return F.concat_ws("/", F.coalesce("source", F.lit("-")), F.expr("doc_id div 1000").cast("string"), F.expr("doc_id div 50").cast("string"), F.col("doc_id").cast("string"))
+    """Documents have no path: each counts as a file of a directory of fifty in its source's tree, but the first of fifty
+    lies in the directory above, the first of a thousand in that of the source, so that there is much to inherit."""
+    fifty = F.when(F.expr("doc_id % 50 <> 0"), F.expr("doc_id div 50").cast("string"))
+    thousand = F.when(F.expr("doc_id % 1000 <> 0"), F.expr("doc_id div 1000").cast("string"))
+    return F.when(F.col("doc_id").isNotNull(), F.concat_ws("/", F.coalesce("source", F.lit("-")), thousand, fifty, F.col("doc_id").cast("string")))
 
 
 def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -216,6 +216,74 @@ def test_licenses(spark, no_docs):
     assert licenses.scan(spark, no_docs, id_col="doc_id", path=licenses.document_path(), text_col="text").count() == 0
 
 
+def test_cosines_by_hand():
+    """The sparse index against whole vectors over all words."""
+    import math
+
+    index = licenses.Index(100.0, {"the": 90.0, "license": 40.0, "mit": 3.0})
+    texts = [x for v in licenses.TEMPLATES.values() for x in v]
+    every = sorted({w for t in texts for w in licenses.tokens(t)} | {"zebra", "moon"})
+    weight = np.array([index.idf[index.vocabulary[w]] if w in index.vocabulary else index.unknown for w in every])
+    vector = lambda words: np.array([words.count(w) for w in every]) * weight
+    rows = np.stack([vector(licenses.tokens(t)) for t in texts])
+    for t in ["Licensed under the MIT license.", "the zebra under the moon", "GNU General Public License, version 3", "license license mit zebra", "moon"]:
+        v = vector(licenses.tokens(t))
+        cosines = rows @ v / np.linalg.norm(rows, axis=1) / np.linalg.norm(v)
+        name, score = index.best(licenses.tokens(t))
+        assert math.isclose(score, cosines.max(), abs_tol=1e-12) and (score == 0 or math.isclose(cosines[index.names.index(name) :].max(), score, abs_tol=1e-9))
+    assert index.best([]) == (None, 0.0)
+
+
+GPL_HEAD = """                    GNU GENERAL PUBLIC LICENSE
+                       Version 3, 29 June 2007
+
+ Copyright (C) 2007 Free Software Foundation, Inc. <https://fsf.org/>
+ Everyone is permitted to copy and distribute verbatim copies
+ of this license document, but changing it is not allowed.
+
+                            Preamble
+
+  Nothing of what follows here is like any other text.
+"""
+
+
+def test_headers_and_files_of_many_shapes(spark):
+    noise = "".join(f"function f{k}(a){{return a*{k}}}" for k in range(400))
+    wide = " ".join(f"word{k}" for k in range(900))
+    apache = "\n".join(["/*", " * Licensed under the Apache License, Version 2.0 (the \"License\");", " * you may not use this file except in compliance with the License.", " * You may obtain a copy of the License at", " */", "int x;"])
+    cases = [
+        (f"{noise}/* Licensed under the MIT license. */{noise}", "MIT"), (f"{wide} Released under the MIT License {wide}", "MIT"), (GPL_HEAD, "GPL-3.0"), (GPL_HEAD.replace("GENERAL", "AFFERO GENERAL").replace("29 June", "19 November"), "AGPL-3.0"),
+        (apache, "Apache-2.0"), (licenses.TEMPLATES["BSD-3-Clause"][1].replace(". ", ".\n"), "BSD-3-Clause"), (licenses.TEMPLATES["BSD-2-Clause"][1].replace(". ", ".\n"), "BSD-2-Clause"),
+        (wide, None), (noise, None), ("a driving licence is needed for this job in the city centre", None), ("", None), (None, None), ("license " * 20_000, None), ("x" * 300_000 + " public domain", None),
+    ]
+    f = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)] + [(0, cases[0][0])], "id int, text string")
+    out = licenses.scan(spark, f, id_col="id", path=F.lit(None).cast("string"), text_col="text").collect()
+    assert len(out) == len(cases) + 1 and all(r["licence"] == cases[r["id"]][1] for r in out), [(r["id"], r["licence"], r["score"]) for r in out if r["licence"] != cases[r["id"]][1]]
+
+
+def test_planted_notices_and_inheritance(spark):
+    """Every document of the table that holds one of the planted notices, and by hand the nearest directory above."""
+    notices = {"This work is licensed under the GNU General Public License, version 3.": "GPL-3.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "Released under the MIT License.": "MIT", "Licensed under the Apache License, Version 2.0.": "Apache-2.0"}
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    out = {r["doc_id"]: r for r in licenses.op5_licenses(spark, sf).collect()}
+    assert len(out) == len(docs)
+    held = {r["doc_id"]: {v for n, v in notices.items() if n in (r["text"] or "")} for r in docs}
+    assert sum(map(bool, held.values())) >= 5
+    for k, names in held.items():
+        assert out[k]["licence"] in names and out[k]["origin"] == "own" if names else out[k]["origin"] != "own"
+    for r in (r for r in out.values() if r["origin"] == "inherited"):
+        assert r["path"].startswith(r["licence_directory"] + "/")
+
+
+def test_inheritance_climbs(spark):
+    paths = [r["p"] for r in spark.createDataFrame([(k, "s") for k in (0, 50, 51, 1000, 1050, 1051)] + [(None, None)], "doc_id long, source string").select(licenses.document_path().alias("p")).collect()]
+    assert paths == ["s/0", "s/0/50", "s/0/1/51", "s/1000", "s/1/1050", "s/1/21/1051", None]
+    rows = [(0, "s", "Released under the MIT License."), (1050, "s", "Licensed under CC BY 4.0."), (51, "s", "x"), (1051, "s", "y"), (2001, "t", "z")]
+    out = {r["id"]: (r["licence"], r["licence_directory"]) for r in licenses.scan(spark, spark.createDataFrame(rows, "doc_id long, source string, text string"), id_col="doc_id", path=licenses.document_path(), text_col="text").collect()}
+    assert out[51] == ("MIT", "s") and out[1051] == ("CC-BY-4.0", "s/1") and out[2001] == (None, None)
+
+
 # op6
 def shingles(t):
     w = WORDS.findall(lower(t))
