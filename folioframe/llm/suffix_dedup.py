@@ -409,7 +409,7 @@ def remove_repeats(
     scratch = Scratch(spark, "suffix-dedup")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.crc32(text.cast("binary")).alias("row_key"), text.alias("text"))
-    buckets = 1 << min(13, max(6, (16 * input_partitions(documents) - 1).bit_length()))
+    buckets = 1 << min(BITMAP_BITS - 6, max(6, (16 * input_partitions(documents) - 1).bit_length()))
     counted = rows.select("text").mapInArrow(_count(width, buckets), "bucket int, anchors binary, strings binary, docs binary")
     regions = counted.groupBy("bucket").applyInPandas(_repeated(buckets, hot_docs), "bucket int, repeated binary, mixed binary, hot binary").collect()
     size = (1 << BITMAP_BITS) // 8
