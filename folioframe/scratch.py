@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import gc
+import re
 import tempfile
 import uuid
 
@@ -13,9 +14,12 @@ from folioframe.session import ship
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one where it is unset (tests on one machine)."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one where it is unset and all runs on one machine. On a
+    cluster without one this raises, since executors would write to disks that the others do not see."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = getattr(spark, "_folio_scratch", None) or tempfile.mkdtemp(prefix="folio-")
         spark._folio_scratch = found
         found = f"file://{found}"

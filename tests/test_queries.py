@@ -126,3 +126,18 @@ def test_numbers_of_notes(spark):
     value = "1 Theo 4465758382889437 x 99999999999 A. 2 B."
     n = spark.createDataFrame([(value,)], "x string").select(footnotes.split_notes(F.col("x")).alias("n")).head()["n"]
     assert [(x["num"], x["continued"]) for x in n] == [(1, False), (2, False)]
+
+
+def test_no_local_folder_on_a_cluster(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from folioframe import scratch
+
+    conf = SimpleNamespace(get=lambda key, default=None: default)
+    for master, ok in (("local[4]", True), ("local", True), ("local-cluster[2,1,1024]", False), ("yarn", False), ("spark://host:7077", False)):
+        session = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+        if ok:
+            assert scratch.shared_dir(session).startswith("file://")
+        else:
+            with pytest.raises(RuntimeError):
+                scratch.shared_dir(session)
