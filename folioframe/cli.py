@@ -1,9 +1,14 @@
 """Commands over layout tables: extract, validate, index, survey.
 
-    python -m folioframe.cli extract  --spans S --drawings D --pages P --out O [--part N --section SPEC]
-    python -m folioframe.cli validate --markdown M --out O
+    python -m folioframe.cli extract  --spans S --drawings D --pages P --out O [--part N [--section SPEC]] [--last-page N]
+    python -m folioframe.cli validate --extracted E --spans S --drawings D --pages P --out O [--errata A] [--threshold X]
     python -m folioframe.cli index    --pages P --stories S --out O
     python -m folioframe.cli survey   --spans S --drawings D --out O
+
+``extract`` writes leaves (Parquet), markdown (a file per leaf), manifest and bibliography; a part that is extracted anew
+replaces its own rows of an older manifest. ``validate`` checks the files that ``extract`` wrote against the pages and
+writes results and report. ``index`` writes records, resolved targets, aliases and what is left open, as Parquet, and the
+records as JSON. ``survey`` writes the catalogue: layout by page, fonts, recurring notes and breaks of dialogue.
 """
 
 from __future__ import annotations
@@ -13,43 +18,83 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.operators import assemble, discovery, footnotes, layout, markdown, name_index, render, survey, toc
+from folioframe.operators import extract, footnotes, layout, leaf_validation, name_index, survey
 from folioframe.operators.select import parse_spec
 from folioframe.session import ship
 from folioframe.sources import layout as source
+from folioframe.sources import sinks
 
 SECTION_NEEDS_PART = "--section needs --part: sections are numbered anew in every part"
+ERRATA = "path string, flag string, reason string"
+
+
+def _there(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _save(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+def run_extract(spark: SparkSession, a: argparse.Namespace) -> None:
+    spans, drawings, pages = source.read_spans(spark, a.spans), spark.read.parquet(a.drawings), spark.read.parquet(a.pages)
+    _save(extract.extract(spans, drawings, pages, a.last_page, a.part, parse_spec(a.section) if a.section else None), f"{a.out}/leaves")
+    leaves = spark.read.parquet(f"{a.out}/leaves")
+    sinks.write_markdown(leaves, f"{a.out}/markdown")
+    fresh = extract.manifest(leaves)
+    if _there(spark, f"{a.out}/manifest"):
+        known = spark.createDataFrame(spark.read.parquet(f"{a.out}/manifest").collect(), fresh.schema)  # one row per document and part
+        fresh = fresh.unionByName(known.join(fresh.select("doc_id", "part"), ["doc_id", "part"], "left_anti"))
+    _save(fresh, f"{a.out}/manifest")
+    if a.part is None:
+        _save(extract.bibliography_files(spans, drawings, pages, a.last_page), f"{a.out}/bibliography")
+        _save(extract.drift(pages, leaves), f"{a.out}/drift")
+
+
+def run_validate(spark: SparkSession, a: argparse.Namespace) -> None:
+    leaves = spark.read.parquet(f"{a.extracted}/leaves")
+    pages = spark.read.parquet(a.pages)
+    notes = footnotes.merge_notes(footnotes.page_notes(layout.lines(source.read_spans(spark, a.spans), spark.read.parquet(a.drawings))))
+    allowed = spark.read.parquet(a.errata) if a.errata else spark.createDataFrame([], ERRATA)
+    out = leaf_validation.validate_leaves(sinks.read_leaves(spark, f"{a.extracted}/markdown"), extract.jobs(leaves), pages, notes, allowed, a.threshold, a.min_density)
+    _save(out, f"{a.out}/results")
+    results = spark.read.parquet(f"{a.out}/results")
+    drift = spark.read.parquet(f"{a.extracted}/drift").collect() if _there(spark, f"{a.extracted}/drift") else []
+    report = leaf_validation.report(results) + "".join(f"- part {r['part']}, section {r['section']}: {r['flag']} ({r['actual']} of {r['expected']})\n" for r in drift)
+    spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.out}/report")
+
+
+def run_index(spark: SparkSession, a: argparse.Namespace) -> None:
+    _save(name_index.records(spark.read.parquet(a.pages)), f"{a.out}/records")
+    index, stories = spark.read.parquet(f"{a.out}/records"), spark.read.parquet(a.stories)
+    _save(name_index.resolve(index, stories), f"{a.out}/resolved")
+    _save(name_index.with_aliases(index), f"{a.out}/aliases")
+    resolved, aliases = spark.read.parquet(f"{a.out}/resolved"), spark.read.parquet(f"{a.out}/aliases")
+    _save(name_index.unresolved(index, resolved, aliases, stories), f"{a.out}/unresolved")
+    _save(resolved.where("tier = 3"), f"{a.out}/fuzzy")
+    sinks.write_json(name_index.to_json(index), f"{a.out}/json")
+
+
+def run_survey(spark: SparkSession, a: argparse.Namespace) -> None:
+    rows = layout.mark_verse(layout.lines(source.read_spans(spark, a.spans), spark.read.parquet(a.drawings)))
+    _save(survey.layout_stats(rows), f"{a.out}/layout")
+    _save(survey.dialogue_breaks(rows), f"{a.out}/dialogue_breaks")
+    _save(survey.recurring_notes(footnotes.page_notes(rows)), f"{a.out}/recurring_notes")
 
 
-def extract(spans: DataFrame, drawings: DataFrame, pages: DataFrame, last_page: int, part: int | None = None, sections: list[int] | None = None) -> DataFrame:
-    """(doc_id, part, section, leaf, title, markdown) of the stories of the chosen sections."""
-    found = toc.sections(toc.entries(pages)).where("section is not null")
-    if part is not None:
-        found = found.where(F.col("part") == part)
-    if sections:
-        found = found.where(F.col("section").isin(sections))
-    lines = layout.lines(spans, drawings)
-    stories = discovery.stories(lines, last_page)
-    owner = found.select("doc_id", "part", "section", F.col("start_page").alias("s"), F.col("end_page").alias("e"), "hard_stops")
-    inside = (stories["doc_id"] == owner["doc_id"]) & stories["start_page"].between(owner["s"], owner["e"])
-    placed = stories.join(owner, inside).select(stories["doc_id"], "part", "section", F.col("number").alias("leaf"), "title", "category", "start_page", F.least("end_page", "e").alias("end_page"), "hard_stops")
-    stop = F.array_min(F.filter("hard_stops", lambda p: (p > F.col("start_page")) & (p <= F.col("end_page"))))
-    leaves = placed.withColumn("end_page", F.least("end_page", F.coalesce(stop - 1, F.col("end_page")))).drop("hard_stops")
-    bounds = leaves.select("doc_id", "leaf", "start_page", "end_page", F.lit(None).cast("double").alias("body_top"), F.lit(None).cast("double").alias("body_bottom"))
-    paragraphs = assemble.assemble(spans, drawings, bounds).where("part = 'text'")
-    text = paragraphs.groupBy("doc_id", "leaf").agg(F.array_sort(F.collect_list(F.struct("ord", "kind", "text", F.col("verse").alias("lines")))).alias("p"))
-    notes = footnotes.merge_notes(footnotes.page_notes(lines))
-    mine = leaves.select("doc_id", "leaf", F.explode(F.sequence("start_page", "end_page")).alias("page")).join(notes, ["doc_id", "page"])
-    noted = mine.groupBy("doc_id", "leaf").agg(F.array_sort(F.collect_list(F.struct("page", "num", "end_page", "text"))).alias("n"))
-    empty = F.expr("cast(array() as array<struct<page:int,num:int,end_page:int,text:string>>)")
-    whole = leaves.join(text, ["doc_id", "leaf"]).join(noted, ["doc_id", "leaf"], "left").withColumn("n", F.coalesce("n", empty))
-    return whole.select("doc_id", "part", "section", "leaf", "title", render.leaf_markdown(F.col("title"), F.col("p"), F.col("n")).alias("markdown"))
+COMMANDS = {
+    "extract": (run_extract, ("spans", "drawings", "pages")),
+    "validate": (run_validate, ("extracted", "spans", "drawings", "pages")),
+    "index": (run_index, ("pages", "stories")),
+    "survey": (run_survey, ("spans", "drawings")),
+}
 
 
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="folioframe")
     sub = p.add_subparsers(dest="command", required=True)
-    for name, needs in (("extract", ("spans", "drawings", "pages")), ("validate", ("markdown",)), ("index", ("pages", "stories")), ("survey", ("spans", "drawings"))):
+    for name, (_, needs) in COMMANDS.items():
         c = sub.add_parser(name)
         for n in (*needs, "out"):
             c.add_argument(f"--{n}", required=True)
@@ -57,20 +102,14 @@ def main(argv: list[str] | None = None) -> None:
             c.add_argument("--part", type=int)
             c.add_argument("--section")
             c.add_argument("--last-page", type=int, default=10_000)
+        if name == "validate":
+            c.add_argument("--errata")
+            c.add_argument("--threshold", type=float, default=leaf_validation.validate.DEFAULT_THRESHOLD)
+            c.add_argument("--min-density", type=float, default=leaf_validation.validate.MIN_CHARS_PER_PAGE)
     a = p.parse_args(argv)
     if a.command == "extract" and a.section and a.part is None:
         p.error(SECTION_NEEDS_PART)
-    spark = ship(SparkSession.builder.appName("folioframe").getOrCreate())
-    read = spark.read.parquet
-    if a.command == "extract":
-        out = extract(source.read_spans(spark, a.spans), read(a.drawings), read(a.pages), a.last_page, a.part, parse_spec(a.section) if a.section else None)
-    elif a.command == "validate":
-        out = markdown.structure_flags(markdown.parse(source.read_markdown(spark, a.markdown)))
-    elif a.command == "index":
-        out = name_index.resolve(name_index.records(read(a.pages)), read(a.stories))
-    else:
-        out = survey.dialogue_breaks(layout.mark_verse(layout.lines(source.read_spans(spark, a.spans), read(a.drawings))))
-    out.write.mode("overwrite").parquet(a.out)
+    COMMANDS[a.command][0](ship(SparkSession.builder.appName("folioframe").getOrCreate()), a)
 
 
 if __name__ == "__main__":

@@ -18,15 +18,25 @@ def manifest(sections: DataFrame, leaves: DataFrame, kind: str) -> DataFrame:
 
 
 def paragraph_markdown(p: Column) -> Column:
-    """A paragraph struct (kind, text, lines) as Markdown; lines of verse end with two spaces inside a block quote."""
-    quoted = F.array_join(F.transform(p["lines"], lambda l: F.concat(F.lit("> "), l)), "  \n")
+    """A paragraph struct (kind, text, lines) as Markdown; verse is a block quote, a line each."""
+    quoted = F.array_join(F.transform(p["lines"], lambda l: F.concat(F.lit("> "), l)), "\n")
     return F.when(p["kind"] == "verse", quoted).otherwise(p["text"])
 
 
-def leaf_markdown(title: Column, paragraphs: Column, notes: Column) -> Column:
-    """Heading, paragraphs and footnotes of a leaf. ``notes``: array of struct(num, page, end_page, text)."""
+def leaf_markdown(title: Column, paragraphs: Column, notes: Column, category: Column | None = None, number: Column | None = None, variants: Column | None = None) -> Column:
+    """A leaf: category, numbered title, paragraphs, variants and footnotes, with a blank line between them.
+    ``notes``: array of struct(num, page, end_page, text). What is null or empty has no heading."""
     pages = lambda n: F.when(n["end_page"] > n["page"], F.concat(n["page"].cast("string"), F.lit("-"), n["end_page"].cast("string"))).otherwise(n["page"].cast("string"))
-    note = lambda n: F.rtrim(F.concat(F.lit("[^"), n["num"].cast("string"), F.lit("]: (p. "), pages(n), F.lit(") "), n["text"]))
-    body = F.array_join(F.transform(paragraphs, paragraph_markdown), "\n\n")
-    foot = F.when(F.size(notes) > 0, F.concat(F.lit("\n\n---\n\n"), F.array_join(F.transform(notes, note), "\n"))).otherwise(F.lit(""))
-    return F.concat(F.lit("# "), title, F.lit("\n\n"), body, foot, F.lit("\n"))
+    note = lambda n: F.rtrim(F.concat(F.lit("[^"), n["num"].cast("string"), F.lit("]: (Trang "), pages(n), F.lit(") "), n["text"]))
+    none = F.array().cast("array<string>")
+    given = lambda c, mark: F.when(F.coalesce(c, F.lit("")) != "", F.array(F.concat(F.lit(mark), c))).otherwise(none)
+    under = lambda blocks, heads: F.when(F.size(blocks) > 0, F.concat(F.array(*map(F.lit, heads)), blocks)).otherwise(none)
+    named = title if number is None else F.concat(F.coalesce(F.concat(number.cast("string"), F.lit(". ")), F.lit("")), title)
+    blocks = [
+        none if category is None else given(category, "# "),
+        given(named, "## "),
+        F.transform(paragraphs, paragraph_markdown),
+        none if variants is None else under(F.transform(variants, paragraph_markdown), ["### KHẢO DỊ"]),
+        under(F.transform(notes, note), ["---", "### Chú thích"]),
+    ]
+    return F.concat(F.array_join(F.concat(*blocks), "\n\n"), F.lit("\n"))

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_markdown(leaves: DataFrame, folder: str, by: tuple[str, ...] = ("part", "section")) -> None:
-    """One partition folder per part and section, a text file row per leaf, replaced on each run. Leaves are dealt by
-    their folder and number, so that a large section is written by many tasks."""
-    leaves.repartition(*by, F.col("leaf") % 64).select(*by, F.col("markdown").alias("value")).write.mode("overwrite").partitionBy(*by).option("lineSep", "\n\f\n").text(folder)
+def write_markdown(leaves: DataFrame, folder: str) -> None:
+    """One file per leaf, replaced on each run: the folder ``path=...`` holds it, with the Markdown as it is."""
+    leaves.select(F.col("path"), F.rtrim("markdown", F.lit("\n")).alias("value")).repartition("path").write.mode("overwrite").partitionBy("path").text(folder)
+
+
+def read_leaves(spark: SparkSession, folder: str) -> DataFrame:
+    """(path, text) of the files that ``write_markdown`` wrote."""
+    files = spark.read.text(folder, wholetext=True)
+    return files.select(F.col("path").cast("string").alias("path"), F.col("value").alias("text"))
 
 
 def write_json(manifests: DataFrame, folder: str, column: str = "json") -> None:

@@ -80,7 +80,7 @@ def test_leaf_markdown(spark):
     row = spark.sql("""select 'T' as title, array(named_struct('kind', 'text', 'text', 'A.', 'lines', cast(null as array<string>)), named_struct('kind', 'verse', 'text', cast(null as string), 'lines', array('x', 'y'))) as p,
       array(named_struct('num', 1, 'page', 2, 'end_page', 3, 'text', 'n'), named_struct('num', 2, 'page', 3, 'end_page', 3, 'text', '')) as notes""")
     got = row.select(render.leaf_markdown(F.col("title"), F.col("p"), F.col("notes")).alias("m")).head()["m"]
-    assert got == "# T\n\nA.\n\n> x  \n> y\n\n---\n\n[^1]: (p. 2-3) n\n[^2]: (p. 3)\n"
+    assert got == "## T\n\nA.\n\n> x\n> y\n\n---\n\n### Chú thích\n\n[^1]: (Trang 2-3) n\n\n[^2]: (Trang 3)\n"
 
 
 def test_orphans(spark):

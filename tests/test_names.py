@@ -1,7 +1,9 @@
+import json
+
 import pytest
 
 from folioframe import cli
-from folioframe.operators import name_index
+from folioframe.operators import markdown, name_index
 from folioframe.sources.layout import PAGES, placed
 
 INDEX = [
@@ -56,16 +58,60 @@ def test_odd_records():
         read([["số", "1", "I"]])
 
 
+ROMAN_TYPE, ITALIC = "Times-Roman", "Times-Italic"
+BOOK = [
+    # part 1: an introduction and two essays, of which the second begins in the middle of a page
+    (2, 99, 60, "PHẦN THỨ NHẤT"), (2, 99, 90, "NÓI VỀ BIỂN"), (2, 99, 160, "Biển rộng và sâu."), (2, 99, 300, "I. GIÓ"), (2, 99, 330, "1. GIÓ MÙA"), (2, 99, 400, "Gió đến vào tháng chín[^1]."),
+    (3, 99, 100, "Gió đi vào tháng ba."), (3, 99, 300, "2. GIÓ LỐC"), (3, 99, 400, "Lốc xoáy rất mạnh[^2]."), (3, 88, 705, "1 Ghi chú của bài trước.", 11.7), (3, 88, 720, "2 Ghi chú của bài sau.", 11.7),
+    # part 2: two stories in a section, the first with variants and verse
+    (5, 99, 100, "I. THUYỀN BÈ"), (5, 99, 150, "1. CON TÀU ĐỎ"), (5, 99, 300, "Thuở ấy có con tàu đỏ."), (5, 99, 330, "Nó chưa từng chìm."), (5, 99, 400, "KHẢO DỊ"), (5, 99, 430, "Nơi khác kể tàu xanh."),
+    (6, 99, 100, "2. NGƯỜI LÁI"), (6, 99, 300, "Người lái ấy đã già."),
+    # bibliography
+    (8, 99, 100, "THƯ MỤC THAM KHẢO"), (8, 99, 130, "I. SÁCH"), (8, 99, 160, "An. Sách biển."),
+]
+CONTENTS = "MỤC LỤC\nPHẦN THỨ NHẤT ........ 2\nNÓI VỀ BIỂN ........ 2\nI. GIÓ ........ 2\n1. Gió mùa ........ 2\n2. Gió lốc ........ 3\nPHẦN THỨ HAI ........ 5\nKHO ........ 5\nI. THUYỀN BÈ ........ 5\n1. Con tàu đỏ ........ 5\n2. Người lái ........ 6\n3. Mất ........ 6\nLỜI SAU SÁCH ........ 7\nTHƯ MỤC THAM KHẢO ........ 8\nBẢNG TRA ........ 9"
+
+
 def test_commands(spark, tmp_path):
-    toc = "MỤC LỤC\nPHẦN THỨ HAI ........ 2\nKHO ........ 2\nI. NGUỒN GỐC ........ 2\n1. Một ........ 2\n2. Hai ........ 4\nLỜI SAU SÁCH ........ 6"
-    spans, drawings = placed(spark, [(1, 2, 99, 100, "I. NGUỒN GỐC", "Times-Roman", 13.7), (1, 2, 99, 150, "1. MỘT", "Times-Roman", 13.7), (1, 2, 99, 300, "Xưa có người.", "Times-Roman", 13.7), (1, 4, 99, 100, "2. HAI", "Times-Roman", 13.7), (1, 4, 99, 300, "Hết.", "Times-Roman", 13.7)])
+    items = [(1, p, x, y, s, ROMAN_TYPE, rest[0] if rest else 13.7) for p, x, y, s, *rest in BOOK]
+    spans, drawings = placed(spark, items, [(1, 3, 690)])
     spans.write.parquet(f"{tmp_path}/spans")
     drawings.write.parquet(f"{tmp_path}/drawings")
-    spark.createDataFrame([(1, 1, toc)], PAGES).write.parquet(f"{tmp_path}/pages")
-    args = ["--spans", f"{tmp_path}/spans", "--drawings", f"{tmp_path}/drawings", "--out", f"{tmp_path}/out"]
-    cli.main(["extract", *args, "--pages", f"{tmp_path}/pages", "--part", "2", "--section", "1", "--last-page", "5"])
-    got = spark.read.parquet(f"{tmp_path}/out").orderBy("leaf").collect()
-    assert [(r["leaf"], r["markdown"]) for r in got] == [(1, "# MỘT\n\nXưa có người.\n"), (2, "# HAI\n\nHết.\n")]
-    cli.main(["survey", *args])
+    text = {p: "\n".join(s for q, _, _, s, *_ in BOOK if q == p) for p in range(2, 9)}
+    spark.createDataFrame([(1, 1, CONTENTS), *((1, p, x) for p, x in text.items())], PAGES).write.parquet(f"{tmp_path}/pages")
+    layout_args = ["--spans", f"{tmp_path}/spans", "--drawings", f"{tmp_path}/drawings"]
+    args = [*layout_args, "--out", f"{tmp_path}/out"]
+    cli.main(["extract", *args, "--pages", f"{tmp_path}/pages", "--last-page", "9"])
+    got = {r["title"]: r for r in spark.read.parquet(f"{tmp_path}/out/leaves").collect()}
+    assert {(r["part"], r["kind"], r["number"], r["title"], r["start_page"], r["end_page"]) for r in got.values()} == {
+        (1, "introduction", None, "NÓI VỀ BIỂN", 2, 2), (1, "essay", 1, "GIÓ MÙA", 2, 3), (1, "essay", 2, "GIÓ LỐC", 3, 4), (2, "story", 1, "CON TÀU ĐỎ", 5, 5), (2, "story", 2, "NGƯỜI LÁI", 6, 6),
+    }
+    red = got["CON TÀU ĐỎ"]
+    assert red["markdown"] == "# I. THUYỀN BÈ\n\n## 1. CON TÀU ĐỎ\n\nThuở ấy có con tàu đỏ.\n\nNó chưa từng chìm.\n\n### KHẢO DỊ\n\nNơi khác kể tàu xanh.\n"
+    assert red["path"] == "part_2/I_THUYEN_BE/001_CON_TAU_DO.md" and red["has_variants"]
+    # The page is shared: the note goes to the essay that has its marker.
+    assert "Ghi chú của bài sau." not in got["GIÓ MÙA"]["markdown"] and "[^2]: (Trang 3) Ghi chú của bài sau." in got["GIÓ LỐC"]["markdown"]
+    files = {r["path"]: r["text"] for r in cli.sinks.read_leaves(spark, f"{tmp_path}/out/markdown").collect()}
+    assert {r["path"]: r["markdown"] for r in got.values()} == files
+    flags = [tuple(r) for r in markdown.structure_flags(markdown.parse(cli.sinks.read_leaves(spark, f"{tmp_path}/out/markdown")).where("path like 'part_2%'")).collect()]
+    assert flags == []
+    found = {r["part"]: json.loads(r["json"]) for r in spark.read.parquet(f"{tmp_path}/out/manifest").collect()}
+    assert found[2]["total"] == 2 and found[2]["sections"][0]["leaves"][0]["has_khao_di"] and found[1]["total"] == 3
+    assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out/drift").collect()] == [(1, 2, 1, 3, 2, "MISSING_LEAVES")]
+    assert "I. SÁCH" in spark.read.parquet(f"{tmp_path}/out/bibliography").where("section = 1").head()["markdown"]
+    # One part anew: the manifest keeps the other's rows.
+    cli.main(["extract", *args, "--pages", f"{tmp_path}/pages", "--part", "2", "--section", "1", "--last-page", "9"])
+    assert spark.read.parquet(f"{tmp_path}/out/leaves").count() == 2 and spark.read.parquet(f"{tmp_path}/out/manifest").count() == 2
+    cli.main(["validate", "--extracted", f"{tmp_path}/out", *layout_args, "--pages", f"{tmp_path}/pages", "--out", f"{tmp_path}/checked", "--min-density", "5"])
+    results = {r["path"]: r for r in spark.read.parquet(f"{tmp_path}/checked/results").collect()}
+    assert {r["status"] for r in results.values()} == {"OK"} and all(r["rendered_coverage"] == 1.0 for r in results.values())
+    report = spark.read.text(f"{tmp_path}/checked/report", wholetext=True).head()["value"]
+    assert "- OK: 2" in report and "MISSING_LEAVES (2 of 3)" in report
+    cli.main(["survey", *args[:-1], f"{tmp_path}/survey"])
+    assert spark.read.parquet(f"{tmp_path}/survey/layout").count() > 0
+    spark.createDataFrame([(1, k, x) for k, x in enumerate(INDEX)], PAGES).write.parquet(f"{tmp_path}/index_pages")
+    spark.createDataFrame([(12, "AI MUA HÀNH TOI", [])], "story int, body string, notes array<string>").write.parquet(f"{tmp_path}/stories")
+    cli.main(["index", "--pages", f"{tmp_path}/index_pages", "--stories", f"{tmp_path}/stories", "--out", f"{tmp_path}/index"])
+    assert spark.read.parquet(f"{tmp_path}/index/resolved").where("tier = 2").count() == 1 and spark.read.parquet(f"{tmp_path}/index/unresolved").count() > 0
     with pytest.raises(SystemExit):
         cli.main(["extract", *args, "--pages", "p", "--section", "1"])
