@@ -279,8 +279,11 @@ def sample(documents: DataFrame, id_col: str, text_col: str, lang_col: str) -> p
     ids = usable.select("id", "lang", "h").distinct()
     languages = ids.select("lang").distinct().count()
     quota = min(PER_LANGUAGE, max(1, MOST_DOCUMENTS // max(1, languages)))
-    # The least hashes of each language; the limit works in each task before the shuffle.
-    few = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id", "h"))).where(F.col("n") <= quota).drop("n")
+    # The least hashes of each language. Of large ones only ids with a hash low enough for about four times as many are
+    # ranked, so that what meets in a task does not go with the input.
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    low = ids.join(sizes, "lang").where((F.col("size") <= 16 * quota) | (F.pmod(F.xxhash64("id"), F.lit(1 << 40)) * F.col("size") < 4.0 * quota * (1 << 40)))
+    few = low.select("id", "lang", "h").withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 40)), "id", "h"))).where(F.col("n") <= quota).drop("n")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
