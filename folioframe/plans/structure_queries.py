@@ -366,7 +366,13 @@ def root_manifest(spark, sf_dir):
     return table(spark, sf_dir, "region").join(m, "r_regionkey", "left").select("r_regionkey", "r_name", F.coalesce("n_sections", F.lit(0)).alias("n_sections"), F.coalesce("n_leaves", F.lit(0)).alias("n_leaves"))
 
 
-@query("section_manifest_json", None)
+@query(
+    "section_manifest_json",
+    """WITH leaf AS (SELECT c_nationkey AS section, c_custkey AS ord, c_name AS title, c_mktsegment AS category FROM customer),
+    kinds AS (SELECT section, category, min(ord) AS first_ord, list({'ord': ord, 'title': title, 'category': category} ORDER BY ord) AS stories FROM leaf GROUP BY 1, 2),
+    whole AS (SELECT section, CAST(sum(len(stories)) AS BIGINT) AS n, list({'category': category, 'stories': stories} ORDER BY first_ord) AS categories FROM kinds GROUP BY 1)
+    SELECT n_nationkey AS section, CAST(to_json({'name': n_name, 'total_stories': coalesce(n, 0), 'categories': coalesce(categories, [])}) AS VARCHAR) AS json FROM nation LEFT JOIN whole ON n_nationkey = section""",
+)
 def section_manifest_json(spark, sf_dir):
     from folioframe.operators.render import manifest
 

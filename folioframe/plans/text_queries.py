@@ -205,7 +205,7 @@ def strip_scaffolding(spark, sf_dir):
 
 @query(
     "render_json",
-    None,
+    """SELECT conv_id, CAST(to_json({'conv_id': conv_id, 'total_turns': count(*), 'turns': list({'turn': turn, 'role': role, 'text': text} ORDER BY turn)}) AS VARCHAR) AS json FROM conversations GROUP BY conv_id""",
 )
 def render_json(spark, sf_dir):
     """One nested JSON record per conversation; absent keys are left out."""
@@ -213,6 +213,13 @@ def render_json(spark, sf_dir):
     return c.select("conv_id", F.to_json(F.struct("conv_id", F.size("turns").alias("total_turns"), "turns")).alias("json"))
 
 
+@query("marker_counts", r"SELECT doc_id, len(regexp_extract_all(text, '[0-9]+')) AS n_numbers, len(regexp_extract_all(text, '\p{Lu}\p{Ll}+')) AS n_names FROM documents WHERE text IS NOT NULL")
+def marker_counts(spark, sf_dir):
+    """How often patterns are found in each text."""
+    d = table(spark, sf_dir, "documents").where("text is not null")
+    return d.select("doc_id", F.regexp_count("text", F.lit(r"[0-9]+")).cast("long").alias("n_numbers"), F.size(F.regexp_extract_all("text", F.lit(r"\p{Lu}\p{Ll}+"), F.lit(0))).cast("long").alias("n_names"))
+
+
 @query(
     "dialogue_breaks",
     f"""WITH last AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS n FROM conversations)

@@ -200,6 +200,16 @@ def name_tiers(spark, sf_dir):
     return seq.first_match_by_tier(n, "item_id", tiers).select("item_id", "doc_id", "tier")
 
 
+@query(
+    "name_folded",
+    f"WITH n AS ({FIRST_WORDS_SQL}), d AS (SELECT doc_id, strip_accents(replace(lower(text), 'đ', 'd')) AS text FROM documents) SELECT n.item_id, d.doc_id FROM n JOIN d ON n.name <> '' AND contains(d.text, strip_accents(replace(lower(n.name), 'đ', 'd')))",
+)
+def name_folded(spark, sf_dir):
+    """Documents that hold a printed name, without case and diacritics."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", t.folded(F.col("text")).alias("text"))
+    return names.exact(_names(spark, sf_dir).select("item_id", t.folded(F.col("name")).alias("name")), docs, "item_id", "name", "doc_id", "text", fold=False)
+
+
 @query("name_fuzzy", None)
 def name_fuzzy(spark, sf_dir):
     """The best window of words of each document for each name, where it is close enough."""

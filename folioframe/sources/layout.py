@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.functions import lit
 
 SPANS = (
     "doc_id long, page int, block_idx int, block_type int, block_x0 double, block_y0 double, line_idx int, "
@@ -30,12 +31,19 @@ def read_markdown(spark: SparkSession, folder: str, pattern: str = "*.md") -> Da
 
 
 def read_manifests(spark: SparkSession, folder: str, schema: str, name: str = "table_of_contents.json") -> DataFrame:
-    """Manifests of a tree with a status: OK, EMPTY or UNREADABLE. A missing file has no row: see ``missing``."""
-    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(folder, wholetext=True).selectExpr("_metadata.file_path as path", "value")
+    """Manifests of a tree with a status: OK, EMPTY or UNREADABLE. A missing file has no row: see ``with_missing``."""
+    # Read as bytes, since the text reader has no row for a file of no bytes.
+    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(folder).selectExpr("path", "decode(content, 'utf-8') as value")
     parsed = raw.selectExpr("path", "value", f"from_json(value, '{schema}') as manifest")
     return parsed.selectExpr("path", "manifest", "case when trim(value) = '' then 'EMPTY' when manifest is null or not (value rlike '^\\\\s*[{\\\\[]') then 'UNREADABLE' else 'OK' end as status")
 
 
+def with_missing(manifests: DataFrame, expected: DataFrame, key: str = "path") -> DataFrame:
+    """``manifests`` with a row of the status MISSING for each expected path that has none."""
+    lost = expected.select(key).distinct().join(manifests.select(key), key, "left_anti")
+    return manifests.unionByName(lost.withColumn("status", lit("MISSING")), allowMissingColumns=True)
+
+
 def placed(spark: SparkSession, items: Iterable[tuple], rules: Iterable[tuple] = ()) -> tuple[DataFrame, DataFrame]:
     """(spans, drawings) from items (doc_id, page, x, baseline y, text, font, size), each a block of its own, and rules
     (doc_id, page, y). The top of a line lies 0.9 of its size above the baseline."""
