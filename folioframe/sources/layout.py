@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.functions import lit
+from pyspark.sql.functions import col
 
 SPANS = (
     "doc_id long, page int, block_idx int, block_type int, block_x0 double, block_y0 double, line_idx int, "
@@ -32,16 +32,22 @@ def read_markdown(spark: SparkSession, folder: str, pattern: str = "*.md") -> Da
 
 def read_manifests(spark: SparkSession, folder: str, schema: str, name: str = "table_of_contents.json") -> DataFrame:
     """Manifests of a tree with a status: OK, EMPTY or UNREADABLE. A missing file has no row: see ``with_missing``."""
-    # Read as bytes, since the text reader has no row for a file of no bytes.
-    raw = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", name).load(folder).selectExpr("path", "decode(content, 'utf-8') as value")
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", name).text(folder, wholetext=True).selectExpr("_metadata.file_path as path", "value")
     parsed = raw.selectExpr("path", "value", f"from_json(value, '{schema}') as manifest")
     return parsed.selectExpr("path", "manifest", "case when trim(value) = '' then 'EMPTY' when manifest is null or not (value rlike '^\\\\s*[{\\\\[]') then 'UNREADABLE' else 'OK' end as status")
 
 
-def with_missing(manifests: DataFrame, expected: DataFrame, key: str = "path") -> DataFrame:
-    """``manifests`` with a row of the status MISSING for each expected path that has none."""
-    lost = expected.select(key).distinct().join(manifests.select(key), key, "left_anti")
-    return manifests.unionByName(lost.withColumn("status", lit("MISSING")), allowMissingColumns=True)
+def with_missing(spark: SparkSession, manifests: DataFrame, expected: list[str], key: str = "path") -> DataFrame:
+    """``manifests`` with a row for each expected path that has none: EMPTY if there is such a file, as readers have no row
+    for a file of no bytes, else MISSING. The expected paths are a list of some sections."""
+
+    def exists(path: str) -> bool:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+    found = {r[key] for r in manifests.where(col(key).isin(expected)).select(key).collect()}
+    lost = [(p, "EMPTY" if exists(p) else "MISSING") for p in dict.fromkeys(expected) if p not in found]
+    return manifests.unionByName(spark.createDataFrame(lost, f"{key} string, status string"), allowMissingColumns=True) if lost else manifests
 
 
 def placed(spark: SparkSession, items: Iterable[tuple], rules: Iterable[tuple] = ()) -> tuple[DataFrame, DataFrame]:

@@ -150,6 +150,6 @@ def test_missing_manifests(spark, tmp_path):
         (tmp_path / name).mkdir()
         (tmp_path / name / "table_of_contents.json").write_text(text)
     found = source.read_manifests(spark, str(tmp_path), "n int")
-    expected = spark.createDataFrame([(f"file:{tmp_path}/{n}/table_of_contents.json",) for n in "abcd"], "path string")
-    got = {r["path"].split("/")[-2]: (r["status"], r["manifest"] and r["manifest"]["n"]) for r in source.with_missing(found.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/")), expected).collect()}
+    expected = [f"file:{tmp_path}/{n}/table_of_contents.json" for n in "abcd"]
+    got = {r["path"].split("/")[-2]: (r["status"], r["manifest"] and r["manifest"]["n"]) for r in source.with_missing(spark, found.withColumn("path", F.regexp_replace("path", "^file:/+", "file:/")), expected).collect()}
     assert {k: v[0] for k, v in got.items()} == {"a": "OK", "b": "EMPTY", "c": "UNREADABLE", "d": "MISSING"} and got["a"][1] == 1
