@@ -310,13 +310,12 @@ def similar_components(
     open_ = scratch.save(named.withColumn("lo", F.min("c").over(group)).withColumn("hi", F.max("c").over(group)).where("lo < hi").select("token", "node", "meta", "c"))
     scratch.drop(met)
     scratch.release()
-    # How many shingles of a node before this one can be met at all: the others are its own alone, or meet one component.
-    before = F.row_number().over(Window.partitionBy("node").orderBy("meta")) - 1
-    ranked = scratch.save(open_.withColumn("r", before))
+    # Of a node's shingles before this one: how many can be met at all (the others are its own alone, or meet one
+    # component), and which, as a bitmap of a bit for each by hash.
+    ranked = scratch.save(with_marks(open_))
     scratch.drop(open_)
-    x = ranked.select("token", F.col("node").alias("a"), F.col("meta").alias("ma"), F.col("c").alias("ca"), F.col("r").alias("ra"))
-    y = ranked.select("token", F.col("node").alias("b"), F.col("meta").alias("mb"), F.col("c").alias("cb"), F.col("r").alias("rb"))
-    near = x.join(y, "token").where("ca < cb").where(_reachable(percent))
+    side = lambda n: ranked.select("token", F.col("node").alias(n), *[F.col(c).alias(f"{c}{n}") for c in ("meta", "c", "r", "low", "high")])
+    near = side("a").join(side("b"), "token").where("ca < cb").where(_reachable(percent)).withColumnsRenamed({"metaa": "ma", "metab": "mb"})
     done = tried.select(F.least("a", "b").alias("ta"), F.greatest("a", "b").alias("tb"))
     rest = _candidates(near, percent)
     rest = rest.join(done, (F.least("a", "b") == F.col("ta")) & (F.greatest("a", "b") == F.col("tb")), "left_anti")
@@ -334,12 +333,23 @@ def similar_components(
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def with_marks(rows: DataFrame) -> DataFrame:
+    """``rows`` (token, node, meta, c) with ``r``, the number of rows of the node before, and their bitmap ``low``, ``high``."""
+    order = Window.partitionBy("node").orderBy("meta")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    bit = F.expr("cast(pmod(xxhash64(token), 128) as int)")
+    marks = lambda half: F.coalesce(F.bit_or(F.when(F.floor(bit / 64) == half, F.expr("shiftleft(1L, cast(pmod(xxhash64(token), 64) as int))"))).over(before), F.lit(0).cast("long"))
+    return rows.withColumns({"r": F.row_number().over(order) - 1, "low": marks(0), "high": marks(1)})
+
+
 def _reachable(percent: int):
-    """At one shared shingle: lengths fit, and the shingles from it on, with those before it that can be met, reach the overlap."""
-    na, nb = F.shiftright("ma", 34), F.shiftright("mb", 34)
-    ia, ib = (F.shiftright(m, 8).bitwiseAND(F.lit((1 << 26) - 1)) for m in ("ma", "mb"))
-    most = F.least("ra", "rb") + F.least(na - ia, nb - ib)
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (most * (100 + percent) >= (na + nb) * percent)
+    """At one shared shingle of a and b: lengths fit, and the shingles from it on, with those before it that both can have,
+    reach the overlap. A bit that one has and the other lacks is a shingle, or more, that the other lacks."""
+    na, nb = F.shiftright("metaa", 34), F.shiftright("metab", 34)
+    ia, ib = (F.shiftright(m, 8).bitwiseAND(F.lit((1 << 26) - 1)) for m in ("metaa", "metab"))
+    lacking = lambda x, y: F.expr(f"bit_count(low{x} & ~low{y}) + bit_count(high{x} & ~high{y})")
+    both = F.least(F.col("ra") - lacking("a", "b"), F.col("rb") - lacking("b", "a"))
+    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & ((both + F.least(na - ia, nb - ib)) * (100 + percent) >= (na + nb) * percent)
 
 
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

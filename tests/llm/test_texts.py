@@ -363,6 +363,28 @@ def test_shared_passage_stays_out_of_prefixes(spark):
     assert all(x["component_id"] == x["doc_id"] for x in out)
 
 
+def test_bounds_on_residual_pairs(spark):
+    """Whatever the bitmaps rule out can't reach the overlap, and they rule out what shares too little before."""
+    import random
+
+    r = random.Random(12)
+    nodes = {k: (r.randint(40, 60), sorted(r.sample(range(60), r.randint(8, 20)))) for k in range(60)}
+    rows = [(t, k, (n << 34) | (i << 8) | 1, k) for k, (n, ts) in nodes.items() for i, t in enumerate(ts)]
+    ranked = ngram_join.with_marks(spark.createDataFrame(rows, "token long, node long, meta long, c long"))
+    side = lambda n: ranked.select("token", F.col("node").alias(n), *[F.col(c).alias(f"{c}{n}") for c in ("meta", "c", "r", "low", "high")])
+    pairs = side("a").join(side("b"), "token").where("ca < cb").withColumn("ok", ngram_join._reachable(80)).collect()
+    out = 0
+    for x in pairs:
+        (na, ta), (nb, tb) = nodes[x["a"]], nodes[x["b"]]
+        before = len({t for t in ta if t < x["token"]} & {t for t in tb if t < x["token"]})
+        most = before + min(na - ta.index(x["token"]), nb - tb.index(x["token"]))
+        possible = 100 * min(na, nb) >= 80 * max(na, nb) and most * 180 >= 80 * (na + nb)
+        assert x["ok"] or not possible
+        out += possible
+    kept = sum(x["ok"] for x in pairs)
+    assert out <= kept < out + 0.1 * len(pairs)
+
+
 def test_choice_of_l():
     assert ngram_join.choose_l(np.zeros(12), 4, 8) == 1  # nothing to compare: short prefixes
     assert ngram_join.choose_l(np.full(12, 50.0), 4, 8) == 8  # costly candidates: many shared shingles
