@@ -7,8 +7,8 @@ pairwise, and each gets the better pairs as proposals.
 
 Queries walk the graph together, a hop of all in each round of joins: a query's state is one row with its pool, the EF
 best nodes met. The best EXPAND nodes of the pool that were not yet expanded are joined with their edges, both ways,
-and what these lead to with the table of nodes; a query is done when all nodes of its pool have been expanded. It starts
-at its own node and at a few entry nodes, the same for all.
+and what these lead to with the table of nodes; a query is done when all nodes of its pool have been expanded, or after HOPS
+hops. It starts at its own node and at a few entry nodes, the same for all.
 
 Graph and walk use vectors rounded to 8 and 16 bits, each with a scale of its own; the best 3 * k + 8 of a query's pool are scored
 on the original vectors in double precision, and every score returned is of that kind. Nothing depends on how many
@@ -44,7 +44,7 @@ PROPOSALS = 6
 EF = 128
 EXPAND = 32
 ENTRIES = 32
-HOPS = 24
+HOPS = 8
 
 
 def packed(x: np.ndarray, kind: type = np.int8) -> list[bytes]:
@@ -76,6 +76,7 @@ def _codes(bits: int, seed: int):
             plane = np.random.default_rng(seed).normal(size=(x.shape[1], max(1, bits))).astype(np.float32)
             code = ((x @ plane) > 0) @ (1 << np.arange(max(1, bits))) if bits else np.zeros(len(x), np.int64)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(code.astype(np.int64))], names=["node", "x", "code"])
+        tk.release_memory()
 
     return run
 
@@ -210,6 +211,7 @@ def _hop(ef: int, entries: np.ndarray, entry_x: np.ndarray, first: bool):
                 out.append(advance(ids, scores, done, ef))
             kinds = (pa.int64(), pa.float32(), pa.bool_(), pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[_ragged([r[j] for r in out], t) for j, t in enumerate(kinds)]], names=["query_id", "q", "pool", "scores", "done", "frontier"])
+        tk.release_memory()
 
     return run
 
