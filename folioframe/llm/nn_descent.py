@@ -24,6 +24,7 @@ are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -45,6 +46,19 @@ EF = 128
 EXPAND = 32
 ENTRIES = 32
 HOPS = 8
+JOIN_ROWS, HOP_ROWS = 512, 64  # of an Arrow batch, whose rows hold the vectors of a neighbourhood or of all nodes reached
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Plans made inside send at most ``rows`` rows at once to Python, so that what a batch holds stays some MB."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def packed(x: np.ndarray, kind: type = np.int8) -> list[bytes]:
@@ -160,7 +174,8 @@ def build_graph(spark: SparkSession, nodes: DataFrame, scratch: Scratch, n: int,
         met = edges.union(back_edges(edges, r)).distinct().join(info, "v").groupBy("u").agg(F.collect_list(F.struct("v", "worst", "x")).alias("met"))
         better = met.select("met").mapInArrow(_local_join, "u long, v long, s float")
         old = graph.select("u", F.explode("edges").alias("e")).select("u", F.col("e.v").alias("v"), (-F.col("e.far")).alias("s"))
-        after = scratch.save(_best(old.union(better)))
+        with batches_of(spark, JOIN_ROWS):
+            after = scratch.save(_best(old.union(better)))
         scratch.drop(graph)
         scratch.release()
         graph = after
@@ -234,7 +249,8 @@ def walk(asked: DataFrame, nodes: DataFrame, graph: DataFrame, scratch: Scratch,
         reached = open_.select("query_id", F.explode("frontier").alias("node")).join(both, "node").select("query_id", F.explode("to").alias("v")).distinct()
         met = reached.join(nodes.select(F.col("node").alias("v"), F.col("fine").alias("x")), "v").groupBy("query_id").agg(F.collect_list(F.struct("v", "x")).alias("met"))
         rows = open_.join(met, "query_id", "left").select("query_id", "q", "pool", "scores", "done", "met")
-        state = scratch.save(rows.mapInArrow(_hop(ef, entries, entry_x, False), STATE))
+        with batches_of(scratch.spark, HOP_ROWS):
+            state = scratch.save(rows.mapInArrow(_hop(ef, entries, entry_x, False), STATE))
         scratch.release()
     return finished.unionByName(state)
 
