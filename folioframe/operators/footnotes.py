@@ -18,8 +18,13 @@ CANDIDATE = rf"(?:^|(?<=\s))([0-9]+)(?:[.\s]+(?=[{t.UPPER_RANGE}\"'“‘(\[0-9]
 
 def split_notes(text: Column) -> Column:
     """array<struct<num, text, continued>> of a page's foot; what stands before the first number is continued."""
+    # One-element arrays bind what is used often to a name, so that the patterns run once.
     clean = F.regexp_replace(t.clean_spaces(text), r"^11\.\s*", "1. ")
-    between, hits = F.split(clean, CANDIDATE, -1), F.regexp_extract_all(clean, F.lit(CANDIDATE), F.lit(0))
+    parts = lambda c: F.struct(c.alias("clean"), F.split(c, CANDIDATE, -1).alias("between"), F.regexp_extract_all(c, F.lit(CANDIDATE), F.lit(0)).alias("hits"))
+    return F.get(F.transform(F.transform(F.array(clean), parts), lambda p: _notes(p["clean"], p["between"], p["hits"])), F.lit(0))
+
+
+def _notes(clean: Column, between: Column, hits: Column) -> Column:
     digits = F.transform(hits, lambda h: F.regexp_extract(h, r"([0-9]+)", 1))
     opened = lambda s: F.length(F.regexp_replace(s, r"[^(]", "")) - F.length(F.regexp_replace(s, r"[^)]", ""))
 
