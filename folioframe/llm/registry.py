@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioframe.llm import language, licenses, mixing, mtree, ngram_join, nn_descent, packing, pii, suffix_dedup, toxicity
+from folioframe.llm import filter_audit, language, licenses, mixing, mtree, ngram_join, nn_descent, packing, pii, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,9 +15,11 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_mtree": mtree.op9_mtree,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op13_filter_audit": filter_audit.op13_filter_audit,
 }
 
 ORACLES = {
     "op8_mixing": mixing.OP8_SQL,
     "op9_mtree": mtree.OP9_SQL,
+    "op13_filter_audit": filter_audit.OP13_SQL,
 }
