@@ -26,6 +26,8 @@ from operator import mul
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioframe.scratch import Scratch
+
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -42,8 +44,12 @@ def text_flags(text: Column) -> dict[str, Column]:
 
 
 def later_copies(rows: DataFrame, *, id_col: str, hash_col: str) -> DataFrame:
-    """``rows`` with ``later_copy``: whether a row of the same hash has a smaller id."""
+    """``rows`` with ``later_copy``: whether a row of the same hash has a smaller id.
+
+    The first ids of the hashes with copies are written out, so that both sides of the join come from exchanges of
+    their own and Spark can split the side that holds many copies of one text."""
     first = rows.groupBy(hash_col).agg(F.min(id_col).alias("__first"), F.max(id_col).alias("__last")).where("__first < __last")
+    first = Scratch(rows.sparkSession, "copies").save(first)
     joined = rows.join(first.select(F.col(hash_col).alias("__hash"), "__first"), F.col(hash_col) == F.col("__hash"), "left")
     return joined.select(*rows.columns, F.coalesce(F.col(id_col) > F.col("__first"), F.lit(False)).alias("later_copy"))
 
