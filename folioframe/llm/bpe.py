@@ -31,10 +31,11 @@ from pyspark.sql import functions as F
 from folioframe.llm.textkernel import chunks, release_memory
 
 BLOCK = 1 << 19
-STATES = 1 << 14
+STATES = 1 << 16
 NARROW = 48
 OTHER, LETTER, NUMBER, BLANK = range(4)
 NEVER = 1 << 60
+START, FREE, NONE = -1, -2, -3  # before a place: the start of the match, a token that fits all that may grow, tokens not yet emitted
 _kept: dict[str, Transducer] = {}
 
 
@@ -117,21 +118,28 @@ class Transducer:
         self.classes = character_classes()
         self.child: dict[int, int] = {}
         self.ends: list[int] = [-1]  # the token that ends at a node of the trie
-        self.inner: list[bool] = [False]
+        self.below: list[list[int]] = [[]]
+        self.spelling: list[bytes] = [b""]
+        self.least: list[int] = [0]  # the lowest rank at or below a node
         for piece, rank in ranks.items():
             node = 0
-            for b in piece:
-                self.inner[node] = True
+            for k, b in enumerate(piece, 1):
                 key = node << 8 | b
                 if key not in self.child:
                     self.child[key] = len(self.ends)
+                    self.below[node].append(len(self.ends))
                     self.ends.append(-1)
-                    self.inner.append(False)
+                    self.below.append([])
+                    self.spelling.append(piece[:k])
+                    self.least.append(rank)
                 node = self.child[key]
+                self.least[node] = min(self.least[node], rank)
             self.ends[node] = rank
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._fits: dict[tuple[int, int], bool] = {}
+        self._grows: dict[tuple[int, int], bool] = {}
         self.resets = -1
+        self.column, self.width = np.full(256, -1, dtype=np.int64), 64  # tables have a column for each byte met
         self._forget()
 
     # -- merges
@@ -183,6 +191,57 @@ class Transducer:
             else:
                 right_until, right = right, self.halves(right)[0]
 
+    def grows(self, left: int, node: int) -> bool:
+        """Whether any token below ``node`` of the trie may stand after ``left``."""
+        key = (left, node)
+        if key not in self._grows:
+            if len(self._grows) > 1 << 20:
+                self._grows.clear()
+            found, below, any_fits = False, [node], left < 0 or self.free(left, node)
+            none_fits = not any_fits and self.barred(left, node)
+            while below and not found and not none_fits:
+                for to in self.below[below.pop()]:
+                    token = self.ends[to]
+                    if token >= 0 and self.halves(token) is not None and (any_fits or self.fits(left, token)):
+                        found = True
+                        break
+                    below.append(to)
+            self._grows[key] = found
+        return self._grows[key]
+
+    def free(self, left: int, node: int) -> bool:
+        """Whether ``left`` is known to stay as it is before every token below ``node``: no token that reaches across the
+        border from one of its last pieces has a rank below that of the merge that takes the piece in."""
+        if node == 0:
+            return False
+        until, piece = NEVER, left
+        while True:
+            at, inside = 0, len(self.token[piece])
+            for k, b in enumerate(self.token[piece] + self.spelling[node]):
+                at = self.child.get(at << 8 | b)
+                if at is None or k >= inside and 0 <= self.ends[at] < until:
+                    break
+            if at is not None and self.least[at] < until:
+                return False
+            if len(self.token[piece]) == 1:
+                return True
+            until, piece = piece, self.halves(piece)[1]
+
+    def barred(self, left: int, node: int) -> bool:
+        """Whether no token below ``node`` is known to stay after ``left``: the first byte joins one of its last pieces by
+        a lower rank than any merge to the right of that byte can have."""
+        if node == 0:
+            return False
+        right = self.spelling[node]
+        soonest = min([NEVER, *[self.least[to] for to in self.below[node]], *[self.ranks.get(right[:k], NEVER) for k in range(2, len(right) + 1)]])
+        until, piece = NEVER, left
+        while True:
+            if self.ranks.get(self.token[piece] + right[:1], NEVER) < min(until, soonest):
+                return True
+            if len(self.token[piece]) == 1:
+                return False
+            until, piece = piece, self.halves(piece)[1]
+
     # -- states
 
     def _forget(self) -> None:
@@ -200,10 +259,10 @@ class Transducer:
         self.resets += 1
         self.meaning = []
         self.number: dict[tuple, int] = {}
-        self.next = np.full((256, 256), -1, dtype=np.int32)
-        self.out = np.zeros((256, 256), dtype=np.int32)
+        self.next = np.full((256, self.width), -1, dtype=np.int32)
+        self.out = np.zeros((256, self.width), dtype=np.int32)
         self.final = np.zeros(256, dtype=np.int32)
-        self._state((-1, ((0, ()),)))
+        self._state(((0, START, ()),))
         new = np.array([self._state(m) for m in kept], dtype=np.int64)
         self.room = max(self.limit, 2 * len(self.meaning))
         return new[place]
@@ -217,7 +276,7 @@ class Transducer:
         return k
 
     def _state(self, meaning: tuple) -> int:
-        """The number of a state: (last emitted token, open places as (node, tokens since the shared point))."""
+        """The number of a state: its open places as (node, what stands before, tokens since the shared point)."""
         if (s := self.number.get(meaning)) is not None:
             return s
         s = self.number[meaning] = len(self.meaning)
@@ -225,38 +284,54 @@ class Transducer:
         if s == len(self.next):
             grow = lambda a, fill: np.concatenate([a, np.full_like(a, fill)])
             self.next, self.out, self.final = grow(self.next, -1), grow(self.out, 0), grow(self.final, 0)
-        before, places = meaning
-        node, since = places[0]
-        whole = self.ends[node] if before < 0 and not since else -1
+        node, before, _ = meaning[0]
+        whole = self.ends[node] if before == START else -1
         # A match that is a token as a whole is that token, though merging may not give it.
-        self.final[s] = self._emission((whole,) if whole >= 0 else places[-1][1])
+        self.final[s] = self._emission((whole,) if whole >= 0 else meaning[-1][2])
         return s
 
+    def _columns(self, raw: np.ndarray) -> None:
+        """Gives each byte of ``raw`` a column."""
+        met = np.flatnonzero(np.bincount(raw, minlength=256))
+        new = met[self.column[met] < 0]
+        self.column[new] = np.arange(len(new)) + int((self.column >= 0).sum())
+        while self.column.max() >= self.width:
+            wider = lambda a, fill: np.concatenate([a, np.full_like(a, fill)], axis=1)
+            self.next, self.out, self.width = wider(self.next, -1), wider(self.out, 0), 2 * self.width
+
     def step(self, state: int, byte: int) -> int:
         """Makes the transition from ``state`` by ``byte``; gives the next state."""
-        before, places = self.meaning[state]
         grown, here = [], None
-        for node, since in places:  # the oldest place has the longest token
+        for node, before, since in self.meaning[state]:  # the oldest place has the longest token
             to = self.child.get(node << 8 | byte)
             if to is None:
                 continue
             token = self.ends[to]
-            if here is None and token >= 0 and self.halves(token) is not None:
-                last = since[-1] if since else before
-                if last < 0 or self.fits(last, token):
-                    here = (*since, token)
-            alone = before < 0 and not since and token >= 0 and self.halves(token) is None
-            if self.inner[to] or alone:
-                grown.append((to, since))
-        grown.append((0, here))
+            last = since[-1] if since else before
+            if here is None and token >= 0 and self.halves(token) is not None and (last < 0 or self.fits(last, token)):
+                here = (*since, token)
+            if before == START:  # the whole match so far may be a token that merging does not give
+                open_ = bool(self.below[to]) or token >= 0 and self.halves(token) is None
+            else:
+                open_ = self.grows(last, to)
+            if open_:
+                grown.append((to, before, since))
+        grown.append((0, NONE, here))
         shared = 0
-        shortest = min(len(since) for _, since in grown)
-        while shared < shortest and all(since[shared] == here[shared] for _, since in grown):
+        shortest = min(len(since) for _, _, since in grown)
+        while shared < shortest and all(since[shared] == here[shared] for _, _, since in grown):
             shared += 1
         done = here[:shared]
-        reached = self._state((done[-1] if done else before, tuple((node, since[shared:]) for node, since in grown)))
-        self.next[state, byte] = reached
-        self.out[state, byte] = self._emission(done)
+        places = []
+        for node, before, since in grown:
+            rest = since[shared:]
+            if not rest and before != START:
+                last = done[-1] if done else before
+                before = FREE if last == FREE or self.free(last, node) else last
+            places.append((node, before, rest))
+        reached = self._state(tuple(places))
+        self.next[state, self.column[byte]] = reached
+        self.out[state, self.column[byte]] = self._emission(done)
         return reached
 
     # -- runs over text
@@ -265,6 +340,7 @@ class Transducer:
         """(ids, byte offset at which each was emitted) of the matches [start, end), in order of the text."""
         if len(self.emit_at) > 8 * self.limit:
             self._forget()
+        self._columns(raw)
         at = np.zeros((len(raw), 2), dtype=np.int32)  # what is emitted with a byte, and at the end of a match
         order = np.argsort(starts - ends, kind="stable")  # the longest first
         begin, size = starts[order], (ends - starts)[order]
@@ -274,13 +350,14 @@ class Transducer:
             if len(self.meaning) > self.room:
                 state[:active] = self._renewed(state[:active])
             place = begin[:active] + column
-            byte, now = raw[place].astype(np.int64), state[:active]
-            to = self.next[now, byte]
+            byte, now = raw[place], state[:active]
+            cell = self.column[byte]
+            to = self.next[now, cell]
             if (new := np.flatnonzero(to < 0)).size:
                 for key in np.unique(now[new] << 8 | byte[new]):
                     self.step(int(key) >> 8, int(key) & 255)
-                to = self.next[now, byte]
-            out = self.out[now, byte]
+                to = self.next[now, cell]
+            out = self.out[now, cell]
             state[:active] = to
             told = np.flatnonzero(out)
             at[place[told], 0] = out[told]
@@ -292,12 +369,12 @@ class Transducer:
         for k in range(active):  # the few longest, one by one
             s, a = int(state[k]), int(begin[k])
             for p, b in enumerate(raw[a + column : a + int(size[k])].tolist(), a + column):
-                if (to := int(self.next[s, b])) < 0:
+                if (to := int(self.next[s, self.column[b]])) < 0:
                     if len(self.meaning) > self.room:
                         fresh = self._renewed(np.append(state[k:active], s))
                         state[k:active], s = fresh[:-1], int(fresh[-1])
                     to = self.step(s, b)
-                if out := self.out[s, b]:
+                if out := self.out[s, self.column[b]]:
                     at[p, 0] = out
                 s = to
             at[a + int(size[k]) - 1, 1] = self.final[s]
