@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from folioframe.llm import bpe, filter_audit, language, licenses, mixing, mtree, ngram_join, nn_descent, packing, pii, suffix_dedup, toxicity
+from folioframe.llm import bpe, filter_audit, language, lexical, licenses, mixing, mtree, ngram_join, nn_descent, packing, pii, suffix_dedup, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_mixing": mixing.op8_mixing,
     "op9_mtree": mtree.op9_mtree,
     "op10_suffix_dedup": suffix_dedup.op10_suffix_dedup,
+    "op11_lexical": lexical.op11_lexical,
     "op12_bpe": bpe.op12_bpe,
     "op13_filter_audit": filter_audit.op13_filter_audit,
 }
@@ -22,5 +23,6 @@ QUERIES = {
 ORACLES = {
     "op8_mixing": mixing.OP8_SQL,
     "op9_mtree": mtree.OP9_SQL,
+    "op11_lexical": lexical.OP11_SQL,
     "op13_filter_audit": filter_audit.OP13_SQL,
 }

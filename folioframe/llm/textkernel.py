@@ -65,9 +65,10 @@ def chunks(column: pa.Array, limit: int = 1 << 19):
         first = last
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word (maximal run without white space) and the first word of each text."""
-    solid = ~SPACE[raw]
+def words(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray = ~SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word (maximal run of bytes that are ``inside``, as a rule no white space) and the first word
+    of each text."""
+    solid = inside[raw]
     if not len(raw):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
     before = np.empty(len(raw), dtype=bool)
