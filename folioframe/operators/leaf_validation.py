@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -15,6 +14,7 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 
 from folioframe.functions import text as t
 from folioframe.operators import markdown, validate
+from folioframe.operators.alignment import matching_blocks
 from folioframe.operators.assemble import repair
 
 SCORES = StructType(
@@ -47,12 +47,8 @@ def without_markers(text: str | None) -> tuple[str, list[tuple[int, int]]]:
     return out, [(min(max(p - lead, 0), len(out)), n) for p, n in places]
 
 
-def _blocks(source: str, text: str):
-    return SequenceMatcher(None, source, text, autojunk=False).get_matching_blocks()
-
-
 def _share(source: str, text: str) -> tuple[int, int]:
-    return (min(len(text), sum(b.size for b in _blocks(source, text))) if source and text else 0), len(text)
+    return (min(len(text), sum(k for _, _, k in matching_blocks(source, text))) if source and text else 0), len(text)
 
 
 def score(body: str | None, notes: list, pages: list, first: int, last: int) -> tuple[float, float, list[tuple[int | None, int]]]:
@@ -70,8 +66,8 @@ def score(body: str | None, notes: list, pages: list, first: int, last: int) ->
     own, places = without_markers(body)
     if not source:
         return 0.0, 0.0, [(None, n) for _, n in places]
-    blocks = _blocks(source, own) if own else []
-    parts = [(min(len(own), sum(b.size for b in blocks)), len(own))]
+    blocks = matching_blocks(source, own)
+    parts = [(min(len(own), sum(k for _, _, k in blocks)), len(own))]
     for page, end, text in notes:
         known = page is not None and first <= page and (end or page) <= last
         window = " ".join(x for p, x in texts if page <= p <= (end or page)) if known else source
@@ -83,7 +79,7 @@ def score(body: str | None, notes: list, pages: list, first: int, last: int) ->
     found = []
     for place, n in places:
         # A marker lies on the page of the character before it, or of the last matched one before that.
-        at = next((b.a + min(max(place - 1, 0) - b.b, b.size - 1) for b in reversed(blocks) if b.size and b.b <= max(place - 1, 0)), 0)
+        at = next((i + min(max(place - 1, 0) - j, k - 1) for i, j, k in reversed(blocks) if j <= max(place - 1, 0)), 0)
         found.append((starts[max(0, bisect_right(offsets, at) - 1)][1], n))
     return (min(1.0, sum(m for m, _ in parts) / total) if total else 0.0), raw / len(source), found
 

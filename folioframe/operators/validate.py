@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from difflib import SequenceMatcher
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
 
+from folioframe.operators.alignment import matching_blocks
+
 DEFAULT_THRESHOLD = 0.9
 MIN_CHARS_PER_PAGE = 800
 
@@ -44,22 +44,10 @@ def report_counts(leaves: DataFrame, keys: list[str]) -> DataFrame:
     return leaves.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.count_if(s == "OK").alias("n_ok"), F.count_if(s == "ERRATUM").alias("n_erratum"), F.count_if(s == "REVIEW").alias("n_review"))
 
 
-def _matched(a: str, b: str) -> int:
-    return sum(m.size for m in SequenceMatcher(None, a, b, autojunk=False).get_matching_blocks())
-
-
 def _coverage(source: str | None, rendered: str | None) -> float:
-    """Share of the source's words in matching blocks. Equal beginnings and ends are matched first: the costly part is
-    what lies between."""
+    """Share of the source's words in matching blocks."""
     a, b = (source or "").split(), (rendered or "").split()
-    if not a:
-        return 1.0
-    n = min(len(a), len(b))
-    head = next((k for k in range(n) if a[k] != b[k]), n)
-    tail = next((k for k in range(n - head) if a[-1 - k] != b[-1 - k]), n - head)
-    a_mid, b_mid = a[head : len(a) - tail], b[head : len(b) - tail]
-    inner = _matched(a_mid, b_mid) if a_mid and b_mid else 0  # words, so each element is one
-    return min(1.0, (head + tail + inner) / len(a))
+    return sum(k for _, _, k in matching_blocks(a, b)) / len(a) if a else 1.0
 
 
 @pandas_udf(DoubleType())
