@@ -1,7 +1,7 @@
 """Printed names and their mentions: exact, folded and fuzzy tiers.
 
-The list of names is a parameter of bounded size (an index of a book): it is checked, collected and sought in one pass
-over the texts, which are never joined with each other.
+A short list of names (an index of a book) goes to all tasks as one automaton, behind a check of its size; longer ones,
+and names that need only be similar, meet the texts in joins on grams (``name_grams``).
 """
 
 from __future__ import annotations
@@ -15,21 +15,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_NAMES = 200_000
+from folioframe.operators import name_grams
+
+AUTOMATON_NAMES = 100_000
 FUZZY_THRESHOLD = 0.9
 WORDS_AT_ONCE = 1 << 16
 
 
-def _listed(names: DataFrame, key: str, name: str) -> list[tuple]:
-    rows = names.select(key, name).where(F.col(name).isNotNull() & (F.col(name) != "")).limit(MAX_NAMES + 1).collect()
-    if len(rows) > MAX_NAMES:
-        raise ValueError(f"more than {MAX_NAMES} names: split the list")
-    return [(r[0], r[1]) for r in rows]
+def _short_list(names: DataFrame, key: str, name: str, most: int) -> list[tuple] | None:
+    """The names, or None if there are more than ``most``."""
+    rows = names.select(key, name).where(F.col(name).isNotNull() & (F.col(name) != "")).limit(most + 1).collect()
+    return None if len(rows) > most else [(r[0], r[1]) for r in rows]
 
 
-def exact(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str, text: str, fold: bool = True) -> DataFrame:
-    """(key, text_key) of each text that holds a name, in any case if ``fold``: one automaton over all names."""
-    listed = _listed(names, key, name)
+def exact(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str, text: str, fold: bool = True, most: int = AUTOMATON_NAMES) -> DataFrame:
+    """(key, text_key) of each text that holds a name, in any case if ``fold``: one automaton over up to ``most`` names,
+    joins for more."""
+    listed = _short_list(names, key, name, most)
+    if listed is None:
+        return name_grams.containing(names, texts, key, name, text_key, text, fold)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[str, list] = {}
@@ -107,18 +111,4 @@ def most_similar(name: str, words: list[str], threshold: float = FUZZY_THRESHOLD
 
 def fuzzy(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str, text: str, threshold: float = FUZZY_THRESHOLD) -> DataFrame:
     """(key, text_key, ratio, window) where a run of words is similar enough to a name."""
-    listed = _listed(names, key, name)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for t, s in zip(b[text_key], b[text], strict=True):
-                words = (s or "").lower().split()
-                likely = likely_windows([n.lower() for _, n in listed], words, threshold)
-                for (k, n), windows in zip(listed, likely, strict=True):
-                    if windows and (hit := most_similar(n.lower(), words, threshold, windows)):
-                        out.append((k, t, round(hit[0], 6), hit[1]))
-            yield pd.DataFrame(out, columns=[key, text_key, "ratio", "window"])
-
-    kinds = {c: d.schema[c].dataType.simpleString() for c, d in ((key, names), (text_key, texts))}
-    return texts.select(text_key, text).mapInPandas(run, f"{key} {kinds[key]}, {text_key} {kinds[text_key]}, ratio double, window string")
+    return name_grams.similar(names, texts, key, name, text_key, text, threshold)
