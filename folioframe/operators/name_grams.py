@@ -26,7 +26,8 @@ from folioframe.scratch import Scratch
 
 COUNTER_BITS, LISTED_BITS = 16, 22
 AT_ONCE = 1 << 20
-TOGETHER = 3
+TOGETHER = 4
+BLOCK = 4096
 MASK_BITS = 62
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -76,7 +77,34 @@ def listing(name: str, threshold: float, rarity: np.ndarray) -> tuple[int, np.nd
         together = 1
         own = order[: len(codes) - need + 1]
         _, first, times = np.unique(codes[own], return_index=True, return_counts=True)
-    return q, codes[own][first], own[first], math.ceil(together / int(times.max())), longest
+    # So many different grams at least make up ``together`` places, were the commonest ones among them.
+    different = int(np.searchsorted(np.cumsum(np.sort(times)[::-1]), together)) + 1
+    return q, codes[own][first], own[first], different, longest
+
+
+def promising(name: str, pieces: list[str], threshold: float) -> np.ndarray:
+    """Which pieces have, within the longest run that could be similar, places enough with a gram of the name."""
+    chars = points(name)
+    la = len(chars)
+    longest = math.floor(la * (2 - threshold) / threshold + 1e-9)
+    lb = np.arange(max(1, math.ceil(la * threshold / (2 - threshold) - 1e-9)), longest + 1)
+    width = max(map(len, pieces), default=0)
+    text = np.zeros((len(pieces), width), dtype=np.uint64)
+    for row, piece in zip(text, pieces, strict=True):
+        row[: len(piece)] = points(piece)
+    good = np.ones(len(pieces), dtype=bool)
+    for q in (3, 2):
+        need = kept_grams(la, lb, q, threshold) if la >= q else 0
+        if need < 1 or width < q:
+            continue
+        n, reach = width - q + 1, longest - q + 1
+        codes = np.zeros((len(pieces), n), dtype=np.uint64)
+        for k in range(q):
+            codes = codes << np.uint64(21) | text[:, k : k + n]
+        upto = np.zeros((len(pieces), n + reach), dtype=np.int32)
+        upto[:, reach:] = np.cumsum(np.isin(codes, grams(chars, q)), axis=1)
+        good &= (upto[:, reach:] - upto[:, :n]).max(axis=1) >= need
+    return good
 
 
 def _rarity(texts: DataFrame) -> np.ndarray:
@@ -140,6 +168,18 @@ def _places(texts: DataFrame, listed: DataFrame) -> DataFrame:
     return texts.select("text_id", "s").mapInPandas(run, "gram long, text_id long, pos long")
 
 
+def _blocks(texts: DataFrame, width: int, more: int) -> DataFrame:
+    """(text_id, block, s, end) of each text in blocks of ``width`` characters and ``more`` of the next; ``end`` is the
+    length of the text. Short blocks spare what cuts pieces out of them a walk through a long text."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [(i, k, s[k * width : (k + 1) * width + more], len(s)) for i, s in zip(b["text_id"], b["s"], strict=True) for k in range(-(-len(s) // width))]
+            yield pd.DataFrame(out, columns=["text_id", "block", "s", "end"])
+
+    return texts.select("text_id", "s").mapInPandas(run, "text_id long, block long, s string, end long")
+
+
 def _scored(threshold: float):
     """Scores the runs of words that begin in a slot of a text."""
 
@@ -170,7 +210,7 @@ def _scored(threshold: float):
             out = []
             for name, rows in b.groupby("name", sort=False):
                 scorer, known = SequenceMatcher(None, "", name, autojunk=False), {}
-                for r in rows.itertuples():
+                for r in rows[promising(name, rows["piece"].tolist(), threshold)].itertuples():
                     if hit := best(name, r.piece, r.first, r.low, r.low + r.span, r.end, scorer, known):
                         out.append((r.name_id, r.text_id, hit[0], hit[1], hit[2], hit[3], hit[4], round(hit[0], 6)))
             yield pd.DataFrame(out, columns=["name_id", "text_id", "ratio", "same", "size", "at", "run", "shown"])
@@ -198,12 +238,13 @@ def similar(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: s
     met = met.withColumn("slot", F.explode(F.array(F.col("own") - 1, F.col("own")))).where("slot >= 0")
     enough = met.groupBy("name_id", "text_id", "slot", "span", "require").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")).where("bit_count(bits) >= require")
     found = scratch.save(enough.select("name_id", "text_id", "slot", "span"))
+    longest = found.agg(F.coalesce(F.max("span"), F.lit(0))).head()[0]
+    width = max(BLOCK, 8 * longest)
     low = F.col("slot") * F.col("span")
-    pieces = (
-        found.join(t, "text_id")
-        .withColumns({"low": low, "first": F.greatest(low - 1, F.lit(0)), "end": F.length("s")})
-        .select("name_id", "text_id", "text_key", "low", "span", "first", "end", F.expr("substring(s, cast(first + 1 AS int), cast(2 * span + 2 AS int))").alias("piece"))
-    )
+    first = F.greatest(low - 1, F.lit(0))
+    wanted = found.withColumns({"low": low, "first": first, "block": F.floor(first / width)})
+    cut = F.expr(f"substring(s, cast(first - block * {width} + 1 AS int), cast(2 * span + 2 AS int))")
+    pieces = wanted.join(_blocks(t, width, 2 * longest + 2), ["text_id", "block"]).select("name_id", "text_id", "low", "span", "first", "end", cut.alias("piece"))
     asked = pieces.join(n.select("name_id", "name"), "name_id")
     hits = asked.select("name", "name_id", "text_id", "low", "span", "first", "end", "piece").mapInPandas(_scored(threshold), "name_id long, text_id long, ratio double, same boolean, size int, at long, run string, shown double")
     best = hits.groupBy("name_id", "text_id").agg(F.max(F.struct("ratio", "same", "size", "at", "run", "shown")).alias("b"))
