@@ -85,6 +85,13 @@ def normalize_encoding(c: Column) -> Column:
     return c
 
 
+def repaired(s: str) -> str:
+    """``normalize_encoding`` for one string, where a Python pass needs it."""
+    for old, new in LEGACY_CHARACTERS:
+        s = s.replace(old, new)
+    return s
+
+
 def normalize_encoding_sql(x: str) -> str:
     for old, new in LEGACY_CHARACTERS:
         x = f"replace({x}, {quote(old)}, {quote(new)})"

@@ -1,148 +1,100 @@
-"""Leaves from lines: paragraphs, turns of dialogue and verse, in order.
+"""Leaves from lines: paragraphs, turns of dialogue and verse, in order, as windows over the blocks of a leaf.
 
-The rules carry state from line to line and over page breaks (an open dash, an unfinished turn, a paragraph to be
-continued), which no window expresses, so each leaf is one grouped pass over its own lines. A leaf is some pages of one
-document; the groups are small and many.
+A block is a run of prose or of verse lines of one layout block. What joins blocks is decided by looking at neighbours:
+
+* A *spoken* block leads with a dash, holds one after a colon or full stop, or is a numbered point. It *runs on* into the
+  next block if its last turn is a bare dash, or unfinished at the foot of a page, unless the next one leads with a dash.
+* What a spoken block runs on into is spoken as well; so the blocks after it, up to the first that does not run on, form
+  a chain, and what its first block is holds for all of it.
+* Other prose goes on in the next block that is not spoken as long as its sentence is not finished.
+
+Blocks that are joined are one text, which is then split into turns and narrative. A bare dash at the end of one belongs
+to the verse that follows, or is the dash of the next turn. Verses without text between them are one verse.
+
+Defined results: headings on the first page of a leaf and marks of continuation are left out, scene dividers only part
+what stands around them; blank lines are ignored; a leaf without lines has no paragraphs. A numbered point stays a point
+also where an unfinished narrative runs on into it over a page break.
 """
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass, field
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folioframe.functions import text as t
+from folioframe.operators import sequence as seq
 from folioframe.operators.layout import Layout, lines, mark_verse
 
-PARAGRAPHS = "doc_id long, leaf int, part string, ord int, kind string, text string, verse array<string>"
 NOTE_HEADING = "KHẢO DỊ"  # fixed value: the heading of the notes on variants
-_SPACES = [(re.compile(p.replace(r"\p{L}\p{N}_", r"\w")), r.replace("$", "\\")) for p, r in t.SPACING]
-_END, _NUMBERED = re.compile(t.SENTENCE_END), re.compile(r"\d+\.\s+")
-_TURN, _NARRATIVE = re.compile(t.DIALOGUE_START), re.compile(t.DIALOGUE_END)
-_DIVIDER, _CONTINUED = re.compile(r"[*\s-]+"), re.compile(r"\(\s*tiếp\s+theo\s*\)\.?", re.IGNORECASE)
-_ROMAN, _NUMBER = re.compile(r"[IVXLCDM]+\s*[.-]?\s*(.+)"), re.compile(r"\[?\d+\]?\.\s+(.+)")
-
-
-def repair(s: str) -> str:
-    """``normalize_encoding`` for one string."""
-    for old, new in t.LEGACY_CHARACTERS:
-        s = s.replace(old, new)
-    return s
-
-
-def clean(s: str) -> str:
-    """``clean_spaces`` for one string."""
-    s = repair(s)
-    for pattern, new in _SPACES:
-        s = pattern.sub(new, s)
-    return re.sub(r"^-\s*(\S)", r"- \1", s).strip()
-
-
-def turns(s: str) -> list[str]:
-    """``split_dialogues`` for one string."""
-    out = []
-    for line in _TURN.sub("\\1\n- ", clean(s)).split("\n"):
-        line = clean(line)
-        out += [x for x in map(clean, _NARRATIVE.sub("\\1\n\\2", line).split("\n")) if x] if line.startswith("-") else [line] * bool(line)
-    return out
-
-
-def complete(s: str) -> bool:
-    return bool(_END.search(s.strip()))
-
-
-def _heading(s: str) -> bool:
-    for pattern in (_ROMAN, _NUMBER):
-        if m := pattern.fullmatch(s.strip()):
-            letters = [c for c in m[1] if c.isalpha()]
-            if letters and all(c.isupper() for c in letters):
-                return True
-    return False
-
-
-@dataclass
-class Leaf:
-    """What a leaf holds so far, and what is still open."""
-
-    parts: dict[str, list] = field(default_factory=lambda: {"text": [], "variants": []})
-    part: str = "text"
-    prose: list[str] = field(default_factory=list)
-    turn: str | None = None
-
-    def out(self) -> list:
-        return self.parts[self.part]
-
-    def close(self) -> None:
-        """Ends the open paragraph, then the open turn."""
-        self.end_prose()
-        if self.turn is not None:
-            self.out().append(self.turn)
-            self.turn = None
-
-    def end_prose(self) -> None:
-        if self.prose:
-            self.out().extend(turns(" ".join(self.prose)))
-            self.prose = []
-
-    def verse(self, rows: list[str]) -> None:
-        self.end_prose()
-        if self.turn == "-":
-            rows, self.turn = ["- " + rows[0], *rows[1:]], None
-        self.close()
-        if self.out() and isinstance(self.out()[-1], list):
-            self.out()[-1].extend(rows)
-        else:
-            self.out().append(list(rows))
-
-    def block(self, text: str, first_page: bool, page_ends: bool) -> None:
-        if (first_page and _heading(text)) or _CONTINUED.fullmatch(text.strip()):
-            return
-        if text.strip().upper() == NOTE_HEADING:
-            self.close()
-            self.part = "variants"
-            return
-        if _DIVIDER.fullmatch(text.strip()):
-            self.close()
-            return
-        if self.turn is not None:
-            if not text.startswith("-"):
-                text = f"{self.turn} {text}"
-            elif self.turn != "-":
-                self.out().append(self.turn)
-            self.turn = None
-        if text.startswith("-") or ": -" in text or ". -" in text or _NUMBERED.match(text):
-            self.end_prose()
-            said = turns(text)
-            if said and (said[-1] == "-" or (page_ends and not complete(said[-1]))):
-                self.turn = said.pop()
-            self.out().extend(said)
-        else:
-            if self.prose and complete(self.prose[-1]):
-                self.end_prose()
-            self.prose.append(text)
-
-
-def assemble_rows(rows: pd.DataFrame) -> list[tuple[str, int, str, str | None, list[str] | None]]:
-    """(part, ord, kind, text, lines) of one leaf from its body lines in order."""
-    leaf = Leaf()
-    start = rows["page"].min() if len(rows) else 0
-    for page, on_page in rows.groupby("page", sort=True):
-        runs: list[tuple[bool, int, list[str]]] = []
-        for r in on_page.sort_values("ord").itertuples():
-            if runs and runs[-1][0] == r.is_verse and runs[-1][1] == r.block_idx:
-                runs[-1][2].append(r.text)
-            else:
-                runs.append((r.is_verse, r.block_idx, [r.text]))
-        for k, (is_verse, _, texts) in enumerate(runs):
-            if is_verse:
-                leaf.verse(texts)
-            else:
-                leaf.block(" ".join(texts), page == start, k == len(runs) - 1)
-    leaf.close()
-    return [(part, n, "verse" if isinstance(p, list) else "text", None if isinstance(p, list) else p, p if isinstance(p, list) else None) for part, ps in leaf.parts.items() for n, p in enumerate(ps)]
+LEAF, ORDER = ["doc_id", "leaf"], ["page", "run"]
+
+
+def _spoken(text: Column) -> Column:
+    return F.startswith(text, F.lit("-")) | F.contains(text, F.lit(": -")) | F.contains(text, F.lit(". -")) | text.rlike(r"^[0-9]+\.\s+")
+
+
+def blocks(body: DataFrame) -> DataFrame:
+    """(doc_id, leaf, page, run, kind, text, rows): the blocks of each leaf but those that are left out; kind is prose,
+    verse, divider or variants (the heading of the notes on variants). ``body``: doc_id, leaf, page, ord, block_idx, text,
+    is_verse."""
+    runs = seq.change_islands(body, [*LEAF, "page"], ["ord"], F.struct("is_verse", "block_idx"), "run")
+    g = runs.groupBy(*LEAF, "page", "run").agg(F.first("is_verse").alias("is_verse"), F.array_sort(F.collect_list(F.struct("ord", "text"))).alias("l"))
+    g = g.select("*", F.transform("l", lambda x: x.text).alias("rows")).withColumn("text", F.array_join("rows", " "))
+    g = g.withColumn("page_ends", F.col("run") == F.max("run").over(Window.partitionBy(*LEAF, "page")))
+    first = F.col("page") == F.min("page").over(Window.partitionBy(*LEAF))
+    text = F.col("text")
+    heading = first & (t.clean_category_title(text).isNotNull() | t.clean_story_title(text).isNotNull())
+    kind = (
+        F.when(F.col("is_verse"), "verse")
+        .when(heading | t.is_continuation_marker(text), "left out")
+        .when(F.upper(t.strip(text)) == NOTE_HEADING, "variants")
+        .when(t.is_scene_divider(t.strip(text)), "divider")
+        .otherwise("prose")
+    )
+    return g.withColumn("kind", kind).where("kind <> 'left out'").drop("l", "is_verse")
+
+
+def joined(marked: DataFrame) -> DataFrame:
+    """``blocks`` with ``utterance``, which numbers what belongs together, and ``dash``: whether a bare dash at the end
+    belongs to the block after it."""
+    at = seq.ordered(LEAF, ORDER)
+    prose = F.col("kind") == "prose"
+    b = marked.withColumn("last", F.when(prose, F.element_at(t.split_dialogues(F.col("text")), -1)))
+    b = b.withColumns({"spoken": prose & _spoken(F.col("text")), "led": prose & F.startswith("text", F.lit("-")), "finished": t.ends_sentence(F.col("text"))})
+    b = b.withColumn("runs_on", prose & ((F.col("last") == "-") | (F.col("page_ends") & ~t.ends_sentence(F.col("last")))))
+    b = b.withColumn("met", prose & F.coalesce(F.lag("runs_on").over(at), F.lit(False)) & ~F.col("led"))
+    b = seq.islands(b, LEAF, ORDER, ~F.col("met") | F.col("spoken"), "chain")
+    chain = seq.ordered([*LEAF, "chain"], ORDER)
+    begins = F.row_number().over(chain) == 1
+    b = b.withColumn("voice", F.when(begins, F.col("spoken")).otherwise(F.first("spoken").over(chain) & _spoken(F.first("last").over(chain))))
+    before = lambda c: F.lag(c).over(at)
+    goes_on = F.when(before("voice"), F.col("met")).otherwise(prose & (before("kind") == "prose") & ~before("finished") & ~F.col("spoken"))
+    b = seq.islands(b, LEAF, ORDER, ~F.coalesce(goes_on, F.lit(False)), "utterance")
+    return b.withColumn("dash", F.col("voice") & (F.col("last") == "-") & F.coalesce(F.lead(F.col("led") | (F.col("kind") == "verse")).over(at), F.lit(False)))
+
+
+def paragraphs(body: DataFrame) -> DataFrame:
+    """(doc_id, leaf, part, ord, kind, text, verse) of each leaf's lines."""
+    at = seq.ordered(LEAF, ORDER)
+    # One shuffle: all windows and groups below are by leaf.
+    b = joined(blocks(body.repartition(*LEAF)))
+    b = b.withColumn("part", F.when(F.max(F.col("kind") == "variants").over(seq.running(LEAF, ORDER)), "variants").otherwise("text"))
+    opened = F.coalesce(F.lag("dash").over(at), F.lit(False))
+    b = b.withColumn("rows", F.when(opened & (F.col("kind") == "verse"), F.concat(F.array(F.concat(F.lit("- "), F.get("rows", F.lit(0)))), F.expr("slice(rows, 2, size(rows))"))).otherwise(F.col("rows")))
+    place = F.struct(*ORDER)
+    u = b.where("kind in ('prose', 'verse')").groupBy(*LEAF, "part", "utterance", "kind").agg(
+        F.min(place).alias("place"), F.array_sort(F.collect_list(F.struct(*ORDER, "text"))).alias("texts"), F.max_by("dash", place).alias("dash"), F.first("rows").alias("rows")
+    )
+    said = t.split_dialogues(F.array_join(F.transform("texts", lambda x: x.text), " "))
+    said = F.when(F.col("dash"), F.filter(said, lambda x, k: (x != "-") | (k < F.size(said) - 1))).otherwise(said)
+    prose = u.where("kind = 'prose'").select(*LEAF, "part", "place", F.posexplode(said).alias("pos", "text")).withColumns({"kind": F.lit("text"), "rows": F.lit(None).cast("array<string>")})
+    verse = u.where("kind = 'verse'").select(*LEAF, "part", "place", F.lit(0).alias("pos"), F.lit(None).cast("string").alias("text"), F.lit("verse").alias("kind"), "rows")
+    order = ["place", "pos"]
+    p = seq.change_islands(prose.select(verse.columns).unionByName(verse), [*LEAF, "part"], order, F.when(F.col("kind") == "text", F.struct(*order)), "own")
+    p = p.groupBy(*LEAF, "part", "own").agg(F.first("kind").alias("kind"), F.first("text").alias("text"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct(*order, "rows"))), lambda x: x.rows)).alias("verse"))
+    number = (F.row_number().over(Window.partitionBy(*LEAF, "part").orderBy("own")) - 1).cast("int")
+    return p.select(*LEAF, "part", number.alias("ord"), "kind", "text", F.when(F.col("kind") == "verse", F.col("verse")).alias("verse"))
 
 
 def assemble(spans: DataFrame, drawings: DataFrame, leaves: DataFrame, layout: Layout = Layout()) -> DataFrame:
@@ -153,9 +105,4 @@ def assemble(spans: DataFrame, drawings: DataFrame, leaves: DataFrame, layout: L
     above = (F.col("page") == F.col("start_page")) & (F.col("line_y0") < F.col("body_top"))
     below = (F.col("page") == F.col("end_page")) & (F.col("line_y0") >= F.col("body_bottom"))
     mine = mine.where(~F.coalesce(above, F.lit(False)) & ~F.coalesce(below, F.lit(False)))
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        out = [(int(key[0]), int(key[1]), *x) for x in assemble_rows(rows)]
-        return pd.DataFrame(out, columns=["doc_id", "leaf", "part", "ord", "kind", "text", "verse"])
-
-    return mine.select("doc_id", "leaf", "page", "ord", "block_idx", "text", "is_verse").groupBy("doc_id", "leaf").applyInPandas(run, PARAGRAPHS)
+    return paragraphs(mine.select("doc_id", "leaf", "page", "ord", "block_idx", "text", "is_verse"))

@@ -15,7 +15,6 @@ from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, S
 from folioframe.functions import text as t
 from folioframe.operators import markdown, validate
 from folioframe.operators.alignment import matching_blocks
-from folioframe.operators.assemble import repair
 
 SCORES = StructType(
     [
@@ -28,7 +27,7 @@ SCORES = StructType(
 
 def comparable(text: str | None) -> str:
     """Repaired, composed, single spaces; case and diacritics stay."""
-    return re.sub(r"\s+", " ", unicodedata.normalize("NFC", repair(text or ""))).strip()
+    return re.sub(r"\s+", " ", unicodedata.normalize("NFC", t.repaired(text or ""))).strip()
 
 
 def without_markers(text: str | None) -> tuple[str, list[tuple[int, int]]]:
