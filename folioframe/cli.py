@@ -5,8 +5,9 @@
     python -m folioframe.cli index    --pages P --stories S --out O
     python -m folioframe.cli survey   --spans S --drawings D --out O
 
-``extract`` writes leaves (Parquet), markdown (a file per leaf), manifest and bibliography; a part that is extracted anew
-replaces its own rows of an older manifest. ``validate`` checks the files that ``extract`` wrote against the pages and
+``extract`` writes leaves (Parquet) and below ``markdown`` a tree of files: document, part, section, a file per leaf, the
+bibliography, and a manifest in each folder; a run over one part replaces that part's files and keeps the others in the
+document's manifest. ``validate`` checks the files that ``extract`` wrote against the pages and
 writes results and report. ``index`` writes records, resolved targets, aliases and what is left open, as Parquet, and the
 records as JSON. ``survey`` writes the catalogue: layout by page, fonts, recurring notes and breaks of dialogue.
 """
@@ -22,7 +23,7 @@ from folioframe.operators import extract, footnotes, layout, leaf_validation, na
 from folioframe.operators.select import parse_spec
 from folioframe.session import ship
 from folioframe.sources import layout as source
-from folioframe.sources import sinks
+from folioframe.sources import sinks, tree
 
 SECTION_NEEDS_PART = "--section needs --part: sections are numbered anew in every part"
 ERRATA = "path string, flag string, reason string"
@@ -41,15 +42,14 @@ def run_extract(spark: SparkSession, a: argparse.Namespace) -> None:
     spans, drawings, pages = source.read_spans(spark, a.spans), spark.read.parquet(a.drawings), spark.read.parquet(a.pages)
     _save(extract.extract(spans, drawings, pages, a.last_page, a.part, parse_spec(a.section) if a.section else None), f"{a.out}/leaves")
     leaves = spark.read.parquet(f"{a.out}/leaves")
-    sinks.write_markdown(leaves, f"{a.out}/markdown")
-    fresh = extract.manifest(leaves)
-    if _there(spark, f"{a.out}/manifest"):
-        known = spark.createDataFrame(spark.read.parquet(f"{a.out}/manifest").collect(), fresh.schema)  # one row per document and part
-        fresh = fresh.unionByName(known.join(fresh.select("doc_id", "part"), ["doc_id", "part"], "left_anti"))
-    _save(fresh, f"{a.out}/manifest")
+    folder = f"{a.out}/markdown"
+    files = leaves.select("path", F.col("markdown").alias("text")).unionByName(extract.section_manifests(leaves))
     if a.part is None:
-        _save(extract.bibliography_files(spans, drawings, pages, a.last_page), f"{a.out}/bibliography")
+        files = files.unionByName(extract.bibliography_files(spans, drawings, pages, a.last_page))
         _save(extract.drift(pages, leaves), f"{a.out}/drift")
+    tree.write_tree(files, folder)
+    found = sinks.within_tree(source.read_markdown(spark, folder, extract.MANIFEST))
+    tree.write_tree(extract.root_manifests(found), folder)
 
 
 def run_validate(spark: SparkSession, a: argparse.Namespace) -> None:

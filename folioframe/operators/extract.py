@@ -61,10 +61,13 @@ def chosen(leaves: DataFrame, part: int | None, sections: list[int] | None) -> D
 
 
 def leaf_path() -> Column:
-    """part_N/roman_category/NNN_title.md, in letters and digits alone."""
+    """document_D/part_N/roman_category/NNN_title.md, in letters and digits alone. Leaves of one section, number and title
+    (which a document should not have) are told apart by their place."""
     number = F.when(F.col("number").isNotNull(), F.concat(F.lpad(F.col("number").cast("string"), 3, "0"), F.lit("_"))).otherwise(F.lit(""))
-    folder = F.concat_ws("/", F.concat(F.lit("part_"), F.col("part").cast("string")), F.when(F.col("section").isNotNull(), F.concat_ws("_", "roman", t.slug(F.regexp_replace("category", r"^[IVX]+\. ", "")))))
-    return F.concat(folder, F.lit("/"), number, t.slug(F.col("title")), F.lit(".md"))
+    folder = F.concat_ws("/", F.concat(F.lit("document_"), F.col("doc_id").cast("string")), F.concat(F.lit("part_"), F.col("part").cast("string")), F.when(F.col("section").isNotNull(), F.concat_ws("_", "roman", t.slug(F.regexp_replace("category", r"^[IVX]+\. ", "")))))
+    name = F.concat(folder, F.lit("/"), number, t.slug(F.col("title")))
+    again = F.row_number().over(Window.partitionBy("doc_id", name).orderBy("leaf"))
+    return F.concat(name, F.when(again > 1, F.concat(F.lit("_"), again.cast("string"))).otherwise(F.lit("")), F.lit(".md"))
 
 
 def extract(spans: DataFrame, drawings: DataFrame, pages: DataFrame, last_page: int, part: int | None = None, sections: list[int] | None = None) -> DataFrame:
@@ -85,12 +88,34 @@ def extract(spans: DataFrame, drawings: DataFrame, pages: DataFrame, last_page:
     return whole.select(*LEAF, "leaf", leaf_path().alias("path"), (F.size("v") > 0).alias("has_variants"), F.size("n").alias("n_notes"), text.alias("markdown"))
 
 
-def manifest(leaves: DataFrame) -> DataFrame:
-    """(doc_id, part, json): the leaves of each part by section, in order."""
+MANIFEST = "table_of_contents.json"
+LISTED = "array<struct<leaf:int,number:int,title:string,kind:string,path:string,pages:array<int>,has_khao_di:boolean,footnotes_count:int>>"
+SECTION = f"struct<doc_id:bigint,part:int,section:int,roman:string,title:string,total:int,leaves:{LISTED}>"
+
+
+def section_manifests(leaves: DataFrame) -> DataFrame:
+    """(path, text): a manifest in the folder of each section, and of each part for its leaves of no section."""
     one = F.struct("leaf", "number", "title", "kind", "path", F.array("start_page", "end_page").alias("pages"), F.col("has_variants").alias("has_khao_di"), F.col("n_notes").alias("footnotes_count"))
-    by_section = leaves.groupBy("doc_id", "part", "section", "roman", "category").agg(F.array_sort(F.collect_list(one)).alias("leaves"))
-    section = F.struct("section", "roman", F.col("category").alias("title"), F.size("leaves").alias("total"), "leaves")
-    return by_section.groupBy("doc_id", "part").agg(F.sum(F.size("leaves")).alias("n"), F.array_sort(F.collect_list(section)).alias("s")).select("doc_id", "part", F.to_json(F.struct("part", F.col("n").alias("total"), F.col("s").alias("sections"))).alias("json"))
+    folder = F.regexp_replace("path", r"/[^/]*$", "")
+    by_folder = leaves.groupBy("doc_id", "part", "section", "roman", F.col("category").alias("title"), folder.alias("folder")).agg(F.array_sort(F.collect_list(one)).alias("leaves"))
+    # A folder that sections share (one without a name) has one file: a line for each.
+    line = F.to_json(F.struct("doc_id", "part", "section", "roman", "title", F.size("leaves").alias("total"), "leaves"))
+    lines = by_folder.select("folder", F.struct("section", line.alias("json")).alias("x")).groupBy("folder").agg(F.array_sort(F.collect_list("x")).alias("x"))
+    return lines.select(F.concat("folder", F.lit(f"/{MANIFEST}")).alias("path"), F.concat(F.array_join(F.transform("x", lambda x: x.json), "\n"), F.lit("\n")).alias("text"))
+
+
+def root_manifests(found: DataFrame) -> DataFrame:
+    """(path, text): a manifest of each document from those of its sections (path, text), in order of part and section.
+    ``found`` holds all that are in the tree, so that a run over some sections keeps the others."""
+    of = found.where(F.col("path").rlike(rf"/part_[^/]+/(?:[^/]+/)?{MANIFEST}$"))
+    lines = of.select(F.explode(F.split("text", "\n")).alias("line")).where("trim(line) <> ''")
+    s = lines.select(F.from_json("line", SECTION).alias("s")).where("s.doc_id is not null").select("s.*")
+    section = F.struct("section", "roman", "title", "total", "leaves")
+    parts = s.groupBy("doc_id", "part").agg(F.sum("total").alias("total"), F.array_sort(F.collect_list(section)).alias("sections"))
+    whole = parts.groupBy("doc_id").agg(F.sum("total").alias("total"), F.array_sort(F.collect_list(F.struct("part", "total", "sections"))).alias("parts"))
+    bib = found.where(F.col("path").rlike(rf"/bibliography/{MANIFEST}$")).select(F.regexp_extract("path", r"^document_([^/]+)/", 1).cast("long").alias("doc_id"), F.from_json("text", BIBLIOGRAPHY).alias("bibliography"))
+    j = whole.join(bib, "doc_id", "left")
+    return j.select(F.concat(F.lit("document_"), F.col("doc_id").cast("string"), F.lit(f"/{MANIFEST}")).alias("path"), F.concat(F.to_json(F.struct("doc_id", "total", "parts", "bibliography")), F.lit("\n")).alias("text"))
 
 
 def jobs(leaves: DataFrame) -> DataFrame:
@@ -110,9 +135,18 @@ def drift(pages: DataFrame, leaves: DataFrame) -> DataFrame:
     return both.withColumn("flag", flag).where("flag is not null")
 
 
+BIBLIOGRAPHY = "struct<start_page:int,end_page:int,sections:array<struct<section:int,markdown_file:string,entry_count:int>>>"
+
+
 def bibliography_files(spans: DataFrame, drawings: DataFrame, pages: DataFrame, last_page: int) -> DataFrame:
-    """(doc_id, section, path, markdown) of the bibliography, one file per section."""
+    """(path, text) of the bibliography: a file per section, and a manifest of them."""
     bounds = bibliography.heading_range(toc.entries(pages), last_page)
     lines = layout.lines(spans, drawings).where("band = 'body'").join(bounds, "doc_id").where(F.col("page").between(F.col("start_page"), F.col("end_page")))
-    out = bibliography.render(bibliography.bibliography(lines))
-    return out.select("doc_id", "section", F.format_string("bibliography/%02d.md", "section").alias("path"), "markdown")
+    entries = bibliography.bibliography(lines)
+    folder = F.concat(F.lit("document_"), F.col("doc_id").cast("string"), F.lit("/bibliography/"))
+    name = F.format_string("%02d.md", "section")
+    files = bibliography.render(entries).select(F.concat(folder, name).alias("path"), F.col("markdown").alias("text"))
+    one = F.struct(F.col("section").cast("int").alias("section"), name.alias("markdown_file"), F.col("n").cast("int").alias("entry_count"))
+    counted = entries.groupBy("doc_id", "section").agg(F.count(F.lit(1)).alias("n")).groupBy("doc_id").agg(F.array_sort(F.collect_list(one)).alias("sections")).join(bounds, "doc_id")
+    manifest = counted.select(F.concat(folder, F.lit(MANIFEST)).alias("path"), F.concat(F.to_json(F.struct("start_page", "end_page", "sections")), F.lit("\n")).alias("text"))
+    return files.unionByName(manifest)

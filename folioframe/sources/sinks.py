@@ -1,26 +1,23 @@
-"""Writers of rendered leaves, manifests and reports."""
+"""Rendered leaves read back from a tree of files, and JSON results (the tree itself: ``tree``)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def write_markdown(leaves: DataFrame, folder: str) -> None:
-    """One file per leaf, replaced on each run: the folder ``path=...`` holds it, with the Markdown as it is."""
-    leaves.select(F.col("path"), F.rtrim("markdown", F.lit("\n")).alias("value")).repartition("path").write.mode("overwrite").partitionBy("path").text(folder)
+from folioframe.sources.layout import read_markdown
 
 
 def read_leaves(spark: SparkSession, folder: str) -> DataFrame:
-    """(path, text) of the files that ``write_markdown`` wrote."""
-    files = spark.read.text(folder, wholetext=True)
-    return files.select(F.col("path").cast("string").alias("path"), F.col("value").alias("text"))
+    """(path, text) of the leaves of a tree; a path begins at the folder of its document."""
+    return within_tree(read_markdown(spark, folder)).where(F.col("path").rlike("^document_[^/]+/part_"))
+
+
+def within_tree(files: DataFrame) -> DataFrame:
+    """``files`` with paths as they are in the tree, whatever folder that lies in; '' for what is no document's."""
+    return files.withColumn("path", F.regexp_extract("path", r"^.*/(document_[^/]+/.*)$", 1))
 
 
 def write_json(manifests: DataFrame, folder: str, column: str = "json") -> None:
     manifests.select(F.col(column).alias("value")).write.mode("overwrite").text(folder)
 
-
-def merged_manifest(known: DataFrame, fresh: DataFrame, key: str) -> DataFrame:
-    """What a partial run writes: fresh rows, and the known rows of all that it did not touch."""
-    return fresh.unionByName(known.join(fresh.select(key), key, "left_anti"))

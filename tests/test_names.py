@@ -88,20 +88,23 @@ def test_commands(spark, tmp_path):
     }
     red = got["CON TÀU ĐỎ"]
     assert red["markdown"] == "# I. THUYỀN BÈ\n\n## 1. CON TÀU ĐỎ\n\nThuở ấy có con tàu đỏ.\n\nNó chưa từng chìm.\n\n### KHẢO DỊ\n\nNơi khác kể tàu xanh.\n"
-    assert red["path"] == "part_2/I_THUYEN_BE/001_CON_TAU_DO.md" and red["has_variants"]
+    assert red["path"] == "document_1/part_2/I_THUYEN_BE/001_CON_TAU_DO.md" and red["has_variants"]
     # The page is shared: the note goes to the essay that has its marker.
     assert "Ghi chú của bài sau." not in got["GIÓ MÙA"]["markdown"] and "[^2]: (Trang 3) Ghi chú của bài sau." in got["GIÓ LỐC"]["markdown"]
     files = {r["path"]: r["text"] for r in cli.sinks.read_leaves(spark, f"{tmp_path}/out/markdown").collect()}
     assert {r["path"]: r["markdown"] for r in got.values()} == files
-    flags = [tuple(r) for r in markdown.structure_flags(markdown.parse(cli.sinks.read_leaves(spark, f"{tmp_path}/out/markdown")).where("path like 'part_2%'")).collect()]
+    flags = [tuple(r) for r in markdown.structure_flags(markdown.parse(cli.sinks.read_leaves(spark, f"{tmp_path}/out/markdown")).where("path like 'document_1/part_2%'")).collect()]
     assert flags == []
-    found = {r["part"]: json.loads(r["json"]) for r in spark.read.parquet(f"{tmp_path}/out/manifest").collect()}
+    tree = tmp_path / "out/markdown/document_1"
+    root = json.loads((tree / "table_of_contents.json").read_text())
+    found = {p["part"]: p for p in root["parts"]}
     assert found[2]["total"] == 2 and found[2]["sections"][0]["leaves"][0]["has_khao_di"] and found[1]["total"] == 3
     assert [tuple(r) for r in spark.read.parquet(f"{tmp_path}/out/drift").collect()] == [(1, 2, 1, 3, 2, "MISSING_LEAVES")]
-    assert "I. SÁCH" in spark.read.parquet(f"{tmp_path}/out/bibliography").where("section = 1").head()["markdown"]
-    # One part anew: the manifest keeps the other's rows.
+    assert "I. SÁCH" in (tree / "bibliography/01.md").read_text() and root["bibliography"]["sections"] == [{"section": 1, "markdown_file": "01.md", "entry_count": 1}]
+    assert json.loads((tree / "part_2/I_THUYEN_BE/table_of_contents.json").read_text())["total"] == 2 and (tree / "part_1/NOI_VE_BIEN.md").exists()
+    # One part anew: the document's manifest keeps the other's rows.
     cli.main(["extract", *args, "--pages", f"{tmp_path}/pages", "--part", "2", "--section", "1", "--last-page", "9"])
-    assert spark.read.parquet(f"{tmp_path}/out/leaves").count() == 2 and spark.read.parquet(f"{tmp_path}/out/manifest").count() == 2
+    assert spark.read.parquet(f"{tmp_path}/out/leaves").count() == 2 and json.loads((tree / "table_of_contents.json").read_text()) == root
     cli.main(["validate", "--extracted", f"{tmp_path}/out", *layout_args, "--pages", f"{tmp_path}/pages", "--out", f"{tmp_path}/checked", "--min-density", "5"])
     results = {r["path"]: r for r in spark.read.parquet(f"{tmp_path}/checked/results").collect()}
     assert {r["status"] for r in results.values()} == {"OK"} and all(r["rendered_coverage"] == 1.0 for r in results.values())
