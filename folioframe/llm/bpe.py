@@ -32,6 +32,7 @@ from folioframe.llm.textkernel import chunks, release_memory
 
 BLOCK = 1 << 19
 STATES = 1 << 16
+MEMO = 1 << 18
 NARROW = 48
 OTHER, LETTER, NUMBER, BLANK = range(4)
 NEVER = 1 << 60
@@ -136,8 +137,8 @@ class Transducer:
                 self.least[node] = min(self.least[node], rank)
             self.ends[node] = rank
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._grows: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
+        self._grows: dict[int, bool] = {}
         self.resets = -1
         self.column, self.width = np.full(256, -1, dtype=np.int64), 64  # tables have a column for each byte met
         self._forget()
@@ -170,9 +171,9 @@ class Transducer:
         happened if its rank is below those of the merges that took in the pieces beside it; of equal ranks the leftmost
         goes first.
         """
-        key = (left, right)
+        key = left << 32 | right
         if key not in self._fits:
-            if len(self._fits) > 1 << 20:
+            if len(self._fits) > MEMO:
                 self._fits.clear()
             self._fits[key] = self._stays(left, right)
         return self._fits[key]
@@ -193,9 +194,9 @@ class Transducer:
 
     def grows(self, left: int, node: int) -> bool:
         """Whether any token below ``node`` of the trie may stand after ``left``."""
-        key = (left, node)
+        key = left << 32 | node
         if key not in self._grows:
-            if len(self._grows) > 1 << 20:
+            if len(self._grows) > MEMO:
                 self._grows.clear()
             found, below, any_fits = False, [node], left < 0 or self.free(left, node)
             none_fits = not any_fits and self.barred(left, node)
