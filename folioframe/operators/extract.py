@@ -42,16 +42,18 @@ def essay_leaves(lines: DataFrame, sections: DataFrame) -> DataFrame:
 
 
 def own_notes(lines: DataFrame, leaves: DataFrame, key: str = "leaf") -> DataFrame:
-    """(doc_id, leaf, page, num, end_page, text) of the notes of each leaf's pages, but those whose marker is only in the
-    lines of a page outside the leaf's bounds. A note that no marker names stays."""
-    notes = footnotes.merge_notes(footnotes.page_notes(lines)).select("doc_id", "page", "num", "end_page", "text")
+    """(doc_id, leaf, page, num, end_page, text, parts) of the notes of each leaf's pages, but those whose marker is only
+    in the lines of a page outside the leaf's bounds. A note that no marker names stays, and so does what goes on from a
+    note before the leaf."""
+    of = leaves.select("doc_id", F.col(key).alias("leaf"), "start_page", "end_page")
+    notes = footnotes.merge_notes(footnotes.page_notes(lines), of).select("doc_id", F.col("leaf").alias(key), "page", "num", "end_page", "text", "parts")
     pages = leaves.select("doc_id", key, "start_page", "end_page", "body_top", "body_bottom", F.explode(F.sequence("start_page", "end_page")).alias("page"))
     marked = lines.where("band = 'body'").select("doc_id", "page", "line_y0", F.explode(F.regexp_extract_all("text", F.lit(t.MARKER), F.lit(1))).alias("num"))
     above = F.coalesce((F.col("page") == F.col("start_page")) & (F.col("line_y0") < F.col("body_top")), F.lit(False))
     below = F.coalesce((F.col("page") == F.col("end_page")) & (F.col("line_y0") >= F.col("body_bottom")), F.lit(False))
     seen = pages.join(marked, ["doc_id", "page"]).groupBy("doc_id", key, "page", F.expr("try_cast(num as int)").alias("num")).agg(F.bool_and(above | below).alias("elsewhere"))
     others = seen.where("elsewhere").select("doc_id", key, "page", "num")
-    return pages.select("doc_id", key, "page").join(notes, ["doc_id", "page"]).join(others, ["doc_id", key, "page", "num"], "left_anti")
+    return notes.join(others, ["doc_id", key, "page", "num"], "left_anti")
 
 
 def chosen(leaves: DataFrame, part: int | None, sections: list[int] | None) -> DataFrame:
@@ -80,11 +82,11 @@ def extract(spans: DataFrame, drawings: DataFrame, pages: DataFrame, last_page:
     paragraphs = assemble.assemble(spans, drawings, leaves.select("doc_id", "leaf", "start_page", "end_page", "body_top", "body_bottom"))
     p = F.struct("ord", "kind", "text", F.col("verse").alias("lines"))
     grouped = paragraphs.groupBy("doc_id", "leaf").agg(F.array_sort(F.array_compact(F.collect_list(F.when(F.col("part") == "text", p)))).alias("p"), F.array_sort(F.array_compact(F.collect_list(F.when(F.col("part") != "text", p)))).alias("v"))
-    noted = own_notes(lines, leaves).groupBy("doc_id", "leaf").agg(F.array_sort(F.collect_list(F.struct("page", "num", "end_page", "text"))).alias("n"))
+    noted = own_notes(layout.mark_verse(lines), leaves).groupBy("doc_id", "leaf").agg(F.array_sort(F.collect_list(F.struct("page", "num", "end_page", "text", "parts"))).alias("n"))
     whole = leaves.join(grouped, ["doc_id", "leaf"], "left").join(noted, ["doc_id", "leaf"], "left")
     for c, kind in (("p", grouped.schema["p"].dataType), ("v", grouped.schema["v"].dataType), ("n", noted.schema["n"].dataType)):
         whole = whole.withColumn(c, F.coalesce(c, F.array().cast(kind)))
-    text = render.leaf_markdown(F.col("title"), F.col("p"), F.col("n"), F.col("category"), F.col("number"), F.col("v"))
+    text = render.leaf_markdown(F.col("title"), F.col("p"), F.col("n"), F.col("category"), F.col("number"), F.col("v"), with_parts=True)
     return whole.select(*LEAF, "leaf", leaf_path().alias("path"), (F.size("v") > 0).alias("has_variants"), F.size("n").alias("n_notes"), text.alias("markdown"))
 
 

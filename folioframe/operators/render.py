@@ -23,11 +23,22 @@ def paragraph_markdown(p: Column) -> Column:
     return F.when(p["kind"] == "verse", quoted).otherwise(p["text"])
 
 
-def leaf_markdown(title: Column, paragraphs: Column, notes: Column, category: Column | None = None, number: Column | None = None, variants: Column | None = None) -> Column:
+def _parted(prefix: Column, parts: Column) -> Column:
+    """A note with verse: prose at its head stands on the first line, the other parts are indented blocks."""
+    first = F.get(parts, F.lit(0))
+    led = first["kind"] == "text"
+    indented = lambda p: F.array_join(F.transform(F.split(paragraph_markdown(p), "\n"), lambda l: F.concat(F.lit("    "), l)), "\n")
+    head = F.when(led, F.concat(prefix, F.lit(" "), first["text"])).otherwise(prefix)
+    return F.array_join(F.concat(F.array(head), F.transform(F.filter(parts, lambda p, k: ~led | (k > 0)), indented)), "\n\n")
+
+
+def leaf_markdown(title: Column, paragraphs: Column, notes: Column, category: Column | None = None, number: Column | None = None, variants: Column | None = None, with_parts: bool = False) -> Column:
     """A leaf: category, numbered title, paragraphs, variants and footnotes, with a blank line between them.
-    ``notes``: array of struct(num, page, end_page, text). What is null or empty has no heading."""
+    ``notes``: array of struct(num, page, end_page, text), and ``parts`` if ``with_parts``. What is null or empty has no heading."""
     pages = lambda n: F.when(n["end_page"] > n["page"], F.concat(n["page"].cast("string"), F.lit("-"), n["end_page"].cast("string"))).otherwise(n["page"].cast("string"))
-    note = lambda n: F.rtrim(F.concat(F.lit("[^"), n["num"].cast("string"), F.lit("]: (Trang "), pages(n), F.lit(") "), n["text"]))
+    prefix = lambda n: F.concat(F.lit("[^"), n["num"].cast("string"), F.lit("]: (Trang "), pages(n), F.lit(")"))
+    plain = lambda n: F.rtrim(F.concat(prefix(n), F.lit(" "), n["text"]))
+    note = (lambda n: F.when(F.size(n["parts"]) > 0, _parted(prefix(n), n["parts"])).otherwise(plain(n))) if with_parts else plain
     none = F.array().cast("array<string>")
     given = lambda c, mark: F.when(F.coalesce(c, F.lit("")) != "", F.array(F.concat(F.lit(mark), c))).otherwise(none)
     under = lambda blocks, heads: F.when(F.size(blocks) > 0, F.concat(F.array(*map(F.lit, heads)), blocks)).otherwise(none)
