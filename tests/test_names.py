@@ -58,6 +58,25 @@ def test_odd_records():
         read([["số", "1", "I"]])
 
 
+def test_names_over_lines():
+    q = name_index.qualified
+    assert q(["Ba - Bốn xứ", "Thái-", "lan"]) == ("Ba - Bốn xứ Thái-lan", None)
+    assert q(["Thuyền-", "chài,", "truyện Mường"]) == ("Thuyền-chài", "truyện Mường")
+    assert q(["Bến đò", "truyện xứ", "Bắc"]) == ("Bến đò", "truyện xứ Bắc")
+    assert q(["Bến đò là", "truyện Y"]) == ("Bến đò là truyện Y", None)
+    assert q(["Sóng to gió", "cả truyện", "khác"]) == ("Sóng to gió cả", "truyện khác")
+    assert q(["Sóng là truyện", "khác"]) == ("Sóng là truyện khác", None)
+    assert q(["Bến", "truyện A, truyện B"]) == ("Bến truyện A", "truyện B")
+    assert q([]) == ("", None)
+
+
+def test_front_of_pages():
+    """Page numbers and the introduction go; a number in brackets at the top of a page stays."""
+    read = name_index.read_records
+    got = read([["900", "BẢNG TRA CỨU TÊN", "Một câu.", "Hai", "câu.", "Ai", "số", "7", "I", "Bến", "số", "12", "II"], ["901", "Cá. Lớn.", "số", "9", "I"], ["902"], ["[3]", "Mưa", "số", "[4]", "V"]])
+    assert [(r[0], [x["story"] for x in r[3]]) for r in got] == [("Ai", [7]), ("Bến", [12]), ("Cá. Lớn.", [9]), ("[3] Mưa", [4])]
+
+
 ROMAN_TYPE, ITALIC = "Times-Roman", "Times-Italic"
 BOOK = [
     # part 1: an introduction and two essays, of which the second begins in the middle of a page
