@@ -13,8 +13,9 @@ from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from folioframe.functions import text as t
-from folioframe.operators import markdown, validate
+from folioframe.operators import markdown, placement, validate
 from folioframe.operators.alignment import matching_blocks
+from folioframe.scratch import Scratch
 
 SCORES = StructType(
     [
@@ -97,16 +98,20 @@ def validate_leaves(
 
     files(path, text); jobs(path, doc_id, start_page, end_page); pages(doc_id, page, text); merged_notes as
     ``footnotes.merge_notes`` gives them for the source; allowed(path, flag, reason). A job without a file has coverage 0
-    and the flag NO_FILE. Leaves are dealt over tasks by path, as their alignment is what costs.
+    and the flag NO_FILE. Leaves are dealt over tasks by the length of what is aligned, the longest first.
     """
+    scratch = Scratch(files.sparkSession, "validation")
     parsed = markdown.parse(files).join(files.select("path", F.length(markdown.prose(F.col("text"))).alias("chars")), "path")
     j = jobs.join(parsed, "path", "left")
     own = jobs.select("path", "doc_id", F.explode(F.sequence("start_page", "end_page")).alias("page")).join(pages, ["doc_id", "page"])
     source = own.groupBy("path").agg(F.collect_list(F.struct("page", "text")).alias("pages"))
-    # A parallelism of its own: a leaf's alignment takes seconds, whatever its size in bytes.
-    j = j.join(source, "path", "left").repartition(tasks, "path")
+    # A parallelism of its own: the alignment of a leaf takes far longer than its size in bytes lets expect.
+    j = scratch.save(j.join(source, "path", "left"))
+    size = F.coalesce(F.length("body"), F.lit(0)) + F.expr("aggregate(coalesce(pages, array()), 0, (n, p) -> n + coalesce(length(p.text), 0))")
+    j = placement.by_cost(j, placement.placed(j, "path", size, tasks), "path", tasks)
     scored = j.withColumn("s", _scores("body", "notes", "pages", "start_page", "end_page")).withColumn("density", F.coalesce("chars", F.lit(0)) / (F.col("end_page") - F.col("start_page") + 1))
     base = scored.select("path", "doc_id", "start_page", "end_page", "s.rendered_coverage", "s.raw_coverage", "s.markers", "density", F.col("body").isNull().alias("no_file"), "notes")
+    base = scratch.save(base)  # read by each check below
     flags = markdown.structure_flags(parsed).where(~F.col("flag").startswith("ORPHAN"))
     flags = flags.unionByName(base.where("no_file").select("path", F.lit("NO_FILE").alias("flag"))).unionByName(base.where(F.col("density") < min_density).select("path", F.lit("LOW_DENSITY").alias("flag")))
     found = base.select("path", F.explode("markers").alias("m")).select("path", "m.page", "m.num").distinct()
