@@ -3,13 +3,16 @@
     python -m folioframe.cli extract  --spans S --drawings D --pages P --out O [--part N [--section SPEC]] [--last-page N]
     python -m folioframe.cli validate --extracted E --spans S --drawings D --pages P --out O [--errata A] [--threshold X]
     python -m folioframe.cli index    --pages P --stories S --out O
-    python -m folioframe.cli survey   --spans S --drawings D --out O
+    python -m folioframe.cli survey   --spans S --drawings D --out O [--pages P] [--extracted E]
 
 ``extract`` writes leaves (Parquet) and below ``markdown`` a tree of files: document, part, section, a file per leaf, the
 bibliography, and a manifest in each folder; a run over one part replaces that part's files and keeps the others in the
 document's manifest. ``validate`` checks the files that ``extract`` wrote against the pages and
-writes results and report. ``index`` writes records, resolved targets, aliases and what is left open, as Parquet, and the
-records as JSON. ``survey`` writes the catalogue: layout by page, fonts, recurring notes and breaks of dialogue.
+writes results and report; ``--errata`` (path, flag, reason) and ``--drift-errata`` (path of a section, flag, delta, reason)
+name what is known to be the print's own fault. ``index`` writes records, resolved targets, aliases and what is left open, as Parquet, and the
+records as JSON. ``survey`` writes layout, italic fonts, poems, breaks of dialogue, recurring notes and notes over page
+breaks as Parquet, and a Markdown catalogue of each document: by section where ``--pages`` gives the contents, with the leaf
+of each finding where ``--extracted`` gives the leaves.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioframe.operators import extract, footnotes, layout, leaf_validation, name_index, survey
+from folioframe.operators import extract, footnotes, layout, leaf_validation, name_index, survey, toc
 from folioframe.operators.select import parse_spec
 from folioframe.session import ship
 from folioframe.sources import layout as source
@@ -60,8 +63,12 @@ def run_validate(spark: SparkSession, a: argparse.Namespace) -> None:
     out = leaf_validation.validate_leaves(sinks.read_leaves(spark, f"{a.extracted}/markdown"), extract.jobs(leaves), pages, notes, allowed, a.threshold, a.min_density)
     _save(out, f"{a.out}/results")
     results = spark.read.parquet(f"{a.out}/results")
-    drift = spark.read.parquet(f"{a.extracted}/drift").collect() if _there(spark, f"{a.extracted}/drift") else []
-    report = leaf_validation.report(results) + "".join(f"- part {r['part']}, section {r['section']}: {r['flag']} ({r['actual']} of {r['expected']})\n" for r in drift)
+    report = leaf_validation.report(results)
+    if _there(spark, f"{a.extracted}/drift"):
+        known = spark.read.parquet(a.drift_errata) if a.drift_errata else spark.createDataFrame([], extract.DRIFT_ERRATA)
+        _save(extract.known_drift(spark.read.parquet(f"{a.extracted}/drift"), known), f"{a.out}/drift")
+        for r in spark.read.parquet(f"{a.out}/drift").orderBy("path").toLocalIterator():
+            report += f"- part {r['part']}, section {r['section']}: {r['flag']} ({r['actual']} of {r['expected']})" + (f" - known: {r['reason']}" if r["erratum"] else "") + "\n"
     spark.createDataFrame([(report,)], "value string").coalesce(1).write.mode("overwrite").text(f"{a.out}/report")
 
 
@@ -77,10 +84,22 @@ def run_index(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def run_survey(spark: SparkSession, a: argparse.Namespace) -> None:
-    rows = layout.mark_verse(layout.lines(source.read_spans(spark, a.spans), spark.read.parquet(a.drawings)))
+    spans = source.read_spans(spark, a.spans)
+    rows = layout.mark_verse(layout.lines(spans, spark.read.parquet(a.drawings)))
+    notes = footnotes.page_notes(rows)
     _save(survey.layout_stats(rows), f"{a.out}/layout")
+    _save(survey.italic_fonts(spans), f"{a.out}/fonts")
+    _save(layout.poem_runs(rows), f"{a.out}/poems")
     _save(survey.dialogue_breaks(rows), f"{a.out}/dialogue_breaks")
-    _save(survey.recurring_notes(footnotes.page_notes(rows)), f"{a.out}/recurring_notes")
+    _save(survey.recurring_notes(notes), f"{a.out}/recurring_notes")
+    _save(survey.footnote_chains(footnotes.merge_notes(notes)), f"{a.out}/note_chains")
+    if a.pages:
+        sections = toc.sections(toc.entries(spark.read.parquet(a.pages))).where("section is not null")
+        ranges = sections.select("doc_id", (F.col("part") * 1000 + F.col("section")).alias("range"), F.format_string("Part %s, %s. %s", F.col("part").cast("string"), "roman", "title").alias("label"), "start_page", "end_page")
+    else:
+        ranges = spans.groupBy("doc_id").agg(F.min("page").alias("start_page"), F.max("page").alias("end_page")).select("doc_id", F.lit(1).alias("range"), F.lit("All pages").alias("label"), "start_page", "end_page")
+    leaves = spark.read.parquet(f"{a.extracted}/leaves").select("doc_id", "leaf", "start_page", "end_page") if a.extracted else None
+    tree.write_tree(survey.catalogue(rows, spans, ranges, leaves), f"{a.out}/catalogue")
 
 
 COMMANDS = {
@@ -102,8 +121,12 @@ def main(argv: list[str] | None = None) -> None:
             c.add_argument("--part", type=int)
             c.add_argument("--section")
             c.add_argument("--last-page", type=int, default=10_000)
+        if name == "survey":
+            c.add_argument("--pages")
+            c.add_argument("--extracted")
         if name == "validate":
             c.add_argument("--errata")
+            c.add_argument("--drift-errata")
             c.add_argument("--threshold", type=float, default=leaf_validation.validate.DEFAULT_THRESHOLD)
             c.add_argument("--min-density", type=float, default=leaf_validation.validate.MIN_CHARS_PER_PAGE)
     a = p.parse_args(argv)

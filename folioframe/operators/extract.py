@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioframe.functions import text as t
-from folioframe.operators import assemble, bibliography, discovery, essays, footnotes, layout, render, toc
+from folioframe.operators import assemble, bibliography, discovery, essays, footnotes, layout, render, toc, validate
 
 LEAF = ["doc_id", "part", "section", "roman", "category", "kind", "number", "title", "start_page", "end_page", "body_top", "body_bottom"]
 STORY_PART = 2
@@ -126,7 +126,8 @@ def jobs(leaves: DataFrame) -> DataFrame:
 
 
 def drift(pages: DataFrame, leaves: DataFrame) -> DataFrame:
-    """(doc_id, part, section, expected, actual, flag): sections whose stories are not as many as the contents list, or none."""
+    """(path, doc_id, part, section, expected, actual, delta, flag): sections whose stories are not as many as the contents
+    list, or none. ``path`` names a section by document, part and number."""
     entries = toc.part_entries(toc.entries(pages)).where(F.col("part") == STORY_PART)
     listed = entries.where(F.col("title").rlike(toc.LEAF)).select("doc_id", "page")
     found = toc.sections(toc.entries(pages)).where((F.col("part") == STORY_PART) & F.col("section").isNotNull()).select("doc_id", "part", "section", "start_page", "end_page")
@@ -134,7 +135,17 @@ def drift(pages: DataFrame, leaves: DataFrame) -> DataFrame:
     actual = leaves.where("kind = 'story'").groupBy("doc_id", "part", "section").agg(F.count(F.lit(1)).alias("actual"))
     both = expected.join(actual, ["doc_id", "part", "section"], "left").withColumn("actual", F.coalesce("actual", F.lit(0)))
     flag = F.when(F.col("actual") == 0, "MISSING_SECTION").when(F.col("actual") < F.col("expected"), "MISSING_LEAVES").when(F.col("actual") > F.col("expected"), "EXTRA_LEAVES")
-    return both.withColumn("flag", flag).where("flag is not null")
+    path = F.format_string("document_%s/part_%s/%s", *[F.col(c).cast("string") for c in ("doc_id", "part", "section")])
+    return both.withColumns({"flag": flag, "path": path, "delta": F.col("actual") - F.col("expected")}).where("flag is not null").select("path", "doc_id", "part", "section", "expected", "actual", "delta", "flag")
+
+
+DRIFT_ERRATA = "path string, flag string, delta long, reason string"
+
+
+def known_drift(drifted: DataFrame, allowed: DataFrame) -> DataFrame:
+    """``drifted`` with ``reason`` and ``erratum``: what a short list (path, flag, delta, reason) says is the contents' own
+    fault. Another number of leaves too many or too few than listed stays a flag."""
+    return validate.apply_errata(drifted, allowed, ["path", "flag", "delta"])
 
 
 BIBLIOGRAPHY = "struct<start_page:int,end_page:int,sections:array<struct<section:int,markdown_file:string,entry_count:int>>>"

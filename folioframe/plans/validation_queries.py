@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioframe.functions import text as t
-from folioframe.operators import names, validate
+from folioframe.operators import extract, names, validate
 from folioframe.operators import sequence as seq
 from folioframe.plans.structure_queries import DAY_SQL, RUNS_SQL, _day, _runs
 from folioframe.plans.tables import events, table
@@ -233,3 +233,22 @@ def alias_resolution(spark, sf_dir):
     tiers = [p.join(full, F.col("p_name") == F.col("k")).select("p_partkey", "target"), p.join(half, F.col("half") == F.col("k")).select("p_partkey", "target")]
     found = seq.first_match_by_tier(p, "p_partkey", tiers)
     return p.select("p_partkey").join(found, "p_partkey", "left").select("p_partkey", "target", "tier")
+
+
+DRIFT_SQL = """e AS (SELECT 'document_' || o_custkey % 40 || '/part_2/' || o_orderpriority AS path, count(*) AS expected, count(*) FILTER (WHERE o_orderstatus <> 'F') + o_custkey % 40 % 3 AS actual FROM orders GROUP BY o_custkey % 40, o_orderpriority),
+d AS (SELECT path, expected, actual, actual - expected AS delta, CASE WHEN actual = 0 THEN 'MISSING_SECTION' WHEN actual < expected THEN 'MISSING_LEAVES' ELSE 'EXTRA_LEAVES' END AS flag FROM e WHERE actual <> expected)"""
+
+
+@query(
+    "drift_errata",
+    f"""WITH {DRIFT_SQL}, w AS (SELECT path, flag, CASE WHEN expected % 2 = 0 THEN delta ELSE delta - 1 END AS delta, 'known ' || expected AS reason FROM d WHERE expected % 3 <> 0)
+    SELECT d.path, d.flag, d.delta, w.reason, w.reason IS NOT NULL AS erratum FROM d LEFT JOIN w ON d.path = w.path AND d.flag = w.flag AND d.delta = w.delta""",
+)
+def drift_errata(spark, sf_dir):
+    """Sections that drift from their contents, against a list of known drifts by path, flag and number."""
+    doc = F.col("o_custkey") % 40
+    e = table(spark, sf_dir, "orders").groupBy(doc.alias("doc"), "o_orderpriority").agg(F.count(F.lit(1)).alias("expected"), F.count_if(F.col("o_orderstatus") != "F").alias("kept"))
+    e = e.select(F.concat(F.lit("document_"), F.col("doc").cast("string"), F.lit("/part_2/"), "o_orderpriority").alias("path"), "expected", (F.col("kept") + F.col("doc") % 3).alias("actual"))
+    d = e.withColumn("delta", F.col("actual") - F.col("expected")).where("delta <> 0").withColumn("flag", F.when(F.col("actual") == 0, "MISSING_SECTION").when(F.col("delta") < 0, "MISSING_LEAVES").otherwise("EXTRA_LEAVES"))
+    listed = d.where("expected % 3 <> 0").select("path", "flag", F.when(F.col("expected") % 2 == 0, F.col("delta")).otherwise(F.col("delta") - 1).alias("delta"), F.concat(F.lit("known "), F.col("expected").cast("string")).alias("reason"))
+    return extract.known_drift(d, listed).select("path", "flag", "delta", "reason", "erratum")
