@@ -5,11 +5,13 @@ licences, and the heads of long ones. A segment is a line; a long line is cut at
 is still long, such as minified text, into windows of words around the places that speak. Runs of such segments with
 what follows are compared too, as headers and licence files span lines. Document frequencies of the templates' words come
 from all segments of all documents; the vocabulary is the templates' own, so its size is bounded.
-The best cosine at or above ``least`` names the text's own licence. A file named like a licence, or one that holds
+The best cosine at or above ``least`` names the text's own licence, of the licences whose distinguishing words (name and
+version in the GNU family, the terms of Creative Commons) the text has; an SPDX line of one licence names it outright. A file named like a licence, or one that holds
 little else, is a licence file of its directory; a file without a licence of its own takes that of the nearest directory
 above it that has a licence file. Directories, not files, are joined with their ancestors.
 
-Defined results: a null text, or one without a licence, has no licence of its own; a null path belongs to no directory
+Defined results: a null text, or one without a licence, has no licence of its own; an SPDX expression of several licences
+names none, other notices of several licences that of the best cosine; a null path belongs to no directory
 and inherits nothing; equal cosines go to the first template in order; licence files of one directory that differ give
 the one of the highest cosine, then the first in order; rows that repeat are scanned one by one; an empty table gives
 no rows. Other columns are ignored.
@@ -34,9 +36,10 @@ from folioframe.scratch import Scratch
 _WARRANTY = "THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
 _BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
 _VERBATIM = "Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+_LATER = "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
 TEMPLATES = {
     "MIT": [
-        "Released under the MIT License.", "Licensed under the MIT license.",
+        "Released under the MIT License.", "Licensed under the MIT license.", "licensed under the terms of the MIT license",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction",
         "MIT License Copyright (c) Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     ],
@@ -49,19 +52,24 @@ TEMPLATES = {
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; version 2",
+        _LATER.format("program", "", "2"),
+        "Licensed under the GNU General Public License version 2", "Licensed under the GNU General Public License version 2.0",
         f"GNU GENERAL PUBLIC LICENSE Version 2, June 1991 Copyright (C) 1989, 1991 Free Software Foundation, Inc. {_VERBATIM}",
     ],
     "GPL-3.0": [
         "This work is licensed under the GNU General Public License, version 3.",
+        _LATER.format("program", "", "3"),
+        "Licensed under the GNU General Public License version 3", "Licensed under the GNU General Public License version 3.0",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License",
         f"GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}",
     ],
     "LGPL-2.1": [
         "Licensed under the GNU Lesser General Public License, version 2.1.",
+        _LATER.format("library", "Lesser ", "2.1"),
         f"GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999 Copyright (C) 1991, 1999 Free Software Foundation, Inc. {_VERBATIM}",
     ],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", f"GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"],
-    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", f"GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"],
+    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3.", _LATER.format("library", "Lesser ", "3"), f"GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"],
+    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3.", _LATER.format("program", "Affero ", "3"), f"GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007 Copyright (C) 2007 Free Software Foundation, Inc. {_VERBATIM}"],
     "BSD-2-Clause": ["Licensed under the BSD 2-Clause License.", f"BSD 2-Clause License Copyright (c) All rights reserved. {_BSD}"],
     "BSD-3-Clause": [
         "Licensed under the BSD 3-Clause License.",
@@ -69,8 +77,11 @@ TEMPLATES = {
     ],
     "MPL-2.0": [
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "Licensed under the Mozilla Public License, version 2.0.",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
         "Mozilla Public License Version 2.0 1. Definitions 1.1. Contributor means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software.",
     ],
+    "EPL-2.0": ["Licensed under the Eclipse Public License, version 2.0.", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
     "ISC": [
         "Licensed under the ISC License.", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
         f"ISC License Copyright (c) Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. {_WARRANTY}",
@@ -86,9 +97,18 @@ TEMPLATES = {
     "CC-BY-NC-SA-4.0": ["Licensed under CC BY-NC-SA 4.0."],
     "CC-BY-ND-4.0": ["Licensed under CC BY-ND 4.0."],
 }
+# The words by which licences of one family differ, over a text's tokens. A licence is named only by a text
+# that has those of its own; in the family of the GNU licences a version is the number after one of these words.
+LESSER, AFFERO = r"(?:lesser|library) general public|lgplv?", r"affero general public|agplv?"
+VERSION = r"(?:version|v|license|[al]?gplv?) "
+SHARED = {"GPL-2.0": ("", "2"), "GPL-3.0": ("", "3"), "LGPL-2.1": ("L", "2.1"), "LGPL-3.0": ("L", "3"), "AGPL-3.0": ("A", "3")}
+COMMONS = re.compile(r"(?<!\S)(?:by|attribution)((?: (?:nc|nd|sa|noncommercial|noderivatives|sharealike|non commercial|no derivatives|share alike))*) 4\.0")
+COMMONS_WORDS = {"noncommercial": "nc", "non commercial": "nc", "noderivatives": "nd", "no derivatives": "nd", "sharealike": "sa", "share alike": "sa"}
+SPDX = re.compile(r"SPDX-License-Identifier:\s*\(?([A-Za-z0-9.+-]+)\)?(\s+(?:OR|AND|WITH)\b)?")
 SPEAKS = r"(?i)licen[sc]|permission (?:is|to use)|redistribution and use|public domain|free software|legal code"
 FILE_NAME = r"(?i)(?:^|/)(?:licen[sc]e|copying|notice|unlicense)(?:\.[a-z]+)?$"
 WORD = re.compile(r"[a-z]+|[0-9]+(?:\.[0-9]+)*")
+_SHORT_VERSION = re.compile(r"\bv\.? ?(?=[0-9])")
 RUN = 24  # segments that a header or the head of a licence file may span
 RUN_WORDS = 200  # a run goes on up to so many words
 LONG = 400  # characters of a line that is cut further
@@ -97,7 +117,33 @@ AROUND, SPANS = 6, (6, 8, 10, 14, 20, 32, 64, 128)  # windows of a long segment:
 
 
 def tokens(text: str) -> list[str]:
-    return WORD.findall(text.lower().replace("licence", "license"))
+    return WORD.findall(_SHORT_VERSION.sub("version ", text.lower().replace("licence", "license")))
+
+
+_VERSIONS = {v: re.compile(rf"(?<!\S){VERSION}{re.escape(v)}(?:\.0)?(?!\S)") for v in ("2", "2.1", "3")}
+_LESSER, _AFFERO = re.compile(rf"(?<!\S)(?:{LESSER})(?!\S)"), re.compile(rf"(?<!\S)(?:{AFFERO})(?!\S)")
+
+
+def agrees(name: str, words: str) -> bool:
+    """Whether a text, as its tokens with spaces between, has the words by which a licence differs from its family."""
+    if name in SHARED:
+        family, version = SHARED[name]
+        own = "A" if _AFFERO.search(words) else "L" if _LESSER.search(words) else ""
+        return own == family and bool(_VERSIONS[version].search(words))
+    if name.startswith("CC-BY") and (m := COMMONS.search(words)):
+        said = m[1]
+        for long, short in COMMONS_WORDS.items():
+            said = said.replace(long, short)
+        return sorted(said.split()) == sorted(x for x in name.lower().split("-") if x in ("nc", "nd", "sa"))
+    return True
+
+
+def declared(line: str) -> str | None:
+    """The licence of an SPDX line, if it is one that has templates and stands alone; "-only", "-or-later" and "+" are of
+    the same licence. An expression of several names none."""
+    m = SPDX.search(line)
+    name = re.sub(r"(?:-only|-or-later|\+)$", "", m[1]) if m and not m[2] else None
+    return name if name in TEMPLATES else None
 
 
 class Index:
@@ -120,7 +166,8 @@ class Index:
                 self.postings[w].append((k, n * self.idf[self.vocabulary[w]] / norm))
 
     def best(self, words: list[str]) -> tuple[str | None, float]:
-        """The licence of the largest cosine; words that no template has lengthen the text's vector."""
+        """The licence of the largest cosine of those that the text's own words agree with; words that no template has
+        lengthen the text's vector."""
         square, cosines = 0.0, [0.0] * len(self.names)
         for w, n in Counter(words).items():
             k = self.vocabulary.get(w)
@@ -130,8 +177,16 @@ class Index:
                 cosines[t] += x * y
         if not square:
             return None, 0.0
-        at = max(range(len(cosines)), key=cosines.__getitem__)
-        return self.names[at], cosines[at] / math.sqrt(square)
+        joined, asked = " ".join(words), {}
+        for at in sorted(range(len(cosines)), key=lambda k: -cosines[k]):
+            name = self.names[at]
+            if cosines[at] <= 0:
+                break
+            if name not in asked:
+                asked[name] = agrees(name, joined)
+            if asked[name]:
+                return name, cosines[at] / math.sqrt(square)
+        return None, 0.0
 
 
 def segments(text: Column) -> Column:
@@ -177,6 +232,11 @@ def _scan(index: Index, least: float):
             names, scores, parts = [], [], []
             for lines in batch.column(batch.num_columns - 1).to_pylist():
                 name, score, words = None, 0.0, 0
+                for line in lines or []:
+                    if stated := declared(line):
+                        words += len(tokens(line))
+                        if score < 1.0:
+                            name, score = stated, 1.0
                 for single, c in candidates(lines or [], speaks):
                     found, s = index.best(c)
                     if s > score + 1e-12:
