@@ -8,10 +8,13 @@ with footnotes; parts are the records of a printed index.
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folioframe.functions import text as t
-from folioframe.operators import extract, layout, markdown, table_functions
-from folioframe.plans.tables import LINES_SQL, lines, table
+from folioframe.operators import extract, footnotes, layout, markdown, table_functions
+from folioframe.plans.structure_queries import DAY_SQL, _day
+from folioframe.plans.tables import LINES_SQL, events, lines, table
+from folioframe.streaming import open_notes
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -171,3 +174,51 @@ def leaf_paths(spark, sf_dir):
         "p_partkey", F.col("p_size").alias("doc_id"), F.lit(2).alias("part"), F.lit(2).alias("section"), F.lit("II").alias("roman"), F.concat(F.lit("II. "), "p_type").alias("category"), number.alias("number"), F.col("p_name").alias("title"), F.col("p_partkey").alias("leaf")
     )
     return p.select("p_partkey", extract.leaf_path().alias("path"))
+
+
+NOTES_SQL = f"""notes AS (
+  SELECT user_id AS doc_id, {DAY_SQL} AS page, event_id, row_number() OVER (PARTITION BY user_id, {DAY_SQL} ORDER BY event_id) - 1 AS pos, event_id % 9 + 1 AS num, event_type FROM events),
+marked AS (SELECT *, pos = 0 AND event_type <> 'click' AS continued FROM notes)"""
+
+
+def _notes(spark, sf_dir):
+    """Page notes: a user's events of a day, in order; the first one goes on from the day before unless it is a click."""
+    e = events(spark, sf_dir).withColumn("page", _day())
+    pos = F.row_number().over(Window.partitionBy("user_id", "page").orderBy("event_id")) - 1
+    n = e.select(F.col("user_id").alias("doc_id"), "page", pos.alias("pos"), (F.col("event_id") % 9 + 1).cast("int").alias("num"), F.col("event_id").cast("string").alias("text"), "event_type")
+    return n.select("doc_id", "page", "pos", "num", "text", ((F.col("pos") == 0) & (F.col("event_type") != "click")).alias("continued"))
+
+
+@query(
+    "open_at_foot",
+    f"""WITH {NOTES_SQL}, pages AS (SELECT doc_id, page, arg_max(num, pos) FILTER (WHERE NOT continued) AS last FROM marked GROUP BY doc_id, page),
+    runs AS (SELECT *, sum(CASE WHEN page - before <= 1 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY page) AS run FROM (SELECT *, lag(page) OVER (PARTITION BY doc_id ORDER BY page) AS before FROM pages) x)
+    SELECT doc_id, page, last_value(last IGNORE NULLS) OVER (PARTITION BY doc_id, run ORDER BY page ROWS BETWEEN 10 PRECEDING AND CURRENT ROW) AS open FROM runs""",
+)
+def open_at_foot(spark, sf_dir):
+    """The number of the note open at the foot of each page, looked for on ten pages before."""
+    return footnotes.open_at_foot(_notes(spark, sf_dir))
+
+
+@query(
+    "notes_numbered",
+    f"""WITH {NOTES_SQL}, broken AS (SELECT *, coalesce(page - lag(page) OVER (PARTITION BY doc_id ORDER BY page, pos) > 1, true) AS broken FROM marked),
+    parts AS (SELECT *, sum(CASE WHEN broken THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY page, pos) AS part FROM broken)
+    SELECT doc_id, page, CAST(pos AS INTEGER) AS pos, last_value(CASE WHEN broken OR NOT continued THEN num END IGNORE NULLS) OVER (PARTITION BY doc_id, part ORDER BY page, pos) AS num, CAST(event_id AS VARCHAR) AS text,
+           continued AND NOT broken AS runs_on FROM parts""",
+)
+def notes_numbered(spark, sf_dir):
+    """The number of the note that each entry of a page belongs to, and whether it runs on from the page before."""
+    return open_notes.numbered(_notes(spark, sf_dir))
+
+
+@query(
+    "notes_merged",
+    f"""WITH {NOTES_SQL}, broken AS (SELECT *, coalesce(page - lag(page) OVER (PARTITION BY doc_id ORDER BY page, pos) > 1, true) AS broken FROM marked),
+    parts AS (SELECT *, sum(CASE WHEN broken THEN 1 ELSE 0 END) OVER w AS part, sum(CASE WHEN continued AND NOT broken THEN 0 ELSE 1 END) OVER w AS note FROM broken WINDOW w AS (PARTITION BY doc_id ORDER BY page, pos)),
+    filled AS (SELECT *, last_value(CASE WHEN broken OR NOT continued THEN num END IGNORE NULLS) OVER (PARTITION BY doc_id, part ORDER BY page, pos) AS own FROM parts)
+    SELECT doc_id, arg_min(own, page * 100000 + pos) AS num, min(page) AS page, max(page) AS end_page, string_agg(CAST(event_id AS VARCHAR), ' ' ORDER BY page, pos) AS text FROM filled GROUP BY doc_id, note""",
+)
+def notes_merged(spark, sf_dir):
+    """Whole notes, each with the pages it runs over."""
+    return footnotes.merge_notes(_notes(spark, sf_dir)).select("doc_id", "num", "page", "end_page", "text")
