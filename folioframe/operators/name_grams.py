@@ -16,12 +16,15 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from difflib import SequenceMatcher
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
+from folioframe.operators import name_pieces
 from folioframe.scratch import Scratch
 
 COUNTER_BITS, LISTED_BITS = 16, 22
@@ -30,6 +33,8 @@ TOGETHER = 4
 BLOCK = 4096
 MASK_BITS = 62
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_RANK = ("ratio", "same", "size", "at", "run", "shown")
+_HIT = "text_id long, ratio double, same boolean, size int, at long, run string, shown double"
 
 
 def normal(text: Column) -> Column:
@@ -224,14 +229,8 @@ def _prepared(names: DataFrame, texts: DataFrame, key: str, name: str, text_key:
     return n, t.withColumn("text_id", F.xxhash64(F.lit(1), "text_key", F.col("text_key").isNull(), "s"))
 
 
-def similar(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str, text: str, threshold: float) -> DataFrame:
-    """(key, text_key, ratio, window): for each name and text the most similar run of about as many words as the name
-    has. Of equal ones the run of just as many words counts, then the shorter, then the earlier."""
-    if not 0 < threshold <= 1:
-        raise ValueError("the threshold lies above 0 and up to 1")
-    scratch = Scratch(texts.sparkSession, "names")
-    n, t = _prepared(names, texts, key, name, text_key, text, F.lower(name), normal(F.col(text)))
-    n = scratch.save(n)
+def _similar_by_joins(scratch: Scratch, n: DataFrame, t: DataFrame, threshold: float) -> DataFrame:
+    """(key, text_key, b) by joins on the rarest grams, for lists of any length."""
     listed = scratch.save(_listed(n, threshold, _rarity(t)))
     met = _places(t, listed).join(listed, "gram").withColumn("own", F.floor(F.col("pos") / F.col("span")))
     # A run that begins in a slot of its name's longest run ends in the next one at the latest.
@@ -246,10 +245,34 @@ def similar(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: s
     cut = F.expr(f"substring(s, cast(first - block * {width} + 1 AS int), cast(2 * span + 2 AS int))")
     pieces = wanted.join(_blocks(t, width, 2 * longest + 2), ["text_id", "block"]).select("name_id", "text_id", "low", "span", "first", "end", cut.alias("piece"))
     asked = pieces.join(n.select("name_id", "name"), "name_id")
-    hits = asked.select("name", "name_id", "text_id", "low", "span", "first", "end", "piece").mapInPandas(_scored(threshold), "name_id long, text_id long, ratio double, same boolean, size int, at long, run string, shown double")
-    best = hits.groupBy("name_id", "text_id").agg(F.max(F.struct("ratio", "same", "size", "at", "run", "shown")).alias("b"))
+    hits = asked.select("name", "name_id", "text_id", "low", "span", "first", "end", "piece").mapInPandas(_scored(threshold), f"name_id long, {_HIT}")
+    best = hits.groupBy("name_id", "text_id").agg(F.max(F.struct(*_RANK)).alias("b"))
     owner = t.select("text_id", "text_key").join(found.select("text_id").distinct(), "text_id", "left_semi").distinct()
-    return best.join(owner, "text_id").join(n.select("name_id", "key"), "name_id").select(F.col("key").alias(key), F.col("text_key").alias(text_key), F.col("b.shown").alias("ratio"), F.col("b.run").alias("window"))
+    return best.join(owner, "text_id").join(n.select("name_id", "key"), "name_id").select("key", "text_key", "b")
+
+
+def similar(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str, text: str, threshold: float) -> DataFrame:
+    """(key, text_key, ratio, window): for each name and text the most similar run of about as many words as the name
+    has. Of equal ones the run of just as many words counts, then the shorter, then the earlier."""
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold lies above 0 and up to 1")
+    spark = texts.sparkSession
+    scratch = Scratch(spark, "names")
+    n, t = _prepared(names, texts, key, name, text_key, text, F.lower(name), normal(F.col(text)))
+    n = scratch.save(n)
+    short = F.length("name").isin(name_pieces.lengths(threshold))
+    few = n.where(short).select("name_id", "name").limit(name_pieces.MOST + 1).collect()
+    found = []
+    if 0 < len(few) <= name_pieces.MOST:
+        listed = spark.sparkContext.broadcast(([r["name_id"] for r in few], [r["name"] for r in few]))
+        kinds = StructType([StructField("name_id", LongType()), t.schema["text_key"], *StructType.fromDDL(_HIT)])
+        hits = t.select("text_key", "text_id", "s").mapInArrow(name_pieces.scored(listed, threshold), kinds)
+        best = hits.groupBy("name_id", "text_id", "text_key").agg(F.max(F.struct(*_RANK)).alias("b"))
+        found.append(best.join(n.select("name_id", "key"), "name_id").select("key", "text_key", "b"))
+    rest = n.where(~short) if found else n
+    if not found or rest.head(1):
+        found.append(_similar_by_joins(scratch, rest, t, threshold))
+    return reduce(DataFrame.unionByName, found).select(F.col("key").alias(key), F.col("text_key").alias(text_key), F.col("b.shown").alias("ratio"), F.col("b.run").alias("window"))
 
 
 def containing(names: DataFrame, texts: DataFrame, key: str, name: str, text_key: str, text: str, fold: bool) -> DataFrame:

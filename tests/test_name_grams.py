@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from folioframe.operators import name_grams, names
+from folioframe.operators import name_grams, name_pieces, names
 
 
 def similar_by_all(listed, texts, threshold):
@@ -77,3 +77,43 @@ def test_work_follows_hits(spark):
         listed = name_grams._listed(own, 0.9, rarity)
         counts.append(name_grams._places(texts, listed).join(listed, "gram").count())
     assert counts == [0, 0]
+
+
+@pytest.mark.parametrize(("seed", "threshold", "alphabet"), [(9, 0.9, "ab"), (10, 0.9, "abcdeé"), (11, 0.8, "abcdefgh"), (12, 0.9, [chr(0x4E00 + 7 * k) for k in range(400)])])
+def test_pieces_in_parts_of_texts(spark, monkeypatch, seed, threshold, alphabet):
+    """Names of common syllables in long texts, a few places at a time; no joins are needed for them."""
+    monkeypatch.setattr(name_pieces, "AT_ONCE", 64)
+    monkeypatch.setattr(name_pieces, "HITS_AT_ONCE", 8)
+    monkeypatch.setattr(name_pieces, "KNOWN", 5)
+    listed, texts = random_case(random.Random(seed), alphabet, 40, 12)
+    listed = [(k, n) for k, n in listed if len(n.lower()) in name_pieces.lengths(threshold)] + [(100, "ab " * 30 + "cd ef")]
+    texts = [(d, f"{t} {u}") for d, t in texts for _, u in texts[:3]] + [(200, "x " * 70 + "ab " * 29 + "bb cd ef"), (201, "a" * 300)]
+    found: dict = {}
+    sought = name_pieces.Sought([n.lower() for _, n in listed], threshold)
+    whole = [" ".join(t.lower().split()) for _, t in texts]
+    for i, s in enumerate(whole):
+        for part in name_pieces.slices(i, s, sought.longest + 1):
+            sought.best([part], found)
+    every = [((i, k), names.most_similar(n.lower(), s.split(), threshold)) for i, s in enumerate(whole) for k, (_, n) in enumerate(listed)]
+    assert {x: (r[0], r[4]) for x, r in found.items()} == {x: h[:2] for x, h in every if h}
+    assert len(found) > 5
+
+
+def test_short_lists_need_no_joins(spark, monkeypatch):
+    """Common syllables: the joins would list each of their places, and the direct way none that is not similar."""
+    monkeypatch.setattr(name_grams, "_places", None)
+    r = random.Random(13)
+    word = lambda: "".join(r.choice(["the", "in", "an", "er", "on", "re"]) for _ in range(r.randint(1, 3)))
+    listed = [(k, " ".join(word() for _ in range(3))) for k in range(30)]
+    texts = [(d, " ".join(word() for _ in range(800))) for d in range(12)]
+    n, t = spark.createDataFrame(listed, "k long, name string"), spark.createDataFrame(texts, "d long, s string")
+    got = [tuple(x) for x in names.fuzzy(n, t, "k", "name", "d", "s", 0.9).collect()]
+    assert sorted(got, key=repr) == similar_by_all(listed, texts, 0.9) and got
+
+
+def test_long_lists_go_by_joins(spark, monkeypatch):
+    monkeypatch.setattr(name_pieces, "MOST", 3)
+    listed, texts = random_case(random.Random(14), "abcd", 20, 10)
+    n, t = spark.createDataFrame(listed, "k long, name string"), spark.createDataFrame(texts, "d long, s string")
+    got = [tuple(x) for x in names.fuzzy(n, t, "k", "name", "d", "s", 0.9).collect()]
+    assert sorted(got, key=repr) == similar_by_all(listed, texts, 0.9)
