@@ -9,9 +9,10 @@ smallest document are removed. Where all documents hold one and the same string
 for it, and strings without their like around the anchor need no comparison.
 
 Copies do not gather in one task: within a task equal strings go on once, for the smallest document, and the other
-documents' windows are known to be repeats at once. Anchors of very many documents are split by the 46 bytes that
-five neighbouring windows share. The set of repeated anchors is a bitmap of fixed size; when it is full, more strings
-are sent, and the result is the same.
+documents' windows are known to be repeats at once. Anchors of very many documents are split by the 41 bytes that
+ten neighbouring windows share. The set of repeated anchors is a bitmap that grows with the input up to a fixed size;
+when it is full, more strings are sent, and the result is the same. What a task holds before it sends grows with the
+number of buckets up to a fixed size, so that a bucket gets some kilobytes at a time; a task still sends a row to each.
 
 Defined results: a null text is empty; a text below 50 bytes keeps all; rows of one id never remove one another's
 bytes; a row without an id keeps all and removes nothing; an empty table gives no rows. Other columns are ignored.
@@ -33,9 +34,11 @@ from folioframe.llm import textkernel as tk
 from folioframe.scratch import Scratch, input_partitions
 
 GRAM = 20
-BITMAP_BITS = 26
-HOT_DOCS = 1024
-HOT_STEP = 5
+#: At least and at most; a bit more for each doubling of the input, so that the share of set bits stays.
+BITMAP_BITS, MOST_BITS = 26, 29
+#: A bucket holds the strings of so many documents at one anchor easily: about a megabyte.
+HOT_DOCS = 16384
+HOT_STEP = 10
 SLICE = 1 << 24
 _LENGTH = 0xD6E8FEB86659FD93
 
@@ -90,8 +93,9 @@ def _merge(h: np.ndarray, whole: np.ndarray, docs: np.ndarray):
     return h[first], np.where(same, whole[first], tk.U64(0)), np.minimum(np.add.reduceat(docs, first), 65535)
 
 
-def _count(width: int, buckets: int, flush: int = 1 << 19):
+def _count(width: int, buckets: int, flush: int | None = None):
     shift = tk.U64(64 - buckets.bit_length() + 1)
+    flush = flush or min(1 << 20, max(1 << 19, buckets << 7))
 
     def give(held: list[tuple[np.ndarray, ...]]):
         h, whole, docs = _merge(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -128,11 +132,16 @@ def _count(width: int, buckets: int, flush: int = 1 << 19):
     return run
 
 
-MARKS = ("repeated", "mixed", "hot")
+#: Each bitmap, and how many bits fewer than the first index it: rarer anchors need less.
+MARKS = {"repeated": 0, "mixed": 1, "hot": 4}
 
 
-def _repeated(buckets: int, hot_docs: int):
-    region = (1 << BITMAP_BITS) // buckets
+def _bitmap_bits(partitions: int) -> int:
+    return min(MOST_BITS, max(BITMAP_BITS, (partitions - 1).bit_length() + 19))
+
+
+def _repeated(buckets: int, hot_docs: int, bitmap_bits: int):
+    regions = {name: (1 << bitmap_bits - fewer) // buckets for name, fewer in MARKS.items()}
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         six = np.concatenate([np.frombuffer(x, np.uint8) for x in rows["anchors"]]).reshape(-1, 6)
@@ -142,18 +151,18 @@ def _repeated(buckets: int, hot_docs: int):
         whole = np.concatenate([np.frombuffer(x, np.uint64) for x in rows["strings"]])
         docs = np.concatenate([np.frombuffer(x, np.uint16) for x in rows["docs"]]).astype(np.int64)
         h, whole, docs = _merge(h, whole, docs)
-        slot = (h >> tk.U64(48 - region.bit_length() + 1)).astype(np.int64)
         out = {"bucket": [int(rows["bucket"].iloc[0])]}
         for name, which in zip(MARKS, (docs >= 2, (docs >= 2) & (whole == 0), (docs >= hot_docs) & (whole == 0)), strict=True):
-            bits = np.zeros(region, bool)
-            bits[slot[which]] = True
+            bits = np.zeros(regions[name], bool)
+            bits[(h[which] >> tk.U64(48 - regions[name].bit_length() + 1)).astype(np.int64)] = True
             out[name] = [np.packbits(bits).tobytes() if which.any() else None]
         return pd.DataFrame(out)
 
     return run
 
 
-def _bit(bitmap: np.ndarray, slot: np.ndarray) -> np.ndarray:
+def _bit(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    slot = (h >> tk.U64(64 - (8 * len(bitmap)).bit_length() + 1)).astype(np.int64)
     return (bitmap[slot >> 3] >> (7 - (slot & 7)).astype(np.uint8)) & 1 == 1
 
 
@@ -245,7 +254,20 @@ class _Held:
         )
 
 
-def _send(width: int, buckets: int, bitmaps, flush: int = 12 << 20):
+def _hot_parts(part: np.ndarray, at: np.ndarray, first: np.ndarray, last: np.ndarray, width: int):
+    """Windows by distance from the anchor, some at a time, under the bytes that these share: (number of the run of
+    windows, first window, last window, hash of the shared bytes)."""
+    low = (first - at) // HOT_STEP
+    number = (last - at) // HOT_STEP - low + 1
+    run = np.repeat(np.arange(len(at)), number)
+    begin = at[run] + HOT_STEP * (np.arange(len(run)) + np.repeat(low - (np.cumsum(number) - number), number))
+    shared = tk.span_hashes(part, begin + HOT_STEP - 1, begin + width, fold=False)
+    return run, np.maximum(first[run], begin), np.minimum(last[run], begin + HOT_STEP - 1), shared
+
+
+def _send(width: int, buckets: int, bitmaps, flush: int | None = None):
+    flush = flush or min(48 << 20, max(12 << 20, buckets << 12))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated, mixed, hot = (np.frombuffer(x, np.uint8) for x in bitmaps.value)
         held = _Held()
@@ -257,10 +279,9 @@ def _send(width: int, buckets: int, bitmaps, flush: int = 12 << 20):
             for row, raw, offsets in tk.chunks(batch.column(2)):
                 for moved, part, cuts in _slices(raw, offsets, width):
                     h, at, first, last, text, whole = anchors(part, cuts, width)
-                    slot = (h >> tk.U64(64 - BITMAP_BITS)).astype(np.int64)
-                    keep = np.flatnonzero(_bit(repeated, slot) & present[row + text])
-                    many = _bit(mixed, slot[keep])
-                    much = many & _bit(hot, slot[keep])
+                    keep = np.flatnonzero(_bit(repeated, h) & present[row + text])
+                    many = _bit(mixed, h[keep])
+                    much = many & _bit(hot, h[keep])
                     k = keep[~many]
                     if len(k):
                         a, t = first[k], text[k]
@@ -273,18 +294,10 @@ def _send(width: int, buckets: int, bitmaps, flush: int = 12 << 20):
                         held.add(strings, (h[k] >> tk.U64(wide)).tolist(), (p - a).tolist(), ids[row + t], keys[row + t], a - cuts[t] + moved)
                     k = keep[much]
                     if len(k):
-                        # Windows by distance from the anchor, five at a time, under the bytes that the five share.
-                        strings, where, starts, rows = [], [], [], []
-                        for p, x, y, t in zip(at[k].tolist(), first[k].tolist(), last[k].tolist(), text[k].tolist(), strict=True):
-                            for g in range((x - p) // HOT_STEP, (y - p) // HOT_STEP + 1):
-                                c = p + g * HOT_STEP
-                                shared = hashlib.blake2b(body[c + HOT_STEP - 1 : c + width], digest_size=8).digest()
-                                i, j = max(x, c), min(y, c + HOT_STEP - 1)
-                                strings.append(body[i : j + width])
-                                where.append(int.from_bytes(shared, "big") >> wide)
-                                starts.append(i - int(cuts[t]) + moved)
-                                rows.append(row + t)
-                        held.add(strings, where, [NO_ANCHOR] * len(strings), ids[rows], keys[rows], np.array(starts, np.int64))
+                        which, a, z, shared = _hot_parts(part, at[k], first[k], last[k], width)
+                        t = text[k][which]
+                        strings = [body[x:y] for x, y in zip(a.tolist(), (z + width).tolist(), strict=True)]
+                        held.add(strings, (shared >> tk.U64(wide)).astype(np.int64).tolist(), [NO_ANCHOR] * len(strings), ids[row + t], keys[row + t], a - cuts[t] + moved)
                     if held.size > flush:
                         yield held.give(buckets)
                         held = _Held()
@@ -409,16 +422,18 @@ def remove_repeats(
     scratch = Scratch(spark, "suffix-dedup")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.crc32(text.cast("binary")).alias("row_key"), text.alias("text"))
-    buckets = 1 << min(BITMAP_BITS - 6, max(6, (16 * input_partitions(documents) - 1).bit_length()))
+    partitions = input_partitions(documents)
+    buckets, bitmap_bits = 1 << min(BITMAP_BITS - 6, max(6, (16 * partitions - 1).bit_length())), _bitmap_bits(partitions)
     counted = rows.select("text").mapInArrow(_count(width, buckets), "bucket int, anchors binary, strings binary, docs binary")
-    regions = counted.groupBy("bucket").applyInPandas(_repeated(buckets, hot_docs), "bucket int, repeated binary, mixed binary, hot binary").collect()
-    size = (1 << BITMAP_BITS) // 8
-    bits = [bytearray(size) for _ in MARKS]
+    regions = counted.groupBy("bucket").applyInPandas(_repeated(buckets, hot_docs, bitmap_bits), "bucket int, repeated binary, mixed binary, hot binary").collect()
+    bits = {name: bytearray((1 << bitmap_bits - fewer) // 8) for name, fewer in MARKS.items()}
     for r in regions:
-        for k, name in enumerate(MARKS):
+        for name, whole in bits.items():
             if r[name]:
-                bits[k][r["bucket"] * (size // buckets) : (r["bucket"] + 1) * (size // buckets)] = r[name]
-    bitmaps = spark.sparkContext.broadcast(tuple(bytes(b) for b in bits))
+                whole[r["bucket"] * len(r[name]) : (r["bucket"] + 1) * len(r[name])] = r[name]
+    del regions
+    bitmaps = spark.sparkContext.broadcast(tuple(bits.values()))
+    del bits
     scratch.release()
     sent = rows.mapInArrow(_send(width, buckets, bitmaps), SENT)
     spans = scratch.save(sent.groupBy("bucket").applyInPandas(_match(width), SPANS))

@@ -541,6 +541,56 @@ def test_suffix_dedup(spark, docs, doc_rows, no_docs, hot):
     assert suffix_dedup.remove_repeats(spark, no_docs).count() == 0
 
 
+def hot_case(r, n):
+    """Documents that share passages between ever other words: many different strings at each anchor."""
+    word = lambda: "".join(r.choice("abcde") for _ in range(r.randint(2, 9)))
+    common = [" ".join(word() for _ in range(9)) for _ in range(3)]
+    return [(k, " ".join(r.choice([word(), r.choice(common)]) for _ in range(6))) for k in range(n)]
+
+
+@pytest.mark.parametrize("bits", [20, 27])
+def test_suffix_dedup_hot_parts(spark, monkeypatch, bits):
+    import random
+
+    monkeypatch.setattr(suffix_dedup, "BITMAP_BITS", bits)
+    rows = hot_case(random.Random(5), 60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = suffix_dedup.remove_repeats(spark, docs, hot_docs=3).drop("kept").collect()
+    assert sorted(map(tuple, out), key=str) == cut(rows)
+
+
+@pytest.mark.parametrize("step", [5, 10, 31])
+def test_hot_parts_cover_each_window_once(monkeypatch, step):
+    monkeypatch.setattr(suffix_dedup, "HOT_STEP", step)
+    rng = np.random.default_rng(1)
+    raw = rng.integers(97, 100, 3000).astype(np.uint8)
+    _, at, first, last, _, _ = suffix_dedup.anchors(raw, np.array([0, 3000]), 50)
+    run, a, z, shared = suffix_dedup._hot_parts(raw, at, first, last, 50)
+    assert sorted((k, w) for k, x, y in zip(run, a, z, strict=True) for w in range(x, y + 1)) == [(k, w) for k, (x, y) in enumerate(zip(first, last, strict=True)) for w in range(x, y + 1)]
+    # The same windows elsewhere are under the same bytes, and a run of windows is in few parts.
+    again = np.concatenate((rng.integers(97, 100, 7).astype(np.uint8), raw))
+    assert (suffix_dedup._hot_parts(again, at + 7, first + 7, last + 7, 50)[3] == shared).all()
+    assert np.bincount(run).max() <= 30 // step + 2
+
+
+def test_bitmaps_and_flushes_grow_with_the_input():
+    assert [suffix_dedup._bitmap_bits(n) for n in (1, 32, 128, 129, 375, 10**6)] == [26, 26, 26, 27, 28, 29]
+    # Common strings of a thousand documents stay together: split, they made several times as many strings.
+    assert suffix_dedup.HOT_DOCS * 64 <= 1 << 20
+    import pyarrow as pa
+
+    docs = [(k, bytes(np.random.default_rng(k).integers(97, 123, 4000).astype(np.uint8))) for k in range(40)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([d], pa.int64()), pa.array([0], pa.int64()), pa.array([b.decode()])], names=["d", "k", "t"]) for d, b in docs * 2]
+
+    class All:
+        value = tuple(b"\xff" * (1 << 17 - fewer) for fewer in (0, 1, 4))
+
+    rows = {flush: sum(x.num_rows for x in suffix_dedup._send(50, 64, All, flush)(iter(batches))) for flush in (1 << 18, None)}
+    assert rows[None] <= 64 + 40 < rows[1 << 18]
+    many = sum(x.num_rows for x in suffix_dedup._send(50, 1 << 13, All)(iter(batches)))
+    assert many <= (1 << 13) + 40
+
+
 def test_slices_of_long_texts(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "SLICE", 100)
     raw = np.frombuffer(bytes(np.random.default_rng(0).integers(97, 101, 1000).astype(np.uint8)), np.uint8)
